@@ -56,9 +56,10 @@ def export_blobs(
             for batch in batches:
                 written = {"name": [], "path": [], "n_bytes": []}
                 for name, content in zip(batch.column("name"), batch.column("content")):
-                    name, content = name.as_py(), content.as_py()
+                    name = name.as_py()
+                    content = checked_content(name, content.as_py())
                     path = f"{target}/{checked_name(name)}"
-                    write_whole(store, path, checked_content(name, content))
+                    write_whole(store, path, content)
                     written["name"].append(name)
                     written["path"].append(path)
                     written["n_bytes"].append(len(content))

@@ -1,0 +1,207 @@
+import io
+import struct
+import zipfile
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+import blobframe as bf
+from blobframe.operators.fetch import MemberReader
+from blobframe import archive_members
+from blobframe.sources.store import Store
+from blobframe.sources.zipformat import directory
+
+
+class Handle(io.BytesIO):
+    def size(self):
+        return len(self.getvalue())
+
+    def read_at(self, count, at):
+        self.seek(at)
+        return self.read(count)
+
+
+class Sink(io.RawIOBase):
+    """A stream that cannot seek, so that sizes come after the data."""
+
+    def __init__(self):
+        self.parts = []
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        self.parts.append(bytes(data))
+        return len(data)
+
+
+def index(spark, *paths):
+    return bf.archive_index(bf.list_archives(spark, list(paths)))
+
+
+def names_in_order(df):
+    return [row.member for row in df.orderBy("archive", "offset").collect()]
+
+
+def test_index_is_in_stream_order_and_without_folders(spark, make_zip):
+    members = [("people.csv", b"p" * 10), ("dir/", b""), ("dir/n.txt", b"n"), ("people", b"")]
+    rows = index(spark, make_zip(members)).orderBy("offset").collect()
+    assert [(r.member, r.size) for r in rows] == [("people.csv", 10), ("dir/n.txt", 1), ("people", 0)]
+
+
+def test_stream_order_holds_if_the_directory_is_in_another_order(spark, make_zip, tmp_path):
+    path = make_zip([("b", b"1"), ("a", b"2"), ("c", b"3")])
+    with zipfile.ZipFile(path, "a") as archive:
+        archive.filelist.reverse()
+        archive._didModify = True
+    assert [e.member for e in directory(Handle(open(path, "rb").read()), path)] == ["c", "a", "b"]
+    assert names_in_order(index(spark, path)) == ["b", "a", "c"]
+    found = bf.archive_members(spark, path)
+    assert {(r.member, bytes(r.content)) for r in found.collect()} == {
+        ("a", b"2"),
+        ("b", b"1"),
+        ("c", b"3"),
+    }
+
+
+def test_streamed_archive_has_right_sizes(spark, tmp_path):
+    sink = Sink()
+    with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("a", b"x" * 5000)
+    path = tmp_path / "streamed.zip"
+    path.write_bytes(b"".join(sink.parts))
+    assert struct.unpack_from("<H", path.read_bytes(), 6)[0] & 0x8
+    row = bf.archive_members(spark, str(path)).first()
+    assert (row.size, bytes(row.content)) == (5000, b"x" * 5000)
+
+
+@pytest.mark.parametrize("compression", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_prefix_comment_and_odd_names(spark, make_zip, compression):
+    members = [("ü ñ.txt", "ü".encode() * 100), ("blank name", b"1"), ("zero", b"")]
+    path = make_zip(members, compression=compression, prefix=b"#!/bin/sh\n" * 7)
+    with zipfile.ZipFile(path, "a") as archive:
+        archive.comment = b"a comment"
+    found = {r.member: bytes(r.content) for r in bf.archive_members(spark, path).collect()}
+    assert found == dict(members)
+
+
+def test_empty_archive_and_wrong_file(spark, make_zip, tmp_path):
+    assert bf.archive_members(spark, make_zip([])).count() == 0
+    wrong = tmp_path / "wrong.zip"
+    wrong.write_bytes(b"no archive at all, though long enough to hold a directory end")
+    with pytest.raises(Exception, match="is not a ZIP archive"):
+        index(spark, str(wrong)).count()
+
+
+def test_64_bit_fields(monkeypatch):
+    out = io.BytesIO()
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
+    with zipfile.ZipFile(out, "w", allowZip64=True) as archive:
+        archive.writestr("first", b"x" * 50)
+        archive.writestr("second", b"y" * 60)
+    assert b"PK\x06\x06" in out.getvalue()
+    entries = list(directory(Handle(out.getvalue()), "z"))
+    assert [(e.member, e.size) for e in entries] == [("first", 50), ("second", 60)]
+    assert out.getvalue()[entries[1].offset :].startswith(b"PK\x03\x04")
+
+
+def test_directory_longer_than_a_block(monkeypatch):
+    monkeypatch.setattr("blobframe.sources.zipformat.BLOCK_BYTES", 100)
+    out = io.BytesIO()
+    names = [f"member-{i}-{'x' * (i % 90)}" for i in range(200)]
+    with zipfile.ZipFile(out, "w") as archive:
+        for name in names:
+            archive.writestr(name, name)
+    assert [e.member for e in directory(Handle(out.getvalue()), "z")] == names
+
+
+def places_of(path, repeat=1):
+    data = open(path, "rb").read()
+    places = [{"archive": path, **e._asdict()} for e in directory(Handle(data), path)]
+    return [place for place in places for _ in range(repeat)]
+
+
+def test_neighbours_come_with_one_read(make_zip, monkeypatch):
+    path = make_zip([(f"m{i}", bytes([i]) * 1000) for i in range(50)], compression=zipfile.ZIP_STORED)
+    places = places_of(path, repeat=3)
+    with Store({}) as store:
+        handle = store.open(f"file:{path}")
+        reads = []
+
+        class Counting:
+            def read_at(self, count, at):
+                reads.append(count)
+                return handle.read_at(count, at)
+
+        monkeypatch.setattr(store, "open", lambda uri: Counting())
+        reader = MemberReader(store, 1 << 20)
+        mixed = [None, *places, None]
+        contents = list(reader.contents(mixed))
+    assert contents == [None, *(bytes([i]) * 1000 for i in range(50) for _ in range(3)), None]
+    assert len(reads) == 1
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(order=st.permutations(range(12)), gap=st.integers(0, 4000), window=st.integers(500, 9000))
+def test_any_order_gives_the_same_contents(make_zip, monkeypatch, order, gap, window):
+    monkeypatch.setattr("blobframe.operators.fetch.GAP_BYTES", gap)
+    monkeypatch.setattr("blobframe.operators.fetch.READ_BYTES", window)
+    monkeypatch.setattr("blobframe.operators.fetch.REUSE_BYTES", 2500)
+    path = make_zip([(f"m{i}", bytes([i]) * (100 * i)) for i in range(12)])
+    places = [dict(p, archive=f"file:{path}") for p in places_of(path)]
+    with Store({}) as store:
+        contents = list(MemberReader(store, 1 << 20).contents([places[i] for i in order]))
+    assert contents == [bytes([i]) * (100 * i) for i in order]
+
+
+def test_damage_is_noticed(spark, make_zip):
+    path = make_zip([("a", b"some text that is stored")], compression=zipfile.ZIP_STORED)
+    data = bytearray(open(path, "rb").read())
+    data[data.index(b"some")] ^= 1
+    open(path, "wb").write(data)
+    with pytest.raises(Exception, match="is damaged"):
+        bf.archive_members(spark, path).collect()
+
+
+def test_size_guard(spark, make_zip):
+    path = make_zip([("a", b"x" * 100)])
+    with pytest.raises(Exception, match="more than max_member_bytes=99"):
+        archive_members(spark, path, max_member_bytes=99).collect()
+    assert archive_members(spark, path, max_member_bytes=100).count() == 1
+
+
+def test_unsupported_compression(spark, make_zip):
+    path = make_zip([("a", b"x" * 100)], compression=zipfile.ZIP_BZIP2)
+    with pytest.raises(Exception, match="compression method 12"):
+        bf.archive_members(spark, path).collect()
+
+
+def test_lookup_by_full_name(spark, make_zip):
+    one = make_zip([("hive-site.xml", b"1"), ("dir/n.txt", b"2")], "one.zip")
+    two = make_zip([("hive-site.xml", b"3"), ("people.csv", b"4")], "two.zip")
+    names = spark.createDataFrame(
+        [("hive-site.xml",), ("people.csv",), ("dir/n.txt",), ("n.txt",), (None,)], "member string"
+    )
+    found = bf.lookup_members(names, [one, two]).collect()
+    assert {r.member: bytes(r.content) for r in found} == {
+        "hive-site.xml": b"1",
+        "people.csv": b"4",
+        "dir/n.txt": b"2",
+    }
+
+
+def test_fetch_members_of_a_stored_index(spark, make_zip):
+    path = make_zip([(f"m{i}", str(i).encode()) for i in range(20)])
+    stored = bf.index_of(spark, path)
+    wanted = stored.where("member in ('m3', 'm17')")
+    found = bf.fetch_members(spark, stored, wanted.union(wanted)).collect()
+    assert {r.member: bytes(r.content) for r in found} == {"m3": b"3", "m17": b"17"}
+    assert len(found) == 2
+
+
+def test_index_reads_no_content(spark, make_zip):
+    files = bf.list_archives(spark, make_zip([("a", b"1")]))
+    plan = bf.archive_index(files)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<path:string>" in plan

@@ -1,0 +1,112 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import blobframe as bf
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("number", T.StringType()),
+        T.StructField("filePath", T.StringType(), metadata={"note": "dropped"}),
+    ]
+)
+
+
+def test_retype_keeps_order_and_ignores_unknown_names():
+    retyped = bf.with_binary_columns(SCHEMA, ["filePath", "absent"])
+    assert retyped.names == SCHEMA.names
+    assert retyped["filePath"] == T.StructField("filePath", T.BinaryType(), False)
+    assert retyped["name"] == SCHEMA["name"]
+
+
+def test_schema_survives_json():
+    retyped = bf.with_binary_columns(SCHEMA, ["filePath"])
+    assert bf.schema_from_json(bf.schema_to_json(retyped)) == retyped
+
+
+@pytest.mark.parametrize(
+    "kind, name",
+    [
+        (T.StringType(), "string"),
+        (T.DoubleType(), "double"),
+        (T.IntegerType(), "int"),
+        (T.FloatType(), "float"),
+        (T.TimestampType(), "timestamp"),
+        (T.BooleanType(), "boolean"),
+        (T.BinaryType(), "binary"),
+        (T.DecimalType(12, 3), "decimal(12,3)"),
+        (T.LongType(), "bigint"),
+    ],
+)
+def test_types_every_catalog_takes(kind, name):
+    assert bf.catalog_type(T.StructField("c", kind), strict_types=True) == name
+
+
+@pytest.mark.parametrize(
+    "kind",
+    [T.ByteType(), T.ShortType(), T.DateType(), T.TimestampNTZType(), T.ArrayType(T.LongType())],
+)
+def test_other_types_only_if_not_strict(kind):
+    field = T.StructField("c", kind)
+    assert bf.catalog_type(field) == kind.simpleString()
+    with pytest.raises(TypeError, match="c has .* which is unsupported"):
+        bf.catalog_type(field, strict_types=True)
+
+
+def test_split_schema_uses_key_order():
+    data, keys = bf.split_schema(SCHEMA, ["number", "name"])
+    assert [f.name for f in data] == ["filePath"]
+    assert [f.name for f in keys] == ["number", "name"]
+    with pytest.raises(ValueError, match="absent"):
+        bf.split_schema(SCHEMA, ["absent"])
+
+
+@pytest.mark.parametrize(
+    "template, columns",
+    [
+        ("{a}_{b}.jpg", ["a", "b"]),
+        ("${a}.x", ["a"]),
+        ("{a{b}", ["b"]),
+        ("{}", [""]),
+        ("x{a}", ["a"]),
+    ],
+)
+def test_template_columns(template, columns):
+    assert bf.template_columns(template) == columns
+
+
+@pytest.mark.parametrize("template", ["{col1}_{col2}_{col4.jpg", "a}", "{a}}", "{a", "", "}{a}", "{a}{"])
+def test_bad_templates(template):
+    with pytest.raises(ValueError):
+        bf.template_columns(template)
+
+
+def test_other_markers():
+    assert bf.template_columns("[a]-[b]", "[", "]") == ["a", "b"]
+
+
+def test_derive_name(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    rows = bf.derive_name(df, "p_${a}-{b}.jpg", "out").orderBy("a").collect()
+    assert [row.out for row in rows] == ["p_1-x.jpg", None]
+    with pytest.raises(ValueError, match="'c'"):
+        bf.derive_name(df, "{c}", "out")
+
+
+def test_basename(spark):
+    cases = {
+        "x": "x",
+        "a/b/c.txt": "c.txt",
+        "a/b/": "b",
+        "a//b": "b",
+        "a/b//": "b",
+        "/": "",
+        "": "",
+        "/a": "a",
+        "dir/name with blanks .txt": "name with blanks .txt",
+        "s3a://bucket/k/ü.bin": "ü.bin",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "path string, want string")
+    assert df.where(bf.basename_col("path") != F.col("want")).count() == 0
+    assert spark.sql("select cast(null as string) p").select(bf.basename_col("p")).first()[0] is None
