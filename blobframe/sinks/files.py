@@ -101,7 +101,7 @@ def refuse_duplicates(names: DataFrame) -> None:
 
 
 def checked_name(name: str | None) -> str:
-    if not name or name.startswith("/") or name.endswith("/") or ".." in name.split("/"):
+    if name is None or not {"", ".", ".."}.isdisjoint(name.split("/")):
         raise ValueError(f"{name!r} is no name for a file below the target folder")
     return name
 

@@ -32,7 +32,8 @@ def scan_blobs(
 ) -> DataFrame:
     """One row per file: ``path, modificationTime, length, content``.
 
-    ``content`` is read only if it is selected.
+    ``content`` is read only if it is selected. Like all of Spark's file sources, this one passes
+    over files of zero bytes.
     """
     reader = spark.read.format("binaryFile")
     if glob is not None:
