@@ -53,8 +53,12 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(df: DataFrame, content: str = "text", **options) -> str:
-    """Pack the rows (``name`` and ``content``) into archives; returns their folder."""
+    """Pack the rows (``name`` and ``content``) into archives; returns their folder.
+
+    A small table is one partition of Parquet, so the rows are spread first.
+    """
     folder = bf.scratch_dir(df.sparkSession, "archives")
+    options.setdefault("shards", df.sparkSession.sparkContext.defaultParallelism)
     bf.pack_blobs(df, "name", content, folder, **options)
     return folder
 

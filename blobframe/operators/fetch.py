@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +25,15 @@ from blobframe.sources.zipformat import payload_start, unpack
 NOT_FOUND = b"File Not Found"
 MAX_MEMBER_BYTES = 1 << 30
 
-# A stretch is what one task reads in one go; a task should put out about TASK_BYTES.
+# A stretch is what one task reads in one go; a task should put out about TASK_BYTES. A stretch
+# that puts out more is cut in parts a good deal smaller, as several may meet in one task.
 STRETCH_BYTES = 64 << 20
 TASK_BYTES = 256 << 20
+PARTS_PER_TASK = 4
 ROW_BYTES = 1024
 MAX_TASKS = 20_000
-# A row of the hot list takes some 200 bytes in memory, so a broadcast one stays below 20 MB.
+# There are no more hot stretches than tasks' worth of output; with some 200 bytes each in memory
+# this many take 20 MB, and more are joined without a broadcast.
 HOT_BROADCAST_ROWS = 100_000
 
 # Neighbouring members come with one read unless this much lies between them.
@@ -88,6 +92,7 @@ def spread_rows(
     cost = sum((F.coalesce(F.col(c)["size"], F.lit(0)) for c in columns), F.lit(ROW_BYTES))
 
     loads = placed.groupBy(archive, stretch).agg(F.sum(cost).alias("__load"))
+    part_bytes = max(1, task_bytes // PARTS_PER_TASK)
     over = F.col("__load") > task_bytes
     total, hot_rows = loads.agg(F.sum("__load"), F.count_if(over)).first()
     if total is None:
@@ -97,7 +102,7 @@ def spread_rows(
     part = F.lit(0)
     if hot_rows:
         hot = loads.filter(over).select(
-            "__archive", "__stretch", F.ceil(F.col("__load") / task_bytes).alias("__parts")
+            "__archive", "__stretch", F.ceil(F.col("__load") / part_bytes).alias("__parts")
         )
         if hot_rows <= HOT_BROADCAST_ROWS:
             hot = F.broadcast(hot)
@@ -117,37 +122,65 @@ def spread_rows(
 
 
 def content_reader(columns: list[str], default, max_member_bytes: int, options: dict):
-    """The partition function: Arrow batches of places in, Arrow batches of content out."""
+    """The partition function: Arrow batches of places in, Arrow batches of content out.
+
+    Rows that follow each other and have one place between them count as one.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Store(options) as store:
             readers = {column: MemberReader(store, max_member_bytes) for column in columns}
             for batch in batches:
-                streams = [
-                    readers[column].contents(batch.column(column).to_pylist())
-                    for column in columns
-                ]
-                begin, held, rows = 0, 0, []
-                for row in zip(*streams):
-                    rows.append([default if content is None else content for content in row])
-                    held += sum(len(content) for content in row if content is not None)
-                    if held >= OUTPUT_BYTES:
-                        yield with_content(batch, columns, begin, rows)
-                        begin, held, rows = begin + len(rows), 0, []
-                if rows:
-                    yield with_content(batch, columns, begin, rows)
+                runs = {column: runs_of(batch.column(column)) for column in columns}
+                for begin, end in output_slices(batch.num_rows, runs.values()):
+                    arrays = {}
+                    for column, (places, run_of_row) in runs.items():
+                        of_rows = run_of_row[begin:end]
+                        wanted = places[of_rows[0] : of_rows[-1] + 1]
+                        contents = readers[column].contents(wanted)
+                        filled = [default if c is None else c for c in contents]
+                        arrays[column] = pa.array(filled, pa.binary()).take(
+                            pa.array(of_rows - of_rows[0])
+                        )
+                    part = batch.slice(begin, end - begin)
+                    names = batch.schema.names
+                    yield pa.RecordBatch.from_arrays(
+                        [arrays.get(name, part.column(name)) for name in names], names=names
+                    )
 
     return read
 
 
-def with_content(batch: pa.RecordBatch, columns: list[str], begin: int, rows: list):
-    part = batch.slice(begin, len(rows))
-    filled = dict(zip(columns, zip(*rows)))
-    arrays = [
-        pa.array(filled[name], pa.binary()) if name in filled else part.column(name)
-        for name in batch.schema.names
-    ]
-    return pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+def runs_of(column: pa.StructArray) -> tuple[list[dict | None], np.ndarray]:
+    """The places of the runs, and for each row the number of its run."""
+    if len(column) == 0:
+        return [], np.zeros(0, np.int64)
+    archive = column.field("archive").dictionary_encode().indices
+    offset = column.field("offset")
+    absent = column.is_null().to_numpy(zero_copy_only=False)
+    keys = np.stack(
+        [
+            np.where(absent, -1, archive.fill_null(-1).to_numpy(zero_copy_only=False)),
+            np.where(absent, -1, offset.fill_null(-1).to_numpy(zero_copy_only=False)),
+        ]
+    )
+    starts = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+    places = column.take(pa.array(np.flatnonzero(starts))).to_pylist()
+    return places, np.cumsum(starts) - 1
+
+
+def output_slices(rows: int, runs) -> Iterator[tuple[int, int]]:
+    """Row ranges that put out about OUTPUT_BYTES each."""
+    if rows == 0:
+        return
+    load = np.zeros(rows, np.int64)
+    for places, run_of_row in runs:
+        sizes = np.array([0 if place is None else place["size"] for place in places], np.int64)
+        load += sizes[run_of_row]
+    number = np.cumsum(load) // OUTPUT_BYTES
+    cuts = np.flatnonzero(number[1:] != number[:-1]) + 1
+    edges = [0, *cuts.tolist(), rows]
+    yield from zip(edges, edges[1:])
 
 
 class MemberReader:

@@ -2,11 +2,14 @@ import io
 import struct
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import blobframe as bf
+from blobframe.operators import fetch
 from blobframe.operators.fetch import MemberReader
 from blobframe import archive_members
 from blobframe.sources.store import Store
@@ -205,3 +208,25 @@ def test_index_reads_no_content(spark, make_zip):
     files = bf.list_archives(spark, make_zip([("a", b"1")]))
     plan = bf.archive_index(files)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<path:string>" in plan
+
+
+def test_runs_of_places():
+    place = pa.struct([("archive", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
+    rows = [None, None, ("a", 0, 5), ("a", 0, 5), ("b", 0, 7), None, ("b", 9, 0), ("b", 9, 0)]
+    column = pa.array([r and dict(zip(("archive", "offset", "size"), r)) for r in rows], place)
+    places, run_of_row = fetch.runs_of(column)
+    assert [p and (p["archive"], p["offset"]) for p in places] == [None, ("a", 0), ("b", 0), None, ("b", 9)]
+    assert run_of_row.tolist() == [0, 0, 1, 1, 2, 3, 4, 4]
+    places, run_of_row = fetch.runs_of(column.slice(3, 3))
+    assert [p and p["archive"] for p in places] == ["a", "b", None]
+    assert fetch.runs_of(column.slice(0, 0))[0] == []
+
+
+def test_slices_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(fetch, "OUTPUT_BYTES", 10)
+    runs = [([{"size": 4}, None, {"size": 25}], np.array([0, 0, 0, 1, 1, 2, 2]))]
+    slices = list(fetch.output_slices(7, runs))
+    assert slices[0][0] == 0 and slices[-1][1] == 7
+    assert all(one[1] == other[0] for one, other in zip(slices, slices[1:]))
+    assert slices == [(0, 2), (2, 5), (5, 6), (6, 7)]
+    assert list(fetch.output_slices(0, [])) == []
