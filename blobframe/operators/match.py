@@ -1,8 +1,8 @@
 """Finding, for each file name, the first archive member that answers to it.
 
-Both ways of matching are one equi-join. ``exact`` looks the name itself up. ``contains`` looks up
-every piece of the name that is as long as some member name, so a member matches exactly if its
-name occurs in the file name; no pair of a name and a member is formed that does not match.
+Both ways of matching are equi-joins. ``exact`` looks the name itself up. ``contains`` looks up
+pieces of the name, each as long as some member name, so a member matches exactly if its name occurs
+in the file name; no pair of a name and a member is formed that does not match.
 """
 
 from __future__ import annotations
@@ -16,11 +16,8 @@ from blobframe.session import materialize
 # In-memory bytes up to which a side is broadcast, and what a row takes beyond its text.
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 200
-# The sieve that thins out pieces before they are shuffled: at most this many bits (32 MB), in
-# buckets of 1024 words, used while fewer than half of its bits can be set.
-SIEVE_BITS = 1 << 28
-WORD_BITS = 64
-BUCKET_WORDS = 1024
+# Pieces are looked up by their beginnings first if there are more lengths than this per beginning.
+LENGTHS_PER_ANCHOR = 2
 
 
 def first_match(
@@ -48,26 +45,31 @@ def first_match(
         no_place = F.lit(None).cast(index.select(place_struct()).schema[0].dataType)
         return names.select("fn", no_place.alias("place")).where(F.lit(False))
 
+    anchors = anchor_lengths(lengths)
+    by_beginning = match == "contains" and len(lengths) > LENGTHS_PER_ANCHOR * len(anchors)
+
     if sum(row.bytes for row in sizes) <= broadcast_bytes:
-        found = pieces(names, match, lengths).join(
-            F.broadcast(first_of_each(index)), F.col("piece") == F.col("member")
-        )
-        return first_of(found)
+        asked = pieces(names, match, lengths)
+        if by_beginning:
+            asked = likely_pieces(names, F.broadcast(beginnings(index, anchors)), anchors)
+        best = F.broadcast(first_of_each(index))
+        return first_of(asked.join(best, F.col("piece") == F.col("member")))
 
     names = materialize(names, "names")
+    asked = pieces(names, match, lengths)
     if piece_bytes(names, match, lengths) <= broadcast_bytes:
         # Few pieces against a large index: the index is sifted where it lies, not shuffled.
-        asked = pieces(names, match, lengths)
         wanted = F.broadcast(asked.select(F.col("piece").alias("member")).distinct())
         kept = first_of_each(index.join(wanted, "member", "left_semi"))
         return first_of(asked.join(F.broadcast(kept), F.col("piece") == F.col("member")))
 
-    asked = pieces(names, match, lengths)
-    members = sum(row.members for row in sizes)
-    if match == "contains" and members * 2 <= SIEVE_BITS:
-        asked = sift(asked, index, members)
-    found = asked.join(first_of_each(index).hint("merge"), F.col("piece") == F.col("member"))
-    return first_of(found)
+    if by_beginning:
+        starts = materialize(beginnings(index, anchors), "beginnings")
+        size = F.sum(F.octet_length("beginning") + 4 * F.size("lengths") + ROW_OVERHEAD)
+        small = starts.agg(size).first()[0] <= broadcast_bytes
+        asked = likely_pieces(names, F.broadcast(starts) if small else starts.hint("merge"), anchors)
+    best = first_of_each(index).hint("merge")
+    return first_of(asked.join(best, F.col("piece") == F.col("member")))
 
 
 def first_of_each(index: DataFrame) -> DataFrame:
@@ -83,10 +85,15 @@ def pieces(names: DataFrame, match: str, lengths: list[int]) -> DataFrame:
     """``fn, piece``: what to look up for each name."""
     if match == "exact":
         return names.select("fn", F.col("fn").alias("piece"))
+    return pieces_at(names, lengths).select("fn", "piece")
+
+
+def pieces_at(names: DataFrame, lengths: list[int]) -> DataFrame:
+    """``fn, at, piece``: every piece of one of the lengths, and where it begins."""
     cuts = names.select("fn", F.explode(fitting(lengths, F.char_length("fn"))).alias("n"))
     starts = F.sequence(F.lit(1), F.char_length("fn") - F.col("n") + 1)
     return cuts.select("fn", "n", F.explode(starts).alias("at")).select(
-        "fn", F.substr("fn", "at", "n").alias("piece")
+        "fn", "at", F.substr("fn", "at", "n").alias("piece")
     )
 
 
@@ -110,41 +117,28 @@ def piece_bytes(names: DataFrame, match: str, lengths: list[int]) -> int:
     return by_length.agg(F.sum(cost)).first()[0] or 0
 
 
-def sift(asked: DataFrame, index: DataFrame, members: int) -> DataFrame:
-    """``asked`` without most of the pieces that are no member's name.
+def anchor_lengths(lengths: list[int]) -> list[int]:
+    """For every power of two, the shortest length from there up to the next."""
+    shortest = {}
+    for length in sorted(lengths, reverse=True):
+        shortest[length.bit_length()] = length
+    return sorted(shortest.values())
+
 
-    Every member name sets one bit of a table whose size is bounded by ``SIEVE_BITS``; a piece
-    whose bit is not set is no member. The join that follows decides about the others.
+def beginnings(index: DataFrame, anchors: list[int]) -> DataFrame:
+    """``beginning, lengths``: how long the member names are that begin so.
+
+    Of each name its first characters count, as many as the longest anchor that fits.
     """
-    bucket_bits = WORD_BITS * BUCKET_WORDS
-    bits = min(SIEVE_BITS, max(bucket_bits, 1 << (16 * members - 1).bit_length()))
-
-    def address(name: str) -> list[Column]:
-        bit = F.pmod(F.xxhash64(name), F.lit(bits))
-        return [
-            F.floor(bit / bucket_bits).alias("bucket"),
-            F.floor(F.pmod(bit, F.lit(bucket_bits)) / WORD_BITS).cast("int").alias("word"),
-            F.pmod(bit, F.lit(WORD_BITS)).cast("int").alias("bit"),
-        ]
-
-    words = (
-        index.select(*address("member"))
-        .groupBy("bucket", "word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
-    )
-    table = words.groupBy("bucket").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("masks")
-    )
-    table = table.select(
-        "bucket",
-        F.transform(
-            F.sequence(F.lit(0), F.lit(BUCKET_WORDS - 1)),
-            lambda word: F.coalesce(F.try_element_at("masks", word), F.lit(0).cast("long")),
-        ).alias("masks"),
-    )
-    return (
-        asked.select("fn", "piece", *address("piece"))
-        .join(F.broadcast(table), "bucket")
-        .where(F.expr("shiftright(masks[word], bit) & 1 = 1"))
-        .select("fn", "piece")
-    )
+    length = F.char_length("member")
+    anchor = F.array_max(F.filter(F.lit(anchors), lambda n: n <= length))
+    starts = index.select(F.substr("member", F.lit(1), anchor).alias("beginning"), length.alias("n"))
+    return starts.groupBy("beginning").agg(F.collect_set("n").alias("lengths"))
+
+
+def likely_pieces(names: DataFrame, starts: DataFrame, anchors: list[int]) -> DataFrame:
+    """``fn, piece`` like :func:`pieces`, but only where a member name begins and so long."""
+    spots = pieces_at(names, anchors).withColumnRenamed("piece", "beginning")
+    cuts = spots.join(starts, "beginning").select("fn", "at", F.explode("lengths").alias("n"))
+    fits = F.col("at") + F.col("n") - 1 <= F.char_length("fn")
+    return cuts.where(fits).select("fn", F.substr("fn", "at", "n").alias("piece"))

@@ -63,20 +63,31 @@ def test_first_match_is_what_a_loop_finds(spark, branch, match, words, names):
     assert found == by_loop(names, members, match)
 
 
-def test_sieve_over_many_buckets(spark, monkeypatch):
-    """More members than fit one bucket of the sieve, and names of which half match."""
-    members = [("z", i, f"member-{i}.bin") for i in range(6000)]
-    names = [f"x-member-{i}.bin.bak" for i in range(5900, 6100)]
-    found = by_spark(spark, names, members, "contains", broadcast_bytes=0)
+@pytest.mark.parametrize("branch", ["index is broadcast", "both are shuffled"])
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(words=st.lists(WORD, min_size=1, max_size=12), names=st.lists(FILE_NAME, min_size=1, max_size=8))
+def test_looking_up_beginnings_first_finds_the_same(spark, monkeypatch, branch, words, names):
+    monkeypatch.setattr(m, "LENGTHS_PER_ANCHOR", 0)
+    members = [(f"z{i % 3}", i, word) for i, word in enumerate(words + ["", "aba" * 9])]
+    found = by_spark(spark, names, members, "contains", **options_for(branch, members))
     assert found == by_loop(names, members, "contains")
 
 
-def test_sieve_lets_few_pieces_through(spark):
-    members = [("z", i, f"member-{i}.bin") for i in range(2000)]
-    index = index_of(spark, members)
+def test_anchors():
+    assert m.anchor_lengths([1, 2, 3, 5, 6, 7, 20, 31, 32]) == [1, 2, 5, 20, 32]
+    assert m.anchor_lengths([0, 9]) == [0, 9]
+
+
+def test_beginnings_leave_few_pieces(spark):
     names = spark.range(500).select(F.concat(F.lit("other-"), F.col("id").cast("string"), F.lit(".dat")).alias("fn"))
-    asked = m.pieces(names, "contains", [6, 7, 8, 9])
-    assert m.sift(asked, index, 2000).count() < asked.count() / 4
+    members = [("z", i, f"{'x' * (i % 8)}member-{i}.bin") for i in range(400)]
+    index = index_of(spark, members)
+    lengths = sorted({len(name) for _, _, name in members})
+    anchors = m.anchor_lengths(lengths)
+    few = m.likely_pieces(names, m.beginnings(index, anchors), anchors)
+    assert len(lengths) > 8 and few.count() == 0
+    some = names.select(F.concat("fn", F.lit("-xxmember-10.bin")).alias("fn"))
+    assert 0 < m.likely_pieces(some, m.beginnings(index, anchors), anchors).count() < 500 * 20
 
 
 def test_stream_order_and_archive_order(spark):
@@ -112,10 +123,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_pair_join_in_any_plan(spark):
+def test_no_pair_join_in_any_plan(spark, monkeypatch):
     members = [("z", i, f"member-{i}") for i in range(50)]
     names = spark.createDataFrame([("my member-7",), ("x",)], "fn string")
-    for options in ({}, {"broadcast_bytes": 50 * m.ROW_OVERHEAD}, {"broadcast_bytes": 0}):
-        plan = plan_of(bf.first_match(names, index_of(spark, members), "contains", **options))
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for per_anchor in (0, 2):
+        monkeypatch.setattr(m, "LENGTHS_PER_ANCHOR", per_anchor)
+        for options in ({}, {"broadcast_bytes": 50 * m.ROW_OVERHEAD}, {"broadcast_bytes": 0}):
+            plan = plan_of(bf.first_match(names, index_of(spark, members), "contains", **options))
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "SortMergeJoin" in plan
