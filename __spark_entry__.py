@@ -365,6 +365,22 @@ def export_last(spark, sf_dir):
     return files.select(bf.basename_col("path").alias("name"), sha("content").alias("sha"))
 
 
+def export_manifest(spark, sf_dir):
+    """Each event writes the document of its user to the user's file; the last event counts."""
+    manifest = table(spark, sf_dir, "events").select(
+        "event_id",
+        file_name("user_", "user_id", ".txt").alias("name"),
+        file_name("users/doc_", "user_id", ".txt").alias("filePath"),
+    )
+    folder = bf.scratch_dir(spark, "users")
+    archives = packed(labelled(spark, sf_dir))
+    bf.export_manifest(
+        spark, manifest, archives, "name", "filePath", folder, order_by="event_id"
+    )
+    files = bf.scan_blobs(spark, folder, glob="user_*")
+    return files.select(bf.basename_col("path").alias("name"), sha("content").alias("sha"))
+
+
 def pack_blobs(spark, sf_dir):
     archives = bf.pack_blobs(
         documents(spark, sf_dir),
@@ -436,6 +452,7 @@ QUERIES = [
     table_head,
     export_blobs,
     export_last,
+    export_manifest,
     pack_blobs,
     blob_table,
 ]
@@ -558,6 +575,10 @@ def oracle_sql() -> dict[str, str]:
         "export_last": """
             SELECT 'conv_' || conv_id || '.txt' AS name, sha256(arg_max(text, turn)) AS sha
             FROM conversations GROUP BY conv_id""",
+        "export_manifest": f"""
+            SELECT DISTINCT 'user_' || e.user_id || '.txt' AS name,
+                   sha256(coalesce(m.text, 'File Not Found')) AS sha
+            FROM events e LEFT JOIN {LABELLED} m ON e.user_id = m.doc_id""",
         "pack_blobs": """
             SELECT source, count(*) AS n_members,
                    CAST(sum(octet_length(encode(text))) AS BIGINT) AS n_bytes

@@ -14,6 +14,7 @@ from blobframe.functions.schema import (
 )
 from blobframe.operators.fetch import NOT_FOUND, attach_content
 from blobframe.operators.match import first_match
+from blobframe.plans.blob_files import export_manifest
 from blobframe.plans.blob_table import load_blob_table
 from blobframe.plans.resolve import (
     archive_members,

@@ -82,7 +82,17 @@ def read_located(
     default: bytes | None = NOT_FOUND,
     max_member_bytes: int = MAX_MEMBER_BYTES,
 ) -> DataFrame:
-    """The result of :func:`locate_blobs` with content in place of the paths in ``columns``."""
+    """The result of :func:`locate_blobs` with content in place of the paths in ``columns``.
+
+    ``located`` may have been filtered or joined since; it is stored again before it is read.
+    """
+    stored = materialize(located, "relocated")
+    return content_of(stored, columns, default, max_member_bytes)
+
+
+def content_of(
+    located: DataFrame, columns: list[str], default: bytes | None, max_member_bytes: int
+) -> DataFrame:
     places = {f"{column}__at" for column in columns}
     kept = [
         F.col(f"{name}__at").alias(name) if name in columns else F.col(name)
@@ -114,7 +124,7 @@ def resolve_blobs(
     if not columns:
         return manifest
     located = locate_blobs(manifest, archives, columns, match, status_col)
-    return read_located(located, columns, default, max_member_bytes)
+    return content_of(located, columns, default, max_member_bytes)
 
 
 def archive_members(
@@ -124,6 +134,8 @@ def archive_members(
 ) -> DataFrame:
     """Every member with its content: ``archive, offset, member, size, content``."""
     index = index_of(spark, archives)
+    if index is archives:
+        index = materialize(index, "index")
     placed = index.select("archive", "offset", "member", "size", place_struct().alias("content"))
     return attach_content(placed, ["content"], None, max_member_bytes)
 
@@ -138,7 +150,7 @@ def fetch_members(
     index = index_of(spark, archives)
     keys = wanted.select("archive", "offset")
     picked = index.join(keys, ["archive", "offset"], "left_semi")
-    return archive_members(spark, materialize(picked, "picked"), max_member_bytes)
+    return archive_members(spark, picked, max_member_bytes)
 
 
 def lookup_members(

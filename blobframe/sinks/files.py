@@ -36,8 +36,10 @@ def export_blobs(
 ) -> DataFrame:
     """Write one file per row below ``dir``; returns ``name, path, n_bytes``.
 
-    A name may hold folders but must not lead out of ``dir``. Two rows of one name are an error;
-    with ``on_duplicate="last"`` the one that is last by ``order_by`` is written.
+    A name may hold folders but must not lead out of ``dir``. Two rows of one name are an error,
+    noticed when the files are written; ``df`` is evaluated once. With ``on_duplicate="last"`` the
+    one that is last by ``order_by`` is written; this looks at ``df`` twice, so remove duplicates
+    before contents are attached where you can (:func:`blobframe.export_manifest` does).
     """
     spark = df.sparkSession
     if on_duplicate not in ("error", "last"):
@@ -46,8 +48,9 @@ def export_blobs(
     if on_duplicate == "last":
         if order_by is None:
             raise ValueError("on_duplicate='last' needs order_by")
-        rows = last_of_each(df, name_col, content_col, order_by)
-    refuse_duplicates(rows.select("name"))
+        rows = last_of_each(df, name_col, order_by).select(
+            F.col(name_col).alias("name"), F.col(content_col).alias("content")
+        )
 
     target, options = qualify(spark, dir), store_options(spark)
 
@@ -65,32 +68,29 @@ def export_blobs(
                     written["n_bytes"].append(len(content))
                 yield pa.RecordBatch.from_pydict(written, schema=EXPORT_ARROW)
 
-    return materialize(
+    written = materialize(
         rows.mapInArrow(write, "name string, path string, n_bytes long"), "exported"
     )
+    refuse_duplicates(written)
+    return written
 
 
-def last_of_each(df: DataFrame, name_col: str, content_col: str, order_by: str) -> DataFrame:
-    """Rows that no other row of their name comes after.
+def last_of_each(df: DataFrame, name_col: str, order_by: str) -> DataFrame:
+    """Rows of ``df`` that no other row of their name comes after.
 
-    The rows meet the names that occur more than once, whose last positions were found without
-    content.
+    The rows meet the names that occur more than once, whose last positions were found from these
+    two columns alone.
     """
     repeated = (
         df.groupBy(F.col(name_col).alias("name"))
         .agg(F.count("*").alias("copies"), F.max(order_by).alias("last"))
         .where("copies > 1")
-        .select("name", "last")
-    )
-    rows = df.select(
-        F.col(name_col).alias("name"),
-        F.col(content_col).alias("content"),
-        F.col(order_by).alias("position"),
+        .select(F.col("name").alias("__name"), F.col("last").alias("__last"))
     )
     return (
-        rows.join(materialize(repeated, "repeated"), "name", "left")
-        .where(F.col("last").isNull() | (F.col("position") == F.col("last")))
-        .select("name", "content")
+        df.join(materialize(repeated, "repeated"), F.col(name_col) == F.col("__name"), "left")
+        .where(F.col("__last").isNull() | (F.col(order_by) == F.col("__last")))
+        .select(*df.columns)
     )
 
 
@@ -140,10 +140,10 @@ def pack_blobs(
     (value, name), so a value with many rows fills several archives in several tasks.
 
     Members are in name order, and where ``shard_col`` is given the archives, by path, are in the
-    order of (value, name). An archive that is full is followed by another. Names must be unique.
+    order of (value, name). An archive that is full is followed by another. Two members of one name
+    in an archive are an error.
     """
     spark = df.sparkSession
-    refuse_duplicates(df.select(F.col(name_col).alias("name")))
     shard = F.lit("part") if shard_col is None else shard_col
     rows = df.select(
         (F.col(shard) if isinstance(shard, str) else shard).alias("shard"),
@@ -183,7 +183,7 @@ class ArchiveWriter:
         self.target = target
         self.shard = None
         self.members = self.size = self.number = 0
-        self.upload = self.archive = None
+        self.upload = self.archive = self.last = None
 
     def __enter__(self):
         return self
@@ -199,8 +199,12 @@ class ArchiveWriter:
         self.upload = self.store.create(self.path)
         self.archive = zipfile.ZipFile(self.upload.stream, "w", zipfile.ZIP_DEFLATED)
         self.members = self.size = 0
+        self.last = None
 
     def add(self, name: str, content: bytes) -> None:
+        if name == self.last:
+            raise ValueError(f"several rows for one archive are named {name!r}")
+        self.last = name
         entry = zipfile.ZipInfo(checked_name(name), ENTRY_TIME)
         entry.compress_type = zipfile.ZIP_DEFLATED
         self.archive.writestr(entry, content)

@@ -53,10 +53,18 @@ def test_missing_content_is_an_error(spark, tmp_path):
 
 def test_names_must_differ(spark, tmp_path):
     rows = blobs(spark, [("a", b"1"), ("a", b"2"), ("b", b"3")])
-    for write in (bf.export_blobs, bf.pack_blobs):
-        with pytest.raises(ValueError, match="2 rows are named 'a'"):
-            write(rows, "name", "content", str(tmp_path / "out"))
-    assert not (tmp_path / "out").exists()
+    with pytest.raises(ValueError, match="2 rows are named 'a'"):
+        bf.export_blobs(rows, "name", "content", str(tmp_path / "out"))
+    with pytest.raises(Exception, match="several rows for one archive are named 'a'"):
+        bf.pack_blobs(rows, "name", "content", str(tmp_path / "zips"), shards=2)
+    assert not [name for name in os.listdir(tmp_path / "zips") if name.startswith(".")]
+
+
+def test_one_name_in_two_archives(spark, tmp_path):
+    rows = blobs(spark, [("a", b"1"), ("a", b"2")]).withColumn("shard", F.col("content").cast("string"))
+    bf.pack_blobs(rows, "name", "content", str(tmp_path), shards=2, shard_col="shard")
+    names = spark.createDataFrame([("a",)], "member string")
+    assert bytes(bf.lookup_members(names, str(tmp_path)).first().content) == b"1"
 
 
 def test_last_of_a_name_wins(spark, tmp_path):
@@ -81,14 +89,13 @@ def test_last_must_be_one_row(spark, tmp_path):
         bf.export_blobs(df, "name", "content", str(tmp_path), on_duplicate="first")
 
 
-def test_resolved_manifest_to_files(spark, make_zip, tmp_path):
+def test_manifest_to_files(spark, make_zip, tmp_path):
     path = make_zip([("hive-site.xml", b"<x/>"), ("people.csv", b"a;b")])
-    rows = spark.createDataFrame(
-        [("one.xml", "1", "d/hive-site.xml"), ("two.csv", "1", "people.csv"), ("three", "1", "q")],
-        "name string, number string, filePath string",
-    )
+    csv = tmp_path / "kv.csv"
+    csv.write_text("name,number,filePath\none.xml,1,d/hive-site.xml\ntwo.csv,1,people.csv\nthree,1,q\n")
     out = tmp_path / "out"
-    bf.export_blobs(bf.resolve_blobs(rows, path, ["filePath"]), "name", "filePath", str(out))
+    written = bf.export_manifest(spark, str(csv), path, "name", "filePath", str(out))
+    assert written.count() == 3
     assert {n: (out / n).read_bytes() for n in os.listdir(out)} == {
         "one.xml": b"<x/>",
         "two.csv": b"a;b",
@@ -96,6 +103,19 @@ def test_resolved_manifest_to_files(spark, make_zip, tmp_path):
     }
 
 
+def test_last_manifest_row_of_a_name_is_written(spark, make_zip, tmp_path):
+    path = make_zip([("x", b"X"), ("y", b"Y")])
+    rows = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 3, "y"), ("a", 2, "none"), ("b", 1, "x"), ("c", 7, None)],
+        "name string, at int, filePath string",
+    )
+    bf.export_manifest(spark, rows, path, "name", "filePath", str(tmp_path / "out"), order_by="at")
+    found = {n: (tmp_path / "out" / n).read_bytes() for n in ("a", "b", "c")}
+    assert found == {"a": b"Y", "b": b"X", "c": b"File Not Found"}
+    with pytest.raises(ValueError, match="3 rows are named 'a'"):
+        bf.export_manifest(spark, rows, path, "name", "filePath", str(tmp_path / "again"))
+
+
 def entries(folder):
     found = {}
     for name in sorted(os.listdir(folder)):
@@ -164,7 +184,9 @@ def test_no_content_is_shuffled_by_default(spark, tmp_path, monkeypatch):
 
     def keep(df, label):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return df
+        return store(df, label)
+
+    store = files.materialize
 
     monkeypatch.setattr(files, "materialize", keep)
     rows = blobs(spark, [("a", b"1")])
