@@ -13,6 +13,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 OPEN_HANDLES = 8
+WRITE_BUFFER = 1 << 20
+RENAMING = ("local", "hdfs")
 OBJECT_STORES = ("s3", "s3a", "s3n")
 
 
@@ -100,12 +102,15 @@ class Upload:
     def __init__(self, system: pafs.FileSystem, path: str):
         self.system = system
         self.path = path
-        self.renames = system.type_name in ("local", "hdfs")
+        self.renames = system.type_name in RENAMING
         folder, _, name = path.rpartition("/")
         self.target = f"{folder}/.{name[:100]}.{uuid.uuid4().hex}" if self.renames else path
         if self.renames:
             system.create_dir(folder, recursive=True)
-        self.stream = system.open_output_stream(self.target)
+        # By default the stream would compress what goes to a name like ``x.gz``.
+        self.stream = system.open_output_stream(
+            self.target, compression=None, buffer_size=WRITE_BUFFER
+        )
 
     def finish(self):
         self.stream.close()

@@ -34,6 +34,13 @@ def test_export_again_replaces_files(spark, tmp_path):
     assert (tmp_path / "a").read_bytes() == b"two"
 
 
+def test_names_do_not_choose_a_compression(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("blobframe.sources.store.RENAMING", ())
+    rows = [(f"a.{end}", b"plain") for end in ("gz", "bz2", "zst", "lz4")]
+    bf.export_blobs(blobs(spark, rows), "name", "content", str(tmp_path))
+    assert {(tmp_path / name).read_bytes() for name, _ in rows} == {b"plain"}
+
+
 def test_text_is_written_as_utf_8(spark, tmp_path):
     df = spark.createDataFrame([("a", "é")], "name string, content string")
     assert bf.export_blobs(df, "name", "content", str(tmp_path)).first().n_bytes == 2
