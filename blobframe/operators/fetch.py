@@ -104,8 +104,7 @@ def spread_rows(
         hot = loads.filter(over).select(
             "__archive", "__stretch", F.ceil(F.col("__load") / part_bytes).alias("__parts")
         )
-        if hot_rows <= HOT_BROADCAST_ROWS:
-            hot = F.broadcast(hot)
+        hot = F.broadcast(hot) if hot_rows <= HOT_BROADCAST_ROWS else hot.hint("merge")
         keyed = keyed.withColumn("__row", F.monotonically_increasing_id()).join(
             hot, ["__archive", "__stretch"], "left"
         )

@@ -50,9 +50,8 @@ def locate_blobs(
     index = index_of(spark, archives).where(~F.contains("member", F.lit("/")))
     paths = [manifest.select(basename_col(column).alias("fn")) for column in columns]
     names = reduce(DataFrame.union, paths).where(F.col("fn").isNotNull()).distinct()
-    places = first_match(names, index, match)
-    if len(columns) > 1:
-        places = materialize(places, "places")
+    # Stored, so that the planner knows its size before it decides how the rows meet it.
+    places = materialize(first_match(names, index, match), "places")
 
     located = manifest
     for number, column in enumerate(columns):
