@@ -136,7 +136,7 @@ def content_reader(columns: list[str], default, max_member_bytes: int, options:
                     for column, (places, run_of_row) in runs.items():
                         of_rows = run_of_row[begin:end]
                         wanted = places[of_rows[0] : of_rows[-1] + 1]
-                        contents = readers[column].contents(wanted)
+                        contents = readers[column].contents_of(wanted)
                         filled = [default if c is None else c for c in contents]
                         arrays[column] = pa.array(filled, pa.binary()).take(
                             pa.array(of_rows - of_rows[0])
@@ -191,6 +191,17 @@ class MemberReader:
         self.recent = OrderedDict()
         self.recent_bytes = 0
 
+    def contents_of(self, places: list[dict | None]) -> list[bytes | None]:
+        """The contents, read in the order in which they lie in the archives.
+
+        Rows come in that order for the first blob column only.
+        """
+        order = sorted(range(len(places)), key=lambda at: reading_order(places[at]))
+        contents = [None] * len(places)
+        for at, content in zip(order, self.contents([places[at] for at in order])):
+            contents[at] = content
+        return contents
+
     def contents(self, places: list[dict | None]) -> Iterator[bytes | None]:
         block, covered = b"", 0
         for at, place in enumerate(places):
@@ -228,6 +239,10 @@ class MemberReader:
             self.recent_bytes -= len(self.recent.popitem(last=False)[1])
 
 
+def reading_order(place: dict | None) -> tuple[str, int]:
+    return ("", -1) if place is None else (place["archive"], place["offset"])
+
+
 def run_of_neighbours(places: list[dict | None], at: int) -> tuple[int, int]:
     """Where the run that begins at ``at`` ends, and how many bytes it spans."""
     first = places[at]

@@ -140,9 +140,10 @@ def test_neighbours_come_with_one_read(make_zip, monkeypatch):
 
         monkeypatch.setattr(store, "open", lambda uri: Counting())
         reader = MemberReader(store, 1 << 20)
-        mixed = [None, *places, None]
-        contents = list(reader.contents(mixed))
-    assert contents == [None, *(bytes([i]) * 1000 for i in range(50) for _ in range(3)), None]
+        mixed = [None, *places[1::2], None, *places[0::2]]
+        contents = reader.contents_of(mixed)
+    by_place = {p["offset"]: bytes([i // 3]) * 1000 for i, p in enumerate(places)}
+    assert contents == [p and by_place[p["offset"]] for p in mixed]
     assert len(reads) == 1
 
 
@@ -155,7 +156,9 @@ def test_any_order_gives_the_same_contents(make_zip, monkeypatch, order, gap, wi
     path = make_zip([(f"m{i}", bytes([i]) * (100 * i)) for i in range(12)])
     places = [dict(p, archive=f"file:{path}") for p in places_of(path)]
     with Store({}) as store:
-        contents = list(MemberReader(store, 1 << 20).contents([places[i] for i in order]))
+        reader = MemberReader(store, 1 << 20)
+        assert reader.contents_of([places[i] for i in order]) == [bytes([i]) * (100 * i) for i in order]
+        contents = list(reader.contents([places[i] for i in order]))
     assert contents == [bytes([i]) * (100 * i) for i in order]
 
 
