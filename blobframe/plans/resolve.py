@@ -53,12 +53,7 @@ def locate_blobs(
     # Stored, so that the planner knows its size before it decides how the rows meet it.
     places = materialize(first_match(names, index, match), "places")
 
-    located = manifest
-    for number, column in enumerate(columns):
-        key = f"__fn{number}"
-        side = places.select(F.col("fn").alias(key), F.col("place").alias(f"{column}__at"))
-        located = located.withColumn(key, basename_col(manifest[column]))
-        located = located.join(side, key, "left").drop(key)
+    located = with_places(manifest, places, columns)
     statuses = {
         status_name(status_col, column, columns): (
             F.when(F.col(column).isNull(), NULL_PATH)
@@ -71,6 +66,20 @@ def locate_blobs(
     return materialize(located.withColumns(statuses), "located")
 
 
+def with_places(manifest: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
+    """The manifest's rows with the places of their file names, where there are such.
+
+    A name has one place, so a partition of rows that one hot name fills can be split at will, as
+    adaptive execution does.
+    """
+    for number, column in enumerate(columns):
+        key = f"__fn{number}"
+        side = places.select(F.col("fn").alias(key), F.col("place").alias(f"{column}__at"))
+        manifest = manifest.withColumn(key, basename_col(manifest[column]))
+        manifest = manifest.join(side, key, "left").drop(key)
+    return manifest
+
+
 def status_name(status_col: str, column: str, columns: list[str]) -> str:
     return status_col if len(columns) == 1 else f"{status_col}_{column}"
 

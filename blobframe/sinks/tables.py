@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from blobframe.functions.schema import catalog_type, split_schema
-from blobframe.sources.store import qualify
+from blobframe.sources.store import exists, qualify
 
 log = logging.getLogger(__name__)
 
@@ -59,35 +59,45 @@ def ensure_table(
     A table that lacks some columns gets them; older files read NULL there. Any other difference
     replaces the definition (the data stays) and registers the partitions found at ``path``.
     """
-    data, partition = split_schema(schema, keys)
-    wanted_data = [(f.name, catalog_type(f, strict_types)) for f in data]
-    wanted_keys = [(f.name, catalog_type(f, strict_types)) for f in partition]
+    change, data, by = needed_change(spark, name, schema, keys, path, strict_types)
     location = qualify(spark, path)
+    if change != "create":
+        log.info("%s already exists", name)
+    if change == "add":
+        added = [column for column in data if column not in describe_table(spark, name)["data"]]
+        spark.sql(f"ALTER TABLE {quoted_table(name)} ADD COLUMNS ({column_list(added)})")
+    if change == "replace":
+        spark.sql(f"DROP TABLE {quoted_table(name)}")
+    if change in ("create", "replace"):
+        create_table(spark, name, data, by, location)
+    if change == "replace" and keys and exists(spark, location):
+        add_partitions(spark, name)
 
-    if not table_exists(spark, name):
-        create_table(spark, name, wanted_data, wanted_keys, location)
-        return
 
-    log.info("%s already exists", name)
+def needed_change(
+    spark: SparkSession, name: str, schema: T.StructType, keys: list[str], path: str, strict: bool
+) -> tuple[str, list[tuple[str, str]], list[tuple[str, str]]]:
+    """``create``, ``none``, ``add`` or ``replace``, and the data and partition columns wanted."""
+    data, by = (
+        [(field.name, catalog_type(field, strict)) for field in fields]
+        for fields in split_schema(schema, keys)
+    )
+    if not table_exists(spark, name):
+        return "create", data, by
     current = describe_table(spark, name)
-    placed = current["location"] is not None and same_place(spark, current["location"], location)
-    if placed and current["keys"] == wanted_keys:
-        if dict(current["data"]) == dict(wanted_data):
-            return
-        if set(current["data"]) < set(wanted_data):
-            added = [column for column in wanted_data if column not in current["data"]]
-            spark.sql(f"ALTER TABLE {quoted_table(name)} ADD COLUMNS ({column_list(added)})")
-            return
+    placed = current["location"] is not None and same_place(spark, current["location"], path)
+    if placed and current["keys"] == by:
+        if set(current["data"]) == set(data):
+            return "none", data, by
+        if set(current["data"]) < set(data):
+            return "add", data, by
     if not current["external"]:
         raise ValueError(f"{name} is not external; replacing it would delete its data")
-    spark.sql(f"DROP TABLE {quoted_table(name)}")
-    create_table(spark, name, wanted_data, wanted_keys, location)
-    if keys:
-        add_partitions(spark, name)
+    return "replace", data, by
 
 
 def same_place(spark: SparkSession, one: str, other: str) -> bool:
-    return qualify(spark, one).rstrip("/") == other.rstrip("/")
+    return qualify(spark, one).rstrip("/") == qualify(spark, other).rstrip("/")
 
 
 def column_list(columns: list[tuple[str, str]]) -> str:
@@ -115,14 +125,19 @@ def append_partitioned(
 ) -> DataFrame:
     """Append ``df`` at ``path``, see that ``table`` describes it, and register its partitions.
 
-    The data comes first: a failed write leaves the catalog as it was. Returns the table.
+    A new (or replaced) definition is made after the data, so a failed write leaves the catalog as
+    it was, and shows every partition found at ``path``. Otherwise the table gets just the
+    partitions that this append has written to; nothing else is listed. Returns the table.
     """
     spark = df.sparkSession
-    for field in df.schema.fields:
-        catalog_type(field, strict_types)
-    append_files(df, keys, path)
+    change, _, _ = needed_change(spark, table, df.schema, keys, path, strict_types)
+    if change in ("create", "replace"):
+        append_files(df, keys, path)
     ensure_table(spark, table, df.schema, keys, path, strict_types)
-    add_partitions(spark, table)
+    if change == "create" and keys:
+        add_partitions(spark, table)
+    if change in ("none", "add"):
+        df.select(*spark.table(table).columns).write.insertInto(table)
     return spark.table(table)
 
 

@@ -19,13 +19,22 @@ OBJECT_STORES = ("s3", "s3a", "s3n")
 
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """``path`` with its scheme, as the session's Hadoop settings resolve it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    target, system = hadoop_path(spark, path)
     return system.makeQualified(target).toString()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = hadoop_path(spark, path)
+    return system.exists(target)
+
+
 def open_system(uri: str, options: dict[str, str]) -> pafs.FileSystem:
     scheme = uri.partition(":")[0]
     if scheme == "file":

@@ -31,6 +31,7 @@ DEFLATED = 8
 ENCRYPTED_FLAG = 0x0001
 
 BLOCK_BYTES = 4 << 20
+TAIL_BYTES = MAX_COMMENT + DIRECTORY_END_SIZE + DIRECTORY_END_64_SIZE + DIRECTORY_END_64_LOCATOR_SIZE
 
 
 class Entry(NamedTuple):
@@ -44,16 +45,28 @@ class Entry(NamedTuple):
     flags: int
 
 
-def find_directory(handle, archive: str) -> tuple[int, int, int]:
+class FromTheEnd:
+    """A handle whose last bytes are read once; they hold all of a small archive's directory."""
+
+    def __init__(self, handle):
+        self.handle = handle
+        self.total = handle.size()
+        self.begin = max(0, self.total - TAIL_BYTES)
+        self.tail = handle.read_at(self.total - self.begin, self.begin)
+
+    def read_at(self, count: int, at: int) -> bytes:
+        if at >= self.begin:
+            return self.tail[at - self.begin : at - self.begin + count]
+        return self.handle.read_at(count, at)
+
+
+def find_directory(handle: FromTheEnd, archive: str) -> tuple[int, int, int]:
     """``start, length`` of the central directory, and the bytes that precede the first member."""
-    total = handle.size()
-    tail_size = min(total, MAX_COMMENT + DIRECTORY_END_SIZE)
-    tail = handle.read_at(tail_size, total - tail_size)
-    at = tail.rfind(DIRECTORY_END)
-    if at < 0 or at + DIRECTORY_END_SIZE > len(tail):
+    at = handle.tail.rfind(DIRECTORY_END)
+    if at < 0 or at + DIRECTORY_END_SIZE > len(handle.tail):
         raise ValueError(f"{archive} is not a ZIP archive")
-    length, offset = struct.unpack_from("<2L", tail, at + 12)
-    end = total - tail_size + at
+    length, offset = struct.unpack_from("<2L", handle.tail, at + 12)
+    end = handle.begin + at
     if end >= DIRECTORY_END_64_LOCATOR_SIZE:
         locator_at = end - DIRECTORY_END_64_LOCATOR_SIZE
         locator = handle.read_at(DIRECTORY_END_64_LOCATOR_SIZE, locator_at)
@@ -90,6 +103,7 @@ def wide_fields(extra: bytes, fields: list[int]) -> list[int]:
 
 def directory(handle, archive: str) -> Iterator[Entry]:
     """The archive's entries, read from its central directory in blocks of bounded size."""
+    handle = FromTheEnd(handle)
     start, length, shift = find_directory(handle, archive)
     stop = start + length
     buffer, at = b"", 0

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 import blobframe as bf
 from blobframe.operators import fetch
 from blobframe.operators.fetch import attach_content, spread_rows
+from blobframe.plans.resolve import with_places
 
 MANIFEST = "name string, number string, filePath string"
 
@@ -152,6 +153,41 @@ def test_hot_members_and_rows_without_one_are_dealt_out(spark, make_zip, monkeyp
         assert sorted(map(tuple, have.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_hot_names_are_split_when_rows_meet_places(spark):
+    """Neither side is broadcast; a third of the rows have one name, a third have none."""
+    rows = bf.materialize(
+        spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot")
+            .when(F.col("id") % 3 == 1, F.concat(F.lit("n"), F.col("id").cast("string")))
+            .alias("filePath"),
+            F.sha2(F.col("id").cast("string"), 256).alias("other"),
+        ),
+        "rows",
+    )
+    names = rows.select(F.col("filePath").alias("fn")).where("fn is not null").distinct()
+    places = bf.materialize(names.select("fn", F.struct(F.lit("z").alias("archive")).alias("place")), "p")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = with_places(rows, places, ["filePath"])
+        assert joined.where("filePath__at is not null").count() == 40_000
+        joined = joined.select("other", "filePath__at")
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan
+
+
 def test_a_large_archive_is_read_by_many_tasks(spark, make_zip):
     path = make_zip([(f"m{i:03d}", bytes([i]) * 2000) for i in range(200)], compression=0)
     index = bf.index_of(spark, path)

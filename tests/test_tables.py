@@ -53,6 +53,30 @@ def test_append_registers_everything_and_repeats_rows(spark, people, table_name,
     assert described["keys"] == [("job", "string")]
 
 
+def test_a_later_append_registers_what_it_wrote(spark, people, table_name, tmp_path):
+    path = str(tmp_path / "t")
+    bf.append_partitioned(people.where("job = 'tester'"), table_name, ["job"], path)
+    bf.append_files(people.where("job = 'devops'"), ["job"], path)
+    stored = bf.append_partitioned(people.where("job = 'Developer'"), table_name, ["job"], path)
+    assert rows_of(bf.show_partitions(spark, table_name)) == [("job=Developer",), ("job=tester",)]
+    bf.add_partitions(spark, table_name)
+    assert rows_of(spark.table(table_name)) == rows_of(people)
+    assert stored.columns == people.columns
+
+
+def test_append_without_keys(spark, people, table_name, tmp_path):
+    for _ in range(2):
+        stored = bf.append_partitioned(people, table_name, [], str(tmp_path / "t"))
+    assert rows_of(stored) == rows_of(people.union(people))
+
+
+def test_columns_are_matched_by_name(spark, people, table_name, tmp_path):
+    path = str(tmp_path / "t")
+    bf.append_partitioned(people, table_name, ["job"], path)
+    stored = bf.append_partitioned(people.select("job", "age", "name"), table_name, ["job"], path)
+    assert rows_of(stored) == rows_of(people.union(people))
+
+
 def test_adding_a_partition_again_is_no_error(spark, people, table_name, tmp_path):
     bf.append_partitioned(people, table_name, ["job"], str(tmp_path / "t"))
     bf.add_partition(spark, table_name, {"job": "tester"})
@@ -106,7 +130,15 @@ def test_a_managed_table_is_not_replaced(spark, table_name, tmp_path):
     spark.range(3).write.saveAsTable(table_name)
     with pytest.raises(ValueError, match="not external"):
         bf.ensure_table(spark, table_name, T.StructType([T.StructField("x", T.StringType())]), [], str(tmp_path))
-    assert spark.table(table_name).count() == 3
+    with pytest.raises(ValueError, match="not external"):
+        bf.append_partitioned(spark.range(2), table_name, [], str(tmp_path / "t"))
+    assert spark.table(table_name).count() == 3 and not (tmp_path / "t").exists()
+
+
+def test_replaced_before_there_is_data(spark, people, table_name, tmp_path):
+    bf.append_partitioned(people, table_name, ["job"], str(tmp_path / "t"))
+    bf.ensure_table(spark, table_name, people.schema, ["age"], str(tmp_path / "later"))
+    assert spark.table(table_name).count() == 0
 
 
 def test_same_definition_changes_nothing(spark, people, table_name, tmp_path):
