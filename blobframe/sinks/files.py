@@ -18,6 +18,7 @@ from blobframe.sources.store import Store, qualify
 # Fixed value: the earliest time stamp a ZIP entry can carry, so that equal rows give equal bytes.
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 ARCHIVE_BYTES = 1 << 30
+WRITE_BUFFER = 1 << 20
 ARCHIVE_MEMBERS = 1_000_000
 
 EXPORT_ARROW = pa.schema([("name", pa.string()), ("path", pa.string()), ("n_bytes", pa.int64())])
@@ -196,7 +197,7 @@ class ArchiveWriter:
         self.number = self.number + 1 if shard == self.shard else 0
         self.shard = shard
         self.path = f"{self.target}/{checked_name(shard)}-{task:06d}-{self.number:06d}.zip"
-        self.upload = self.store.create(self.path)
+        self.upload = self.store.create(self.path, WRITE_BUFFER)
         self.archive = zipfile.ZipFile(self.upload.stream, "w", zipfile.ZIP_DEFLATED)
         self.members = self.size = 0
         self.last = None

@@ -13,7 +13,6 @@ import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 OPEN_HANDLES = 8
-WRITE_BUFFER = 1 << 20
 RENAMING = ("local", "hdfs")
 OBJECT_STORES = ("s3", "s3a", "s3n")
 
@@ -70,6 +69,7 @@ class Store:
     def __init__(self, options: dict[str, str]):
         self.options = options
         self.systems = {}
+        self.folders = set()
         self.files = OrderedDict()
 
     def __enter__(self):
@@ -97,8 +97,13 @@ class Store:
         self.files[uri] = handle
         return handle
 
-    def create(self, uri: str) -> Upload:
-        return Upload(self.system(uri), inner_path(uri))
+    def create(self, uri: str, buffer_size: int | None = None) -> Upload:
+        system, path = self.system(uri), inner_path(uri)
+        folder = path.rpartition("/")[0]
+        if system.type_name in RENAMING and folder not in self.folders:
+            system.create_dir(folder, recursive=True)
+            self.folders.add(folder)
+        return Upload(system, path, buffer_size)
 
 
 class Upload:
@@ -108,17 +113,15 @@ class Upload:
     way a rerun or speculative task replaces the file by the same bytes.
     """
 
-    def __init__(self, system: pafs.FileSystem, path: str):
+    def __init__(self, system: pafs.FileSystem, path: str, buffer_size: int | None = None):
         self.system = system
         self.path = path
         self.renames = system.type_name in RENAMING
         folder, _, name = path.rpartition("/")
         self.target = f"{folder}/.{name[:100]}.{uuid.uuid4().hex}" if self.renames else path
-        if self.renames:
-            system.create_dir(folder, recursive=True)
         # By default the stream would compress what goes to a name like ``x.gz``.
         self.stream = system.open_output_stream(
-            self.target, compression=None, buffer_size=WRITE_BUFFER
+            self.target, compression=None, buffer_size=buffer_size
         )
 
     def finish(self):
