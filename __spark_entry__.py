@@ -19,6 +19,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import blobframe as bf  # noqa: E402
 
+try:  # the corpus operators can be left out
+    import corpus_pipeline  # noqa: E402
+    from blobframe.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus = corpus_pipeline = None
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -459,7 +465,10 @@ QUERIES = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    found = {query.__name__: query for query in QUERIES}
+    if corpus is not None:
+        found |= {"pipeline": corpus_pipeline.run, **corpus.QUERIES}
+    return found
 
 
 EVENT_ROWS = "event_id, user_id, event_type, value, props, epoch_us(ts) AS ts_us"
@@ -480,6 +489,13 @@ LINEITEM_TYPES = {
 
 
 def oracle_sql() -> dict[str, str]:
+    found = table_sql()
+    if corpus is not None:
+        found |= corpus.ORACLE_SQL
+    return found
+
+
+def table_sql() -> dict[str, str]:
     doc_name = "'doc_' || doc_id || '.txt'"
     return {
         "manifest_scan": """
