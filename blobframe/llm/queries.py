@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table, words_of
+from .jaccard_join import jaccard_groups
 from .mixing import choose_copies
 from .packing import pack_documents
+from .pii import find_private
 from .quality_rules import STATISTICS, quality_rules
+from .toxicity import toxicity_scores
 
 
 def op2_quality_rules(spark, sf_dir):
@@ -30,14 +33,33 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op5_private_data(spark, sf_dir):
+    found = find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = ["n_email", "n_ip", "n_card", "n_phone"]
+    return found.select("doc_id", *counts, "base_sha256", "spans", "n_terms")
+
+
 def op8_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op5_private_data": op5_private_data,
     "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {}
