@@ -31,7 +31,7 @@ PERCENT = 90
 #: Blocks more than the differences of a linked pair; makes up for blocks that are empty.
 SPARE = 1
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
-CHUNK_SHINGLES = 400_000
+CHUNK_SHINGLES = 1 << 16
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -333,7 +333,7 @@ def jaccard_groups(
         .select("block", "least"),
         "shared_blocks",
     )
-    near = entries.join(_measured(shared), "block").where(F.col("node") != F.col("least"))
+    near = entries.join(shared, "block").where(F.col("node") != F.col("least"))
     edges = near.select(F.col("node").alias("u"), F.col("least").alias("v"))
     clusters = materialize(components(edges, "clusters"), "clusters")
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table, words_of
+from .fingerprints import document_fingerprints
 from .jaccard_join import jaccard_groups
 from .mixing import choose_copies
 from .packing import pack_documents
 from .pii import find_private
+from .quality_cnn import quality_scores
 from .quality_rules import STATISTICS, quality_rules
+from .sentence_dedup import sentence_dedup
+from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity_scores
 
 
+def op1_fingerprints(spark, sf_dir):
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark, sf_dir):
     rated = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return rated.select("doc_id", *STATISTICS, "base_failed", "kept")
@@ -33,12 +41,26 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_private_data(spark, sf_dir):
     found = find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = ["n_email", "n_ip", "n_card", "n_phone"]
     return found.select("doc_id", *counts, "base_sha256", "spans", "n_terms")
 
 
+def op6_quality_cnn(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_scores(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_sentence_dedup(spark, sf_dir):
+    return sentence_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -54,9 +76,13 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_private_data": op5_private_data,
+    "op6_quality_cnn": op6_quality_cnn,
+    "op7_sentence_dedup": op7_sentence_dedup,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
