@@ -9,8 +9,9 @@ all suffixes would be larger than the corpus many times over, so the digits are
   share one: one row stands for all suffixes of an anchor.
 * Second digit: all bytes of all windows of the anchor. Anchors equal in it have only repeated
   windows. An anchor whose first digit is unique has none. Both are done.
-* Last digit, for what the first two leave open: each window by itself, for one anchor of each
-  second digit.
+* Third digit, for what the first two leave open, and for one anchor of each second digit: what
+  32 neighbouring windows have in common, which is all but 31 bytes on either side.
+* Last digit, for what still has a partner: those 31 bytes of each window.
 
 Only hashes and places are shuffled, and the text twice, by its own hash. Windows are compared by
 64-bit hashes within equal digits.
@@ -34,6 +35,9 @@ WIDTH = 200
 CONTEXT = 32
 #: Bytes that are hashed and searched for anchors at a time; longer texts go in overlapping pieces.
 PIECE = 1 << 20
+#: Starts of windows that share a third digit.
+BLOCK = 32
+THIRD = ["context", "block", "core", "t1", "t2", "anchor", "low", "high", "weight", "around"]
 _ROLL = 8  # bytes that decide on an anchor
 
 
@@ -83,7 +87,10 @@ def digest(data: bytes | memoryview, seed: int) -> int:
 
 
 def first_digits(docs: DataFrame, width: int) -> DataFrame:
-    """(context, whole, t1, t2, anchor, first, last) for every anchor of every text."""
+    """(context, whole, t1, t2, anchor, back, ahead) for every anchor of every text.
+
+    The anchor's windows start from ``back`` bytes before it to ``ahead`` bytes behind that.
+    """
 
     def run(batches):
         for batch in batches:
@@ -93,40 +100,53 @@ def first_digits(docs: DataFrame, width: int) -> DataFrame:
                 for a, s, e in anchors(data, width):
                     row = (
                         digest(data[a : a + CONTEXT], 1), digest(data[s : e + width], a - s),
-                        one, two, a, s, e,
+                        one, two, a, a - s, e - s,
                     )
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
-            names = ["context", "whole", "t1", "t2", "anchor", "first", "last"]
+            names = ["context", "whole", "t1", "t2", "anchor", "back", "ahead"]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    schema = "context long, whole long, t1 long, t2 long, anchor long, first long, last long"
+    schema = "context long, whole long, t1 long, t2 long, anchor long, back long, ahead long"
     return docs.select("t1", "t2", "text").mapInArrow(run, schema)
 
 
-def last_digits(open_ones: DataFrame, width: int) -> DataFrame:
-    """(window, context, t1, t2, start, weight) for each window of the open anchors of a text."""
+def third_digits(open_ones: DataFrame, width: int) -> DataFrame:
+    """(context, block, core, t1, t2, anchor, low, high, weight, around) for the open anchors.
+
+    Windows that start in the same BLOCK of bytes before their anchor have all but BLOCK - 1 bytes
+    in common. ``core`` is the hash of those, ``around`` the bytes on either side, and low:high are
+    the anchor's windows in the block.
+    """
+    margin = BLOCK - 1
 
     def run(batches):
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
+            rows: list[tuple] = []
             for t1, t2, text, found in zip(*batch.columns, strict=True):
-                data = memoryview(as_bytes(text.as_py()))
+                data, one, two = as_bytes(text.as_py()), t1.as_py(), t2.as_py()
                 for anchor in found.as_py():
-                    a, weight = anchor["anchor"], anchor["weight"]
-                    for s in range(anchor["first"], anchor["last"] + 1):
-                        row = (
-                            digest(data[s : s + width], a - s), anchor["context"],
-                            t1.as_py(), t2.as_py(), s, weight,
+                    a, back = anchor["anchor"], anchor["back"]
+                    nearest = back - anchor["ahead"]  # of the last window, before the anchor
+                    for block in range(nearest // BLOCK, back // BLOCK + 1):
+                        begin = a - BLOCK * block
+                        end = begin + width - margin
+                        left = data[max(0, begin - margin) : begin].rjust(margin, b"\0")
+                        right = data[end : end + margin].ljust(margin, b"\0")
+                        low = max(0, nearest - BLOCK * block)
+                        high = min(margin, back - BLOCK * block)
+                        rows.append(
+                            (anchor["context"], block, digest(data[begin:end], block), one, two,
+                             a, low, high, anchor["weight"], left + right)
                         )
-                        for column, value in zip(columns, row, strict=True):
-                            column.append(value)
-            names = ["window", "context", "t1", "t2", "start", "weight"]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
+            columns = list(zip(*rows, strict=True)) or [[]] * 10
+            types = [pa.int64()] * 9 + [pa.binary()]
+            yield pa.record_batch(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=THIRD
+            )
 
-    return open_ones.select("t1", "t2", "text", "anchors").mapInArrow(
-        run, "window long, context long, t1 long, t2 long, start long, weight long"
-    )
+    schema = ", ".join(f"{name} long" for name in THIRD[:-1]) + ", around binary"
+    return open_ones.select("t1", "t2", "text", "anchors").mapInArrow(run, schema)
 
 
 def removed_runs(spans: list[dict]) -> list[tuple[int, int]]:
@@ -181,35 +201,46 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     hashes = [F.xxhash64(F.lit(k), text).alias(f"t{k}") for k in (1, 2)]
     docs = docs.select(F.col("doc_id").cast("long"), *hashes, text.alias("text"))
     found = materialize(first_digits(docs, width), "anchors")
-    place = F.struct("t1", "t2", "anchor", "first", "last")
-    groups = materialize(
-        found.groupBy("context", "whole").agg(
-            F.count("*").alias("weight"), F.min(place).alias("p"), F.max(place).alias("q")
-        ),
-        "second_digits",
+    contexts = found.groupBy("context").agg(
+        F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")
+    )
+    contexts = contexts.where("n > 1").select("context", (F.col("a") != F.col("b")).alias("open"))
+    contexts = materialize(contexts, "contexts")
+    found = materialize(found.join(contexts, "context"), "repeated_contexts")
+    groups = found.groupBy("context", "whole", "open").agg(
+        F.count("*").alias("weight"), F.min(F.struct("t1", "t2", "anchor", "back", "ahead")).alias("p")
     )
-    several = groups.groupBy("context").agg(F.count("*").alias("n")).where("n > 1")
-    several = materialize(several.select("context"), "open_contexts")
-    # One anchor of each second digit goes on to the last digit.
-    going = groups.join(several, "context").select("context", "weight", "p.*")
+    groups = materialize(groups.where("open or weight > 1"), "second_digits")
+    # One anchor of each second digit goes on.
+    going = groups.where("open").select("context", "weight", "p.*")
     going = going.groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("context", "weight", "anchor", "first", "last")).alias("anchors")
+        F.collect_list(F.struct("context", "weight", "anchor", "back", "ahead")).alias("anchors")
     )
     going = materialize(going, "open_anchors")
     texts = docs.select("t1", "t2", "text")
     copies = texts.groupBy("t1", "t2").agg(F.count("*").alias("n")).where("n > 1")
     copies = materialize(copies.select("t1", "t2", F.lit(True).alias("copied")), "copies")
     single = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    windows = materialize(last_digits(single.join(going, ["t1", "t2"]), width), "windows")
-    again = windows.groupBy("context", "window").agg(F.sum("weight").alias("n")).where("n > 1")
-    again = materialize(again.select("context", "window"), "repeated_windows")
+    third = materialize(third_digits(single.join(going, ["t1", "t2"]), width), "third_digits")
+    digits = ["context", "block", "core"]
+    shared = third.groupBy(*digits).agg(F.count("*").alias("n")).where("n > 1").select(*digits)
+    still = third.join(materialize(shared, "shared_cores"), digits)
+    window = F.substring("around", BLOCK - F.col("i"), F.lit(BLOCK - 1))
+    windows = still.withColumn("i", F.explode(F.sequence("low", "high")))
+    windows = windows.withColumn("i", F.col("i").cast("int")).withColumn("window", window)
+    windows = materialize(windows.drop("around", "low", "high"), "windows")
+    last = [*digits, "i", "window"]
+    again = windows.groupBy(*last).agg(F.sum("weight").alias("n")).where("n > 1").select(*last)
+    again = materialize(again, "repeated_windows")
     # A window whose anchor stands for several is among theirs; those of single ones are its own.
-    starts = windows.where("weight = 1").join(again, ["context", "window"])
-    starts = starts.select("t1", "t2", "start", (F.col("start") + width).alias("end"))
-    done = groups.where("weight > 1").select("context", "whole")
-    runs = found.join(materialize(done, "repeated_digits"), ["context", "whole"])
+    start = F.col("anchor") - BLOCK * F.col("block") - F.col("i")
+    starts = windows.where("weight = 1").join(again, last)
+    starts = starts.select("t1", "t2", start.alias("start"), (start + width).alias("end"))
+    done = materialize(groups.where("weight > 1").select("context", "whole"), "repeated_digits")
+    first = F.col("anchor") - F.col("back")
+    runs = found.join(done, ["context", "whole"])
     runs = runs.select(
-        "t1", "t2", F.col("first").alias("start"), (F.col("last") + width).alias("end")
+        "t1", "t2", first.alias("start"), (first + F.col("ahead") + width).alias("end")
     )
     runs = runs.join(copies.drop("copied"), ["t1", "t2"], "left_anti")
     starts = starts.join(copies.drop("copied"), ["t1", "t2"], "left_anti")
