@@ -130,18 +130,20 @@ def consume(counts: np.ndarray, lengths: tuple[int, ...], plan: list) -> int:
     return times
 
 
-def fill_exactly(counts: np.ndarray, length: int, capacity: int, plan: list) -> None:
-    """Fill the gap beside ``length`` with one, two or three available lengths of just that sum."""
+def fill_exactly(
+    counts: np.ndarray, length: int, capacity: int, plan: list, most: int = 3
+) -> None:
+    """Fill the gap beside ``length`` with up to ``most`` available lengths of just that sum."""
     gap = capacity - length
     if gap and counts[gap]:
         consume(counts, (length, gap), plan)
-    if counts[length] and gap >= 2:
+    if counts[length] and gap >= 2 and most >= 2:
         a = np.arange(gap - 1, (gap - 1) // 2, -1)
         for x in a[(counts[a] > 0) & (counts[gap - a] > 0)]:
             consume(counts, (length, int(x), int(gap - x)), plan)
             if not counts[length]:
                 return
-    if counts[length] and gap >= 3:
+    if counts[length] and gap >= 3 and most >= 3:
         for x in np.flatnonzero(counts[: gap - 1])[::-1]:
             rest = gap - int(x)
             b = np.arange(min(int(x), rest - 1), (rest - 1) // 2, -1)
@@ -185,18 +187,24 @@ def best_fit(counts: np.ndarray, capacity: int, plan: list) -> None:
 
 
 def packing_plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, how many sequences of just these); the lengths' counts come from ``histogram``."""
-    counts = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        counts[length] = n
-    plan: list[tuple[tuple[int, ...], int]] = []
-    if counts[capacity]:
+    """(lengths, how many sequences of just these); the lengths' counts come from ``histogram``.
+
+    Of the plans that fill gaps exactly by up to three, two, one and no lengths, the one with the
+    fewest sequences.
+    """
+    plans = []
+    for most in (3, 2, 1, 0):
+        counts = np.zeros(capacity + 1, np.int64)
+        for length, n in histogram.items():
+            counts[length] = n
+        plan: list[tuple[tuple[int, ...], int]] = []
         consume(counts, (capacity,), plan)
-    for length in range(capacity - 1, 0, -1):
-        if counts[length]:
-            fill_exactly(counts, length, capacity, plan)
-    best_fit(counts, capacity, plan)
-    return plan
+        for length in range(capacity - 1, 0, -1):
+            if counts[length] and most:
+                fill_exactly(counts, length, capacity, plan, most)
+        best_fit(counts, capacity, plan)
+        plans.append(plan)
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
 
 
 def plan_by_length(plan: list) -> list[tuple]:

@@ -1,0 +1,298 @@
+"""The operators with Python in their tasks against brute force, round trips and held-out labels."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from blobframe.llm import jaccard_join as jj
+from blobframe.llm.packing import Encoder, cut, pack_documents, packing_plan
+from blobframe.llm.quality_cnn import Network, fit, quality_scores
+from blobframe.llm.sentence_dedup import SENTENCE, sentence_dedup
+from blobframe.llm.suffix_dedup import anchors, suffix_dedup
+from blobframe.llm.toxicity import toxicity_scores
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 3 == 1
+
+
+def near_copies(rng, base, n, share):
+    words = base.split()
+    out = []
+    for _ in range(n):
+        new = list(words)
+        for k in rng.sample(range(len(words)), max(1, int(len(words) * share * rng.random()))):
+            new[k] = f"w{rng.getrandbits(30)}"
+        out.append(" ".join(new))
+    return out
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 6)))
+    base = [" ".join(word() for _ in range(n)) for n in (12, 40, 150, 150, 400)]
+    texts = [None, "", " \n", "one", "One", "a b", "A  b", "x" * 500, "ab" * 300]
+    for b in base:
+        texts += [b, b, b.upper(), *near_copies(rng, b, 25, 0.06)]
+    shared = " ".join(word() for _ in range(60))
+    texts += [f"{word()} {word()} {shared} {word()} tail {i}" for i in range(12)]
+    texts += [" ".join(word() for _ in range(rng.randint(3, 80))) for _ in range(40)]
+    return texts
+
+
+def shingles(text, width=3):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return set()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+
+
+def groups_by_force(texts, percent=90, width=3):
+    sets, root = [shingles(t, width) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))], sets
+
+
+@pytest.mark.parametrize(("percent", "width", "chunk"), [(90, 3, 1 << 16), (80, 5, 400)])
+def test_jaccard_groups(spark, corpus, percent, width, chunk):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(corpus)], DOCS)
+    got = {r.doc_id: r for r in jj.jaccard_groups(df, percent, width, chunk).collect()}
+    want, sets = groups_by_force(corpus, percent, width)
+    assert {i: r.component_id for i, r in got.items()} == dict(enumerate(want))
+    assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in enumerate(sets)}
+
+
+def test_links_within_and_between_chunks(corpus):
+    sets = [jj.shingle_set(t) for t in corpus if t and t.strip()]
+    force, _ = groups_by_force([t for t in corpus if t and t.strip()])
+    forest = jj.Forest(len(sets))
+    for i, j in jj.link_chunks(sets, None, 90):
+        forest.join(i, j)
+    assert [forest.root(i) for i in range(len(sets))] == force
+    first = np.arange(len(sets)) % 2 == 0
+    for i, j in jj.link_chunks(sets, first, 90):
+        assert first[i] != first[j]
+
+
+def test_long_chain_is_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "u long, v long")
+    got = {r.node: r.root for r in jj.components(edges, "chain").collect()}
+    assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
+
+
+def test_groups_of_odd_tables(spark):
+    assert jj.jaccard_groups(spark.createDataFrame([], DOCS)).count() == 0
+    rows = [(None, "a b c d", "x"), (4, "a b c d", "x"), (4, "a b c d", "x"), (7, None, "x"), (8, None, "x")]
+    got = jj.jaccard_groups(spark.createDataFrame(rows, DOCS + "")).collect()
+    assert sorted((r.doc_id or 0, r.component_id) for r in got) == [(0, 4), (4, 4), (4, 4), (7, 7), (8, 8)]
+
+
+def windows_by_force(texts, width=200):
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(b[i : i + width] for b in raw for i in range(len(b) - width + 1))
+    out = []
+    for b in raw:
+        gone = np.zeros(len(b) + 1, bool)
+        for i in range(len(b) - width + 1):
+            if seen[b[i : i + width]] > 1:
+                gone[i : i + width] = True
+        spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone[:-1]])
+        out.append((len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_suffix_dedup(spark, corpus):
+    rng = random.Random(4)
+    long = "".join(rng.choices("abcdé ", k=1500))
+    texts = corpus + [long[:900], long[300:], long[100:310] + "!" + long[500:700], "é" * 99, "é" * 100]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup(df).collect()}
+    assert got == dict(enumerate(windows_by_force(texts)))
+
+
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    data = bytes(random.Random(1).choices(range(97, 101), k=5000)) + b"a" * 900
+    whole = anchors(data)
+    monkeypatch.setattr("blobframe.llm.suffix_dedup.PIECE", 700)
+    assert anchors(data) == whole
+    assert [s for a, s, e in whole][0] == 0 and whole[-1][2] == len(data) - 200
+
+
+def test_suffix_dedup_of_odd_tables(spark):
+    assert suffix_dedup(spark.createDataFrame([], DOCS + ", spans string")).count() == 0
+    rows = [(None, "y" * 250, None), (1, None, None), (1, None, None)]
+    got = suffix_dedup(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.n_bytes, r.n_removed) for r in got) == [(0, 0), (0, 0), (250, 250)]
+
+
+def test_sentence_dedup(spark):
+    rng = random.Random(6)
+    line = lambda: " ".join(rng.choices("abcdefghij", k=7)) + rng.choice([". ", "! ", ".\n", "?  "])
+    shared = "".join(line() for _ in range(6))
+    texts = [None, "", "...", "No end", shared, line() + shared + line(), shared.replace(" ", "  ")]
+    texts += ["".join(line() for _ in range(8)) for _ in range(10)] + ["No end"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in sentence_dedup(df).collect()}
+    pieces = [[m[0] for m in re.finditer(SENTENCE.replace("*+", "*").replace("++", "+"), t or "")] for t in texts]
+    assert ["".join(p) for p in pieces] == [t or "" for t in texts]
+    plain = [[(re.sub(r"[ \t\n]+", " ", s).strip(), i) for i, s in enumerate(p) if s.strip()] for p in pieces]
+    first, gone = {}, collections.defaultdict(set)
+    for d, p in enumerate(plain):
+        for j in range(max(1, len(p) - 2) if p else 0):
+            run = p[j : j + 3]
+            key = tuple(s for s, _ in run)
+            if first.setdefault(key, (d, j)) != (d, j):
+                gone[d] |= set(range(run[0][1], run[-1][1] + 1))
+    for d, p in enumerate(pieces):
+        assert set(got[d].removed) == gone[d], d
+        assert got[d].text == "".join(s for i, s in enumerate(p) if i not in gone[d])
+        assert (got[d].n_sentences, got[d].n_removed) == (len(p), len(gone[d]))
+    assert sentence_dedup(spark.createDataFrame([], DOCS + ", removed string")).count() == 0
+
+
+def encoder():
+    import public_tokenizers as P
+
+    return Encoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+
+def test_ids_are_those_of_the_tokenizer():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    whole, quick = Tokenizer.from_file(P.path("byte_bpe_50k.json")), encoder()
+    texts = ["", " ", "a  b\n\n c\t", "it's we'll I'D", "naïve ÀÉß ñandú", "x<|endoftext|>y", "日本 ½ ²", "a\x0b\x1cb c",
+             "12345 6,7--8 ***!!", "\r\n\r\n ", "ŁódźɏƏ", "×÷ª", "é"]
+    for t in texts:
+        want = [*whole.encode(t, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(quick.encode(t), "<u4").tolist() == want, t
+
+
+def test_only_the_first_piece_may_be_shorter():
+    assert list(cut(5, 8)) == [(0, 5)] and list(cut(16, 8)) == [(0, 8), (8, 8)]
+    assert list(cut(19, 8)) == [(0, 3), (3, 8), (11, 8)]
+
+
+def test_plan_packs_every_piece_and_fills_gaps():
+    rng = random.Random(8)
+    histogram = collections.Counter(rng.randint(1, 64) for _ in range(3000))
+    plan = packing_plan(histogram, 64)
+    packed = collections.Counter()
+    for lengths, times in plan:
+        assert sum(lengths) <= 64 and times > 0
+        for x in lengths:
+            packed[x] += times
+    assert packed == histogram
+    total = sum(k * v for k, v in histogram.items())
+    assert sum(t for _, t in plan) <= 1.01 * total / 64  # no plan can have fewer than total / 64
+    assert packing_plan({}, 64) == []
+    assert packing_plan({33: 5}, 64) == [((33,), 5)]
+
+
+def test_packing_round_trip(spark, corpus):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(corpus * 2)], DOCS)
+    rows = pack_documents(df, capacity=128).collect()
+    ids = {i: encoder().encode(t or "") for i, t in enumerate(corpus * 2)}
+    by_doc = collections.defaultdict(list)
+    for r in rows:
+        piece = ids[r.doc_id][4 * r.start : 4 * (r.start + r.length)]
+        assert zlib.crc32(piece) == r.ids_crc32
+        by_doc[r.doc_id].append((r.start, r.length))
+    assert {i: sorted(x) for i, x in by_doc.items()} == {i: list(cut(len(x) // 4, 128)) for i, x in ids.items()}
+    sequences = collections.defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 128
+    assert pack_documents(spark.createDataFrame([], DOCS + ", rank int")).count() == 0
+
+
+def labelled(spark, n=900):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    docs, labels = [], []
+    for i in range(n):
+        words = [word() for _ in range(rng.randint(20, 90))]
+        toxic, bad = rng.random() < 0.15, rng.random() < 0.2
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["zonk", "zorp", "zilch"]))
+        docs.append((i, " ".join(w + "!!" if bad else w for w in words), "x"))
+        labels.append((i, int(not bad), int(toxic)))
+    return docs, labels, spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+
+
+@pytest.mark.parametrize(("scores", "column"), [(toxicity_scores, 2), (quality_scores, 1)])
+def test_held_out_labels_are_predicted(spark, scores, column):
+    _, labels, df, marks = labelled(spark)
+    got = {r.doc_id: r for r in scores(df, marks).collect()}
+    assert all(r.held_out == held(i) and 0 <= r.score <= 1 for i, r in got.items())
+    right = [got[x[0]].predicted == x[column] for x in labels if held(x[0])]
+    assert sum(right) / len(right) > 0.95
+    flipped = [(x[0], 1 - x[1], 1 - x[2]) if held(x[0]) else x for x in labels]
+    again = scores(df.select("doc_id", "text"), spark.createDataFrame(flipped, LABELS)).collect()
+    assert {r.doc_id: r.score for r in again} == pytest.approx({i: r.score for i, r in got.items()})
+
+
+@pytest.mark.parametrize("scores", [toxicity_scores, quality_scores])
+def test_scores_of_odd_tables(spark, scores):
+    none = spark.createDataFrame([], LABELS)
+    assert scores(spark.createDataFrame([], DOCS + ", score string"), none).count() == 0
+    rows = [(None, None, "x"), (1, "", "x"), (1, "word " * 9000, "x")]
+    got = scores(spark.createDataFrame(rows, DOCS), none).collect()
+    assert len(got) == 3 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_network_gradients():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 105, n).astype(np.uint8) for n in (3, 700, 1500)]
+    labels = np.array([1, 0, 1], np.float32)
+    net = Network()
+
+    def loss():
+        margin = np.array([float(net.head(net.pooled(t))) for t in texts])
+        return float(np.mean(np.logaddexp(0, margin) - labels * margin))
+
+    slopes = net.gradients(texts, labels)
+    for name in ("out", "hidden", "filter_bias", "filters"):
+        flat, at = net.p[name].reshape(-1), int(np.abs(slopes[name]).argmax())
+        was = flat[at]
+        flat[at] = was + 2e-3
+        up = loss()
+        flat[at] = was - 2e-3
+        down = loss()
+        flat[at] = was
+        assert (up - down) / 4e-3 == pytest.approx(slopes[name].reshape(-1)[at], rel=0.1, abs=1e-4)
+
+
+def test_long_texts_are_convolved_in_pieces(monkeypatch):
+    net, text = fit([], np.empty(0)), np.random.default_rng(1).integers(0, 256, 200_000).astype(np.uint8)
+    whole = net.pooled(text)
+    monkeypatch.setattr("blobframe.llm.quality_cnn.PIECE", 64 * 4 * 8)
+    assert np.allclose(net.pooled(text), whole, atol=1e-5)
