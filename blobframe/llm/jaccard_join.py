@@ -3,8 +3,8 @@
 1. Every document becomes a set of hashed shingles; equal sets are one node from here on.
 2. Index: sets of similar size are cut at the same places of the hash order into more blocks than
    a linked pair can have differences, so a linked pair shares a whole block. The lists of equal
-   blocks tie sets into clusters that no link leaves. Only hashes are shuffled, and what does not
-   share a whole block with anything is skipped.
+   blocks tie sets into clusters that no link leaves, for every class of sizes apart. Only hashes
+   are shuffled, and what does not share a whole block with anything is skipped.
 3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks. The
    sets of a chunk are in an index of lists ordered by size, and the part of a list that cannot
    reach the threshold is skipped. A set that is close to one whose overlaps are known gets its own
@@ -31,7 +31,7 @@ PERCENT = 90
 #: Blocks more than the differences of a linked pair; makes up for blocks that are empty.
 SPARE = 1
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
-CHUNK_SHINGLES = 1 << 16
+CHUNK_SHINGLES = 1 << 18
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -75,8 +75,10 @@ def most_differences(largest: int, percent: int) -> int:
     return both * (100 - percent) // (100 + percent)
 
 
-def block_hashes(shingles: np.ndarray, starts: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Hashes of the set's blocks, in the classes where it may be the smaller or the larger one."""
+def block_hashes(
+    shingles: np.ndarray, starts: np.ndarray, percent: int
+) -> list[tuple[int, np.ndarray]]:
+    """(class, hashes of the set's blocks) where it may be the smaller or the larger one."""
     found = []
     own = int(np.searchsorted(starts, len(shingles), "right")) - 1
     for at in {own, max(own - 1, 0)}:
@@ -91,7 +93,7 @@ def block_hashes(shingles: np.ndarray, starts: np.ndarray, percent: int) -> list
         number = np.arange(int(blocks), dtype=np.uint64)
         keep = filled if (~filled).sum() <= SPARE else np.ones(int(blocks), bool)
         key = sums + number * ODD[1] + np.uint64(at << 40)
-        found.append(mixed(key[keep]))
+        found.append((at, mixed(key[keep])))
     return found
 
 
@@ -100,7 +102,10 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def set_of_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document: its text's hashes, the set's size and hashes, and the hashes of its blocks."""
+    """Per document: its text's hashes, the set's size and hashes, and its places in the index.
+
+    A place is the set in one size class: v0 and v1 name it, b0 and b1 are the hashes of its blocks.
+    """
     starts = size_classes(percent)
 
     def run(batches):
@@ -109,23 +114,26 @@ def set_of_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for doc_id, t1, t2, text in zip(*batch.columns, strict=True):
                 shingles = shingle_set(text.as_py(), width)
                 node = check = None
-                blocks = np.empty(0, np.int64)
+                places: list[tuple] = []
                 if len(shingles):
                     node = int(signed(mixed(shingles).sum(keepdims=True))[0])
                     check = int(signed(mixed(shingles ^ ODD[2]).sum(keepdims=True))[0])
-                    hashes = block_hashes(shingles, starts, percent)
-                    blocks = signed(np.concatenate([np.empty(0, np.uint64), *hashes]))
-                row = (doc_id.as_py(), t1.as_py(), t2.as_py(), len(shingles), node, check, blocks)
-                rows.append(row)
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            types = [pa.int64()] * 6 + [pa.list_(pa.int64())]
-            names = ["doc_id", "t1", "t2", "n_shingles", "node", "check", "blocks"]
+                    for at, hashes in block_hashes(shingles, starts, percent):
+                        name = mixed(np.array([node % (1 << 64)], np.uint64) ^ np.uint64(at << 40))
+                        places.append((int(signed(name)[0]), signed(hashes)))
+                (v0, b0), (v1, b1) = (places + [(None, [])] * 2)[:2]
+                row = (doc_id.as_py(), t1.as_py(), t2.as_py(), len(shingles), node, check)
+                rows.append((*row, v0, v1, b0, b1))
+            columns = list(zip(*rows, strict=True)) or [[]] * 10
+            types = [pa.int64()] * 8 + [pa.list_(pa.int64())] * 2
+            names = ["doc_id", "t1", "t2", "n_shingles", "node", "check", "v0", "v1", "b0", "b1"]
             yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
             )
 
     schema = (
-        "doc_id long, t1 long, t2 long, n_shingles long, node long, check long, blocks array<long>"
+        "doc_id long, t1 long, t2 long, n_shingles long, node long, check long, "
+        "v0 long, v1 long, b0 array<long>, b1 array<long>"
     )
     return docs.select("doc_id", "t1", "t2", "text").mapInArrow(run, schema)
 
@@ -323,25 +331,28 @@ def jaccard_groups(
     """
     docs = with_text_hashes(docs)
     sets = materialize(set_of_documents(docs, width, percent), "sets")
-    entries = sets.where(F.col("node").isNotNull()).select(
-        "node", F.explode("blocks").alias("block")
-    )
+    entries = [
+        sets.select(F.col(f"v{k}").alias("place"), F.explode(f"b{k}").alias("block")) for k in (0, 1)
+    ]
+    entries = entries[0].union(entries[1])
     shared = materialize(
         entries.groupBy("block")
-        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+        .agg(F.min("place").alias("least"), F.max("place").alias("most"))
         .where(F.col("least") != F.col("most"))
         .select("block", "least"),
         "shared_blocks",
     )
-    near = entries.join(shared, "block").where(F.col("node") != F.col("least"))
-    edges = near.select(F.col("node").alias("u"), F.col("least").alias("v"))
-    clusters = materialize(components(edges, "clusters"), "clusters")
+    near = entries.join(shared, "block").where(F.col("place") != F.col("least"))
+    edges = near.select(F.col("place").alias("u"), F.col("least").alias("v"))
+    clusters = components(edges, "clusters").withColumnRenamed("node", "place")
+    clusters = materialize(clusters, "clusters")
 
     full = sets.where(F.col("node").isNotNull())
-    nodes = full.groupBy("node", "check", "n_shingles").agg(
+    placed = full.withColumn("place", F.explode(F.array_compact(F.array("v0", "v1"))))
+    nodes = placed.groupBy("node", "check", "n_shingles", "place").agg(
         F.min(F.struct("t1", "t2")).alias("text"), F.min("doc_id").alias("least_id")
     )
-    nodes = materialize(nodes.join(_measured(clusters), "node"), "nodes")
+    nodes = materialize(nodes.join(_measured(clusters), "place"), "nodes")
     members = nodes.select(
         "root", "n_shingles", F.xxhash64("node", "check").alias("uid"), "text.t1", "text.t2"
     )
@@ -359,7 +370,7 @@ def jaccard_groups(
 
     named = nodes.select(
         "node", "check", "n_shingles", "least_id", F.xxhash64("node", "check").alias("uid")
-    ).join(_measured(groups.withColumnRenamed("node", "uid").withColumnRenamed("root", "group")), "uid")
+    ).distinct().join(_measured(groups.withColumnRenamed("node", "uid").withColumnRenamed("root", "group")), "uid")
     least = materialize(
         named.groupBy("group").agg(F.min("least_id").alias("component_id")), "components"
     )
