@@ -69,6 +69,10 @@ def packed(df: DataFrame, content: str = "text", **options) -> str:
     return folder
 
 
+def shard_of(archive: str) -> Column:
+    return F.regexp_extract(bf.basename_col(archive), r"^part-(.*)-\d+-\d+\.zip$", 1)
+
+
 def manifest_file(df: DataFrame, sep: str = ",") -> str:
     path = bf.scratch_dir(df.sparkSession, "manifest")
     df.write.option("header", True).option("sep", sep).csv(path)
@@ -109,6 +113,23 @@ def blob_scan(spark, sf_dir):
     )
 
 
+def blob_scan_all_names(spark, sf_dir):
+    """Names that begin with a letter, ``_`` and ``.`` in turn; every fifth file is empty."""
+    turn = (F.col("page_id") % 3).cast("int")
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat(F.substr(F.lit("p_."), turn + 1, F.lit(1)), F.col("page_id").cast("string")).alias("name"),
+        F.when(F.col("page_id") % 5 == 0, "").otherwise(F.col("html")).alias("html"),
+    )
+    folder = bf.scratch_dir(spark, "pages")
+    bf.export_blobs(pages, "name", "html", folder)
+    files = bf.scan_blobs(spark, folder)
+    return files.select(
+        bf.basename_col("path").alias("name"),
+        F.col("length").alias("n_bytes"),
+        sha("content").alias("sha"),
+    )
+
+
 def archive_index(spark, sf_dir):
     files = bf.list_archives(spark, packed(documents(spark, sf_dir)), glob="*.zip")
     return bf.archive_index(files).select("member", "size")
@@ -118,8 +139,7 @@ def stream_order(spark, sf_dir):
     """Names in stream order; the archives were packed in the order of (lang, name)."""
     folder = packed(documents(spark, sf_dir), shard_col="lang")
     index = bf.archive_index(bf.list_archives(spark, folder))
-    shard = F.substring_index(bf.basename_col("archive"), "-", 1)
-    by_shard = index.groupBy(shard.alias("lang")).agg(
+    by_shard = index.groupBy(shard_of("archive").alias("lang")).agg(
         F.min(F.struct("archive", "offset", "member"))["member"].alias("first_member"),
         F.max(F.struct("archive", "offset", "member"))["member"].alias("last_member"),
         F.count("*").alias("members"),
@@ -164,23 +184,55 @@ def resolve_exact(spark, sf_dir):
     return resolved.select("doc_id", sha("filePath").alias("sha"))
 
 
-def resolve_contains(spark, sf_dir):
+def resolve_odd_shards(spark, sf_dir):
+    """Shard values that begin with ``_`` and ``.``: no archive and no document gets lost."""
+    docs = documents(spark, sf_dir)
+    mark = F.when(F.col("doc_id") % 2 == 0, "_").otherwise(".")
+    folder = packed(docs.withColumn("shard", F.concat(mark, "lang")), shard_col="shard")
+    manifest = docs.select("doc_id", F.col("name").alias("filePath"))
+    resolved = bf.resolve_blobs(manifest, folder, ["filePath"], match="exact", status_col="status")
+    return resolved.select("doc_id", "status", sha("filePath").alias("sha"))
+
+
+def resolve_large_default(spark, sf_dir):
+    """Every document is asked for twice, once in vain; a missing one gets 20,000 bytes."""
+    docs = documents(spark, sf_dir)
+    wanted = F.explode(F.array("name", F.concat("name", F.lit(".lost"))))
+    manifest = docs.select("doc_id", wanted.alias("filePath"))
+    resolved = bf.resolve_blobs(
+        manifest.withColumn("asked", F.col("filePath")),
+        packed(docs), ["filePath"], match="exact", default=b"x" * 20_000,
+    )
+    return resolved.select("doc_id", "asked", sha("filePath").alias("sha"))
+
+
+def resolve_contains_shuffled(spark, sf_dir):
+    """:func:`resolve_contains` by the plan for sides too large to broadcast."""
+    return resolve_contains(spark, sf_dir, broadcast_bytes=0)
+
+
+def resolve_contains(spark, sf_dir, **options):
     """Members ``7.txt`` and ``17.txt`` both answer to ``doc_17.txt.bak``; the first one counts."""
     members = labelled(spark, sf_dir).withColumn("name", file_name("", "doc_id", ".txt"))
     folder = packed(members, shard_col="lang")
     manifest = documents(spark, sf_dir).select(
         "doc_id", F.concat(F.lit("in/box/"), "name", F.lit(".bak")).alias("filePath")
     )
-    resolved = bf.resolve_blobs(manifest, folder, ["filePath"])
+    resolved = bf.resolve_blobs(manifest, folder, ["filePath"], **options)
     return resolved.select("doc_id", sha("filePath").alias("sha"))
 
 
-def resolve_repeated(spark, sf_dir):
+def resolve_repeated_spread(spark, sf_dir):
+    """:func:`resolve_repeated` with tasks of 64 KB, so that stretches are cut in parts."""
+    return resolve_repeated(spark, sf_dir, task_bytes=1 << 16)
+
+
+def resolve_repeated(spark, sf_dir, **options):
     """Many rows per blob: each event asks for the document of its user."""
     manifest = table(spark, sf_dir, "events").select(
         "event_id", file_name("users/doc_", "user_id", ".txt").alias("filePath")
     )
-    resolved = bf.resolve_blobs(manifest, packed(labelled(spark, sf_dir)), ["filePath"])
+    resolved = bf.resolve_blobs(manifest, packed(labelled(spark, sf_dir)), ["filePath"], **options)
     return resolved.select("event_id", sha("filePath").alias("sha"))
 
 
@@ -396,8 +448,7 @@ def pack_blobs(spark, sf_dir):
         shard_col="source",
         max_archive_bytes=1 << 20,
     )
-    source = F.substring_index(bf.basename_col("archive"), "-", 1).alias("source")
-    return archives.groupBy(source).agg(
+    return archives.groupBy(shard_of("archive").alias("source")).agg(
         F.sum("n_members").alias("n_members"), F.sum("n_bytes").alias("n_bytes")
     )
 
@@ -431,6 +482,7 @@ QUERIES = [
     delimited_scan,
     control_character_scan,
     blob_scan,
+    blob_scan_all_names,
     archive_index,
     stream_order,
     archive_members,
@@ -438,7 +490,11 @@ QUERIES = [
     fetch_members,
     resolve_exact,
     resolve_contains,
+    resolve_contains_shuffled,
+    resolve_odd_shards,
+    resolve_large_default,
     resolve_repeated,
+    resolve_repeated_spread,
     resolve_status,
     resolve_two_columns,
     locate_blobs,
@@ -496,6 +552,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 def table_sql() -> dict[str, str]:
+    found = plain_sql()
+    for query in ("resolve_contains_shuffled", "resolve_repeated_spread"):
+        found[query] = found[query.rpartition("_")[0]]  # another plan, the same rows
+    return found
+
+
+def plain_sql() -> dict[str, str]:
     doc_name = "'doc_' || doc_id || '.txt'"
     return {
         "manifest_scan": """
@@ -509,6 +572,17 @@ def table_sql() -> dict[str, str]:
             SELECT 'page_' || page_id || '.html' AS name, octet_length(encode(html)) AS n_bytes,
                    sha256(html) AS sha
             FROM pages""",
+        "blob_scan_all_names": """
+            SELECT substr('p_.', CAST(page_id % 3 AS INT) + 1, 1) || page_id AS name,
+                   CASE WHEN page_id % 5 = 0 THEN 0 ELSE octet_length(encode(html)) END AS n_bytes,
+                   sha256(CASE WHEN page_id % 5 = 0 THEN '' ELSE html END) AS sha
+            FROM pages""",
+        "resolve_odd_shards": """
+            SELECT doc_id, 'found' AS status, sha256(text) AS sha FROM documents""",
+        "resolve_large_default": f"""
+            SELECT doc_id, {doc_name} AS asked, sha256(text) AS sha FROM documents
+            UNION ALL
+            SELECT doc_id, {doc_name} || '.lost', sha256(repeat('x', 20000)) FROM documents""",
         "archive_index": f"""
             SELECT {doc_name} AS member, octet_length(encode(text)) AS size FROM documents""",
         "stream_order": f"""

@@ -58,5 +58,5 @@ def catalog_type(field: T.StructField, strict_types: bool = False) -> str:
     and bigint; otherwise Spark's catalog decides.
     """
     if strict_types and not isinstance(field.dataType, STRICT_TYPES):
-        raise TypeError(f"{field.name} has {field.dataType} which is unsupported")
+        raise TypeError(f"a strict catalog has no type for {field.name}: {field.dataType}")
     return field.dataType.simpleString()

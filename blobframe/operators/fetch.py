@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.session import store_options
+from blobframe.session import materialize, store_options
 from blobframe.sources.archive import PLACE_FIELDS
 from blobframe.sources.store import Store
 from blobframe.sources.zipformat import payload_start, unpack
 
+# Fixed value: what stands for a blob that is not there.
 NOT_FOUND = b"File Not Found"
 MAX_MEMBER_BYTES = 1 << 30
 
@@ -31,7 +32,6 @@ STRETCH_BYTES = 64 << 20
 TASK_BYTES = 256 << 20
 PARTS_PER_TASK = 4
 ROW_BYTES = 1024
-MAX_TASKS = 20_000
 # There are no more hot stretches than tasks' worth of output; with some 200 bytes each in memory
 # this many take 20 MB, and more are joined without a broadcast.
 HOT_BROADCAST_ROWS = 100_000
@@ -72,50 +72,63 @@ def attach_content(
             for f in placed.schema.fields
         ]
     )
-    spread = spread_rows(placed, columns, task_bytes, stretch_bytes)
+    spread = spread_rows(placed, columns, len(default or b""), task_bytes, stretch_bytes)
     read = content_reader(columns, default, max_member_bytes, store_options(spark))
     return spread.mapInArrow(read, schema)
 
 
 def spread_rows(
-    placed: DataFrame, columns: list[str], task_bytes: int, stretch_bytes: int
+    placed: DataFrame,
+    columns: list[str],
+    default_bytes: int,
+    task_bytes: int,
+    stretch_bytes: int,
+    hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows gathered by stretch, sorted by place, with over-asked stretches cut in parts.
 
-    A stretch (or the rows without a place) may be wanted by a third of all rows. Its parts are
-    dealt out by row position, which also splits exact copies of one row; every part reads the
-    stretch for itself, which costs less than what it puts out.
+    The first column that has a place decides. A stretch may be wanted by a third of all rows. Its
+    parts are dealt out by row position, which also splits exact copies of one row; every part
+    reads the stretch for itself, which costs less than what it puts out. Rows without any place
+    are dealt out by position too, and meet nothing on the way.
     """
-    place = F.col(columns[0])
+    place = F.coalesce(*columns)
+    sizes = (F.coalesce(F.col(c)["size"], F.lit(default_bytes)) for c in columns)
+    cost = sum(sizes, F.lit(ROW_BYTES).cast("long"))
     archive = F.coalesce(place["archive"], F.lit("")).alias("__archive")
-    stretch = F.coalesce(F.floor(place["offset"] / stretch_bytes), F.lit(-1)).alias("__stretch")
-    cost = sum((F.coalesce(F.col(c)["size"], F.lit(0)) for c in columns), F.lit(ROW_BYTES))
+    at = F.floor(place["offset"] / stretch_bytes)
 
-    loads = placed.groupBy(archive, stretch).agg(F.sum(cost).alias("__load"))
+    loads = placed.groupBy(archive, F.coalesce(at, F.lit(-1)).alias("__stretch"))
+    # Stored, as an aggregate below a merge join would keep a hot key of it from being split.
+    loads = materialize(loads.agg(F.sum(cost).alias("__load")), "loads")
     part_bytes = max(1, task_bytes // PARTS_PER_TASK)
-    over = F.col("__load") > task_bytes
-    total, hot_rows = loads.agg(F.sum("__load"), F.count_if(over)).first()
+    over = (F.col("__load") > task_bytes) & (F.col("__stretch") >= 0)
+    total, hot_rows, nowhere = loads.agg(
+        F.sum("__load"), F.count_if(over), F.sum(F.when(F.col("__stretch") < 0, F.col("__load")))
+    ).first()
     if total is None:
         return placed
 
-    keyed = placed.select("*", archive, stretch)
+    heaps = max(1, -(-(nowhere or 0) // part_bytes))
+    keyed = placed.withColumn("__row", F.monotonically_increasing_id())
+    stretch = F.coalesce(at, -1 - F.pmod("__row", F.lit(heaps))).alias("__stretch")
+    keyed = keyed.select("*", archive, stretch)
     part = F.lit(0)
     if hot_rows:
         hot = loads.filter(over).select(
             "__archive", "__stretch", F.ceil(F.col("__load") / part_bytes).alias("__parts")
         )
-        hot = F.broadcast(hot) if hot_rows <= HOT_BROADCAST_ROWS else hot.hint("merge")
-        keyed = keyed.withColumn("__row", F.monotonically_increasing_id()).join(
-            hot, ["__archive", "__stretch"], "left"
-        )
+        hot = F.broadcast(hot) if hot_rows <= hot_broadcast_rows else hot.hint("merge")
+        keyed = keyed.join(hot, ["__archive", "__stretch"], "left")
         part = F.coalesce(F.pmod("__row", "__parts"), F.lit(0))
     keyed = keyed.withColumn("__part", part)
 
     parallelism = placed.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(parallelism, -(-total // task_bytes)), MAX_TASKS)
+    tasks = max(parallelism, -(-total // task_bytes))
+    others = [F.col(c)[field] for c in columns[1:] for field in ("archive", "offset")]
     return (
         keyed.repartition(tasks, "__archive", "__stretch", "__part")
-        .sortWithinPartitions("__archive", place["offset"])
+        .sortWithinPartitions("__archive", place["offset"], *others)
         .select(*placed.columns)
     )
 
@@ -131,7 +144,8 @@ def content_reader(columns: list[str], default, max_member_bytes: int, options:
             readers = {column: MemberReader(store, max_member_bytes) for column in columns}
             for batch in batches:
                 runs = {column: runs_of(batch.column(column)) for column in columns}
-                for begin, end in output_slices(batch.num_rows, runs.values()):
+                slices = output_slices(batch.num_rows, runs.values(), len(default or b""))
+                for begin, end in slices:
                     arrays = {}
                     for column, (places, run_of_row) in runs.items():
                         of_rows = run_of_row[begin:end]
@@ -168,13 +182,14 @@ def runs_of(column: pa.StructArray) -> tuple[list[dict | None], np.ndarray]:
     return places, np.cumsum(starts) - 1
 
 
-def output_slices(rows: int, runs) -> Iterator[tuple[int, int]]:
-    """Row ranges that put out about OUTPUT_BYTES each."""
+def output_slices(rows: int, runs, default_bytes: int = 0) -> Iterator[tuple[int, int]]:
+    """Row ranges that put out about OUTPUT_BYTES each; a row without a place ``default_bytes``."""
     if rows == 0:
         return
     load = np.zeros(rows, np.int64)
     for places, run_of_row in runs:
-        sizes = np.array([0 if place is None else place["size"] for place in places], np.int64)
+        sizes = [default_bytes if place is None else place["size"] for place in places]
+        sizes = np.array(sizes, np.int64)
         load += sizes[run_of_row]
     number = np.cumsum(load) // OUTPUT_BYTES
     cuts = np.flatnonzero(number[1:] != number[:-1]) + 1

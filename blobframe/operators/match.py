@@ -68,7 +68,8 @@ def first_match(
         size = F.sum(F.octet_length("beginning") + 4 * F.size("lengths") + ROW_OVERHEAD)
         small = starts.agg(size).first()[0] <= broadcast_bytes
         asked = likely_pieces(names, F.broadcast(starts) if small else starts.hint("merge"), anchors)
-    best = first_of_each(index).hint("merge")
+    # Stored, so that a piece common to many names can be split; below an aggregate it could not.
+    best = materialize(first_of_each(index), "best").hint("merge")
     return first_of(asked.join(best, F.col("piece") == F.col("member")))
 
 

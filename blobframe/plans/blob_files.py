@@ -22,6 +22,7 @@ def export_manifest(
     sep: str = ",",
     default: bytes | None = NOT_FOUND,
     order_by: str | None = None,
+    max_member_bytes: int = MAX_MEMBER_BYTES,
 ) -> DataFrame:
     """Write the blob of every manifest row to a file named by ``name_col``.
 
@@ -32,5 +33,5 @@ def export_manifest(
     located = locate_blobs(rows, archives, [content_col], match)
     if order_by is not None:
         located = materialize(last_of_each(located, name_col, order_by), "last")
-    resolved = content_of(located, [content_col], default, MAX_MEMBER_BYTES)
+    resolved = content_of(located, [content_col], default, max_member_bytes)
     return export_blobs(resolved, name_col, content_col, dir)

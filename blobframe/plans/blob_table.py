@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blobframe.operators.fetch import NOT_FOUND
+from blobframe.operators.fetch import MAX_MEMBER_BYTES, NOT_FOUND
 from blobframe.plans.resolve import resolve_blobs
 from blobframe.sinks.tables import append_partitioned
 from blobframe.sources.manifest import read_manifest
@@ -21,8 +21,12 @@ def load_blob_table(
     match: str = "contains",
     sep: str = ",",
     default: bytes | None = NOT_FOUND,
+    status_col: str | None = None,
+    max_member_bytes: int = MAX_MEMBER_BYTES,
 ) -> DataFrame:
     """Resolve the manifest file and append the result to ``table``; returns the table."""
     rows = read_manifest(spark, manifest, sep)
-    resolved = resolve_blobs(rows, archives, columns, match, default)
+    resolved = resolve_blobs(
+        rows, archives, columns, match, default, status_col, max_member_bytes
+    )
     return append_partitioned(resolved, table, keys, path)

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blobframe.functions.naming import basename_col
-from blobframe.operators.fetch import MAX_MEMBER_BYTES, NOT_FOUND, attach_content, place_struct
-from blobframe.operators.match import first_match
+from blobframe.operators.fetch import (
+    MAX_MEMBER_BYTES,
+    NOT_FOUND,
+    TASK_BYTES,
+    attach_content,
+    place_struct,
+)
+from blobframe.operators.match import BROADCAST_BYTES, first_match
 from blobframe.session import materialize
 from blobframe.sources.archive import INDEX_SCHEMA, archive_index, list_archives
 
@@ -35,6 +41,7 @@ def locate_blobs(
     columns: list[str],
     match: str = "contains",
     status_col: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``manifest`` with a column ``<column>__at`` per blob column: where its member lies, or NULL.
 
@@ -51,7 +58,7 @@ def locate_blobs(
     paths = [manifest.select(basename_col(column).alias("fn")) for column in columns]
     names = reduce(DataFrame.union, paths).where(F.col("fn").isNotNull()).distinct()
     # Stored, so that the planner knows its size before it decides how the rows meet it.
-    places = materialize(first_match(names, index, match), "places")
+    places = materialize(first_match(names, index, match, broadcast_bytes), "places")
 
     located = with_places(manifest, places, columns)
     statuses = {
@@ -99,7 +106,11 @@ def read_located(
 
 
 def content_of(
-    located: DataFrame, columns: list[str], default: bytes | None, max_member_bytes: int
+    located: DataFrame,
+    columns: list[str],
+    default: bytes | None,
+    max_member_bytes: int,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     places = {f"{column}__at" for column in columns}
     kept = [
@@ -107,7 +118,8 @@ def content_of(
         for name in located.columns
         if name not in places
     ]
-    return attach_content(located.select(*kept), columns, default, max_member_bytes)
+    placed = located.select(*kept)
+    return attach_content(placed, columns, default, max_member_bytes, task_bytes)
 
 
 def resolve_blobs(
@@ -118,6 +130,8 @@ def resolve_blobs(
     default: bytes | None = NOT_FOUND,
     status_col: str | None = None,
     max_member_bytes: int = MAX_MEMBER_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """``manifest`` with the paths in ``columns`` replaced by the bytes of the archive members.
 
@@ -126,13 +140,14 @@ def resolve_blobs(
     Where nothing matches, the bytes are ``default``. ``status_col`` adds ``found``, ``missing`` or
     ``null_path`` per row (``<status_col>_<column>`` each, if there are several columns).
 
-    The places are found at once, by jobs over names only; content is read when the result is.
+    The places are found at once, by jobs over names only; content is read when the result is. Sides
+    of the match up to ``broadcast_bytes`` are broadcast; a task puts out about ``task_bytes``.
     """
     columns = [name for name in manifest.columns if name in columns]
     if not columns:
         return manifest
-    located = locate_blobs(manifest, archives, columns, match, status_col)
-    return content_of(located, columns, default, max_member_bytes)
+    located = locate_blobs(manifest, archives, columns, match, status_col, broadcast_bytes)
+    return content_of(located, columns, default, max_member_bytes, task_bytes)
 
 
 def archive_members(

@@ -137,7 +137,7 @@ def pack_blobs(
 
     By default every partition packs its own rows and no content is shuffled. ``shards`` spreads
     the rows over that many partitions by name. With ``shard_col``, a string, an archive holds rows
-    of one value only and bears that value in front of its name; rows are range-partitioned by
+    of one value only and is named ``part-<value>-…``; rows are range-partitioned by
     (value, name), so a value with many rows fills several archives in several tasks.
 
     Members are in name order, and where ``shard_col`` is given the archives, by path, are in the
@@ -145,7 +145,7 @@ def pack_blobs(
     in an archive are an error.
     """
     spark = df.sparkSession
-    shard = F.lit("part") if shard_col is None else shard_col
+    shard = F.lit("all") if shard_col is None else shard_col
     rows = df.select(
         (F.col(shard) if isinstance(shard, str) else shard).alias("shard"),
         F.col(name_col).alias("name"),
@@ -196,7 +196,9 @@ class ArchiveWriter:
     def begin(self, shard: str, task: int) -> None:
         self.number = self.number + 1 if shard == self.shard else 0
         self.shard = shard
-        self.path = f"{self.target}/{checked_name(shard)}-{task:06d}-{self.number:06d}.zip"
+        # Spark's listings pass over names that begin with ``_`` or ``.``; these never do.
+        name = "/".join(f"part-{piece}" for piece in checked_name(shard).split("/"))
+        self.path = f"{self.target}/{name}-{task:06d}-{self.number:06d}.zip"
         self.upload = self.store.create(self.path, WRITE_BUFFER)
         self.archive = zipfile.ZipFile(self.upload.stream, "w", zipfile.ZIP_DEFLATED)
         self.members = self.size = 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from blobframe.session import store_options
-from blobframe.sources.manifest import scan_blobs
+from blobframe.sources.manifest import list_blobs
 from blobframe.sources.store import Store
 from blobframe.sources.zipformat import directory
 
@@ -44,14 +44,17 @@ INDEX_ARROW = pa.schema(
 PLACE_FIELDS = ["archive", "offset", "head", "packed", "size", "method", "crc", "flags"]
 
 INDEX_BATCH = 20_000
-SCAN_WAVES = 32
+TASK_ARCHIVES = 64
 
 
 def list_archives(
     spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False
 ) -> DataFrame:
-    """One row per archive file: ``path, length``. Nothing is read from the files."""
-    return scan_blobs(spark, path, glob, recursive).select("path", "length")
+    """One row per archive file, whatever its name: ``path, length``.
+
+    Nothing is read from the files. A file of zero bytes is no archive.
+    """
+    return list_blobs(spark, path, glob, recursive).where("length > 0").select("path", "length")
 
 
 def archive_index(archives: DataFrame) -> DataFrame:
@@ -80,9 +83,11 @@ def archive_index(archives: DataFrame) -> DataFrame:
                     if rows:
                         yield index_batch(path, rows)
 
-    # The scan plans one task per 128 MB of archive, though nothing of that is read here.
-    waves = spark.sparkContext.defaultParallelism * SCAN_WAVES
-    return archives.select("path").coalesce(waves).mapInArrow(scan, INDEX_SCHEMA)
+    # The scan plans one task per 128 MB of archive, though nothing of that is read here; so the
+    # paths are dealt out by their number.
+    count = archives.count()
+    tasks = max(1, min(count, spark.sparkContext.defaultParallelism), -(-count // TASK_ARCHIVES))
+    return archives.select("path").repartition(tasks).mapInArrow(scan, INDEX_SCHEMA)
 
 
 def index_batch(path: str, rows: list) -> pa.RecordBatch:

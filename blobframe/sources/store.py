@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 OPEN_HANDLES = 8
 RENAMING = ("local", "hdfs")
 OBJECT_STORES = ("s3", "s3a", "s3n")
-
+# How the name ends that a file has while it is not complete; listings pass over these.
+UPLOAD_SUFFIX = ".blobframe-upload"
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -109,16 +110,16 @@ class Store:
 class Upload:
     """A file that shows up under its name only once it is complete.
 
-    File systems get a temporary name and a rename; object stores publish on close anyway. Either
-    way a rerun or speculative task replaces the file by the same bytes.
+    Every attempt writes to a name of its own and moves the file when it is complete (object stores
+    copy and delete), so an attempt that fails never touches what another one has published, and a
+    rerun or speculative task replaces the file by the same bytes.
     """
 
     def __init__(self, system: pafs.FileSystem, path: str, buffer_size: int | None = None):
         self.system = system
         self.path = path
-        self.renames = system.type_name in RENAMING
-        folder, _, name = path.rpartition("/")
-        self.target = f"{folder}/.{name[:100]}.{uuid.uuid4().hex}" if self.renames else path
+        folder = path.rpartition("/")[0]
+        self.target = f"{folder}/.{uuid.uuid4().hex}{UPLOAD_SUFFIX}"
         # By default the stream would compress what goes to a name like ``x.gz``.
         self.stream = system.open_output_stream(
             self.target, compression=None, buffer_size=buffer_size
@@ -126,8 +127,7 @@ class Upload:
 
     def finish(self):
         self.stream.close()
-        if self.renames:
-            self.system.move(self.target, self.path)
+        self.system.move(self.target, self.path)
 
     def abandon(self):
         self.stream.close()

@@ -141,8 +141,7 @@ def test_hot_members_and_rows_without_one_are_dealt_out(spark, make_zip, monkeyp
     placed = located.select("name", F.col("filePath__at").alias("blob"))
     task_bytes = 200 * (fetch.ROW_BYTES + 50)
     for limit in (fetch.HOT_BROADCAST_ROWS, 0):
-        monkeypatch.setattr(fetch, "HOT_BROADCAST_ROWS", limit)
-        spread = spread_rows(placed, ["blob"], task_bytes, 1 << 20)
+        spread = spread_rows(placed, ["blob"], 14, task_bytes, 1 << 20, limit)
         sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 3000 and max(sizes) < 900 and len(sizes) > 8
         got = attach_content(placed, ["blob"], task_bytes=task_bytes)
@@ -192,7 +191,7 @@ def test_a_large_archive_is_read_by_many_tasks(spark, make_zip):
     path = make_zip([(f"m{i:03d}", bytes([i]) * 2000) for i in range(200)], compression=0)
     index = bf.index_of(spark, path)
     placed = index.select("member", F.struct(*fetch.PLACE_FIELDS).alias("content"))
-    spread = spread_rows(placed, ["content"], 40_000, 20_000)
+    spread = spread_rows(placed, ["content"], 14, 40_000, 20_000)
     tasks = spread.select(F.spark_partition_id().alias("t"), F.col("content.offset").alias("at"))
     sizes = [r["count"] for r in tasks.groupBy("t").count().collect()]
     assert len(sizes) > 5 and sum(sizes) == 200
