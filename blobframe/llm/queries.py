@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table, words_of
+from .embedding_forest import near_duplicates
 from .fingerprints import document_fingerprints
 from .jaccard_join import jaccard_groups
 from .mixing import choose_copies
@@ -12,8 +13,10 @@ from .packing import pack_documents
 from .pii import find_private
 from .quality_cnn import quality_scores
 from .quality_rules import STATISTICS, quality_rules
+from .ranked_search import ranked_search
 from .sentence_dedup import sentence_dedup
 from .suffix_dedup import suffix_dedup
+from .token_alignment import token_alignment
 from .toxicity import toxicity_scores
 
 
@@ -75,6 +78,18 @@ def op10_toxicity(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality_rules": op2_quality_rules,
@@ -86,6 +101,41 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-ORACLE_SQL = {}
+RANKED_SEARCH_SQL = r"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+queries AS (SELECT item_id, term, count(*)::BIGINT AS q FROM asked GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM found GROUP BY ALL),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+postings AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM found
+  WHERE term IN (SELECT term FROM queries) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, total GROUP BY term, big_n),
+scores AS (
+  SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf)
+      // (1000 * tf + 8 * (100 - 75 + ((75 * n * big_n) // big_l)))))::BIGINT AS score
+  FROM queries JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), total
+  GROUP BY ALL)
+SELECT item_id,
+  (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+  doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLE_SQL = {"op13_ranked_search": RANKED_SEARCH_SQL}
