@@ -14,7 +14,7 @@ from blobframe.functions.schema import (
 )
 from blobframe.operators.fetch import NOT_FOUND, attach_content
 from blobframe.operators.match import first_match
-from blobframe.plans.blob_files import export_manifest
+from blobframe.plans.blob_files import export_manifest, pack_manifest
 from blobframe.plans.blob_table import load_blob_table
 from blobframe.plans.resolve import (
     archive_members,
@@ -25,7 +25,13 @@ from blobframe.plans.resolve import (
     read_located,
     resolve_blobs,
 )
-from blobframe.session import build_session, materialize, object_store_conf, scratch_dir
+from blobframe.session import (
+    build_session,
+    materialize,
+    object_store_conf,
+    release_scratch,
+    scratch_dir,
+)
 from blobframe.sinks.files import export_blobs, pack_blobs
 from blobframe.sinks.tables import (
     add_partition,
@@ -40,8 +46,10 @@ from blobframe.sinks.tables import (
     show_partitions,
     table_exists,
 )
-from blobframe.sources.archive import archive_index, list_archives
+from blobframe.sources.archive import archive_index, list_archives, refresh_index
+from blobframe.sources.listing import list_blobs
 from blobframe.sources.manifest import read_manifest, scan_blobs
+from blobframe.sources.packings import drop_old_packings
 
 # Executors need no copy of the package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -59,4 +59,20 @@ def catalog_type(field: T.StructField, strict_types: bool = False) -> str:
     """
     if strict_types and not isinstance(field.dataType, STRICT_TYPES):
         raise TypeError(f"a strict catalog has no type for {field.name}: {field.dataType}")
-    return field.dataType.simpleString()
+    return type_name(field.dataType)
+
+
+def type_name(kind: T.DataType) -> str:
+    """A type as the catalog reads it, with the names of nested fields quoted."""
+    if isinstance(kind, T.StructType):
+        fields = ", ".join(f"{quoted(f.name)}: {type_name(f.dataType)}" for f in kind.fields)
+        return f"struct<{fields}>"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{type_name(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{type_name(kind.keyType)}, {type_name(kind.valueType)}>"
+    return kind.simpleString()
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.session import materialize, store_options
+from blobframe.functions.schema import quoted
+from blobframe.session import materialize, measured, store_options
 from blobframe.sources.archive import PLACE_FIELDS
 from blobframe.sources.store import Store
 from blobframe.sources.zipformat import payload_start, unpack
@@ -32,6 +33,8 @@ STRETCH_BYTES = 64 << 20
 TASK_BYTES = 256 << 20
 PARTS_PER_TASK = 4
 ROW_BYTES = 1024
+# Members of a second column smaller than this are read in an order of their own, and shuffled.
+GATHER_BELOW = 1 << 20
 # There are no more hot stretches than tasks' worth of output; with some 200 bytes each in memory
 # this many take 20 MB, and more are joined without a broadcast.
 HOT_BROADCAST_ROWS = 100_000
@@ -56,24 +59,70 @@ def attach_content(
     max_member_bytes: int = MAX_MEMBER_BYTES,
     task_bytes: int = TASK_BYTES,
     stretch_bytes: int = STRETCH_BYTES,
+    gather_by: list[str] | None = None,
+    gather_below: int = GATHER_BELOW,
 ) -> DataFrame:
     """``placed`` with each place struct in ``columns`` replaced by the member's bytes.
 
     A NULL place becomes ``default``. ``placed`` must be a scan of stored data
     (:func:`blobframe.session.materialize`), since row positions decide where rows go.
+
+    ``gather_by`` names columns whose rows should come together, see :func:`spread_rows`.
+
+    Rows come in the order of the first column's places. Where the members of another column are
+    smaller than ``gather_below`` on average, so that a read of its own for each would cost more
+    than the bytes, that column is read apart, in the order of its own places, and its content joins
+    the rows by their numbers; this shuffles content, which nothing else here does.
     """
     for field in placed.schema.fields:
         if field.name in columns and not isinstance(field.dataType, T.StructType):
             raise TypeError(f"{field.name} holds no places")
-    spark = placed.sparkSession
+    options = (default, max_member_bytes, task_bytes, stretch_bytes, gather_by)
+    apart = scattered(placed, columns[1:], gather_below)
+    if not apart:
+        return read_in_order(placed, columns, *options)
+    numbered = placed.withColumn("__row", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "numbered")
+    together = [name for name in columns if name not in apart]
+    out = read_in_order(numbered.drop(*apart), together, *options)
+    for name in apart:
+        side = numbered.select("__row", quoted(name)).where(F.col(quoted(name)).isNotNull())
+        side = read_in_order(side, [name], None, max_member_bytes, task_bytes, stretch_bytes, None)
+        out = out.join(side, "__row", "left")
+        if default is not None:
+            out = out.withColumn(name, F.coalesce(F.col(quoted(name)), F.lit(default)))
+    return out.select(*(quoted(name) for name in placed.columns))
+
+
+def scattered(placed: DataFrame, columns: list[str], gather_below: int) -> list[str]:
+    """Those columns whose members have fewer than ``gather_below`` bytes on average."""
+    if not columns:
+        return []
+    sizes = placed.agg(*(F.avg(F.col(quoted(c))["size"]).alias(f"s{k}") for k, c in enumerate(columns)))
+    means = sizes.first()
+    return [c for c, mean in zip(columns, means) if mean is not None and mean < gather_below]
+
+
+def read_in_order(
+    placed: DataFrame,
+    columns: list[str],
+    default: bytes | None,
+    max_member_bytes: int,
+    task_bytes: int,
+    stretch_bytes: int,
+    gather_by: list[str] | None,
+) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField(f.name, T.BinaryType(), default is None) if f.name in columns else f
             for f in placed.schema.fields
         ]
     )
-    spread = spread_rows(placed, columns, len(default or b""), task_bytes, stretch_bytes)
-    read = content_reader(columns, default, max_member_bytes, store_options(spark))
+    spread = spread_rows(
+        placed, columns, len(default or b""), task_bytes, stretch_bytes, gather_by=gather_by
+    )
+    options = store_options(placed.sparkSession)
+    read = content_reader(columns, default, max_member_bytes, options)
     return spread.mapInArrow(read, schema)
 
 
@@ -84,6 +133,7 @@ def spread_rows(
     task_bytes: int,
     stretch_bytes: int,
     hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
+    gather_by: list[str] | None = None,
 ) -> DataFrame:
     """Rows gathered by stretch, sorted by place, with over-asked stretches cut in parts.
 
@@ -91,48 +141,75 @@ def spread_rows(
     parts are dealt out by row position, which also splits exact copies of one row; every part
     reads the stretch for itself, which costs less than what it puts out. Rows without any place
     are dealt out by position too, and meet nothing on the way.
+
+    With ``gather_by`` the rows that are equal there go to as few tasks as their output fills, a
+    stretch of an archive still to one of them, and come one such group after the other.
     """
-    place = F.coalesce(*columns)
-    sizes = (F.coalesce(F.col(c)["size"], F.lit(default_bytes)) for c in columns)
+    place = F.coalesce(*(F.col(quoted(c)) for c in columns))
+    sizes = (F.coalesce(F.col(quoted(c))["size"], F.lit(default_bytes)) for c in columns)
     cost = sum(sizes, F.lit(ROW_BYTES).cast("long"))
     archive = F.coalesce(place["archive"], F.lit("")).alias("__archive")
     at = F.floor(place["offset"] / stretch_bytes)
+    groups = [f"__key{k}" for k in range(len(gather_by or []))]
+    keys = [F.col(quoted(c)).alias(g) for c, g in zip(gather_by or [], groups)]
 
-    loads = placed.groupBy(archive, F.coalesce(at, F.lit(-1)).alias("__stretch"))
-    # Stored, as an aggregate below a merge join would keep a hot key of it from being split.
-    loads = materialize(loads.agg(F.sum(cost).alias("__load")), "loads")
-    part_bytes = max(1, task_bytes // PARTS_PER_TASK)
+    loads = placed.groupBy(*keys, archive, F.coalesce(at, F.lit(-1)).alias("__stretch"))
     over = (F.col("__load") > task_bytes) & (F.col("__stretch") >= 0)
-    total, hot_rows, nowhere = loads.agg(
-        F.sum("__load"), F.count_if(over), F.sum(F.when(F.col("__stretch") < 0, F.col("__load")))
-    ).first()
+    # Stored, as an aggregate below a merge join would keep a hot key of it from being split.
+    loads, seen = measured(
+        loads.agg(F.sum(cost).alias("__load")),
+        "loads",
+        total=F.sum("__load"),
+        hot_rows=F.count_if(over),
+        nowhere=F.sum(F.when(F.col("__stretch") < 0, F.col("__load"))),
+    )
+    total, hot_rows, nowhere = seen["total"], seen["hot_rows"], seen["nowhere"]
     if total is None:
         return placed
 
+    part_bytes = max(1, task_bytes // PARTS_PER_TASK)
     heaps = max(1, -(-(nowhere or 0) // part_bytes))
     keyed = placed.withColumn("__row", F.monotonically_increasing_id())
     stretch = F.coalesce(at, -1 - F.pmod("__row", F.lit(heaps))).alias("__stretch")
-    keyed = keyed.select("*", archive, stretch)
+    keyed = keyed.select("*", *keys, archive, stretch)
     part = F.lit(0)
     if hot_rows:
         hot = loads.filter(over).select(
-            "__archive", "__stretch", F.ceil(F.col("__load") / part_bytes).alias("__parts")
+            *groups, "__archive", "__stretch", F.ceil(F.col("__load") / part_bytes).alias("__parts")
         )
         hot = F.broadcast(hot) if hot_rows <= hot_broadcast_rows else hot.hint("merge")
-        keyed = keyed.join(hot, ["__archive", "__stretch"], "left")
+        keyed = joined_with_nulls(keyed, hot, groups, ["__archive", "__stretch"])
         part = F.coalesce(F.pmod("__row", "__parts"), F.lit(0))
     keyed = keyed.withColumn("__part", part)
+    deal = ["__archive", "__stretch", "__part"]
+    if groups:
+        lanes = loads.groupBy(*groups).agg(F.sum("__load").alias("__load"))
+        lanes = lanes.select(*groups, F.ceil(F.col("__load") / task_bytes).alias("__lanes"))
+        lanes, seen = measured(lanes, "lanes", rows=F.count("*"))
+        few = (seen["rows"] or 0) <= hot_broadcast_rows
+        lanes = F.broadcast(lanes) if few else lanes.hint("merge")
+        keyed = joined_with_nulls(keyed, lanes, groups, [])
+        keyed = keyed.withColumn("__lane", F.pmod(F.xxhash64(*deal), "__lanes"))
+        deal = [*groups, "__lane"]
 
     parallelism = placed.sparkSession.sparkContext.defaultParallelism
     tasks = max(parallelism, -(-total // task_bytes))
-    others = [F.col(c)[field] for c in columns[1:] for field in ("archive", "offset")]
+    others = [F.col(quoted(c))[field] for c in columns[1:] for field in ("archive", "offset")]
     return (
-        keyed.repartition(tasks, "__archive", "__stretch", "__part")
-        .sortWithinPartitions("__archive", place["offset"], *others)
-        .select(*placed.columns)
+        keyed.repartition(tasks, *deal)
+        .sortWithinPartitions(*groups, "__archive", place["offset"], *others)
+        .select(*(quoted(c) for c in placed.columns))
     )
 
 
+def joined_with_nulls(rows: DataFrame, side: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
+    """Left join by ``names``, which hold no NULLs, and by ``groups``, where NULLs are equal."""
+    renamed = side.withColumnsRenamed({c: f"{c}_" for c in [*groups, *names]})
+    same = [F.col(c) == F.col(f"{c}_") for c in names]
+    same += [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in groups]
+    return rows.join(renamed, same, "left").drop(*(f"{c}_" for c in [*groups, *names]))
+
+
 def content_reader(columns: list[str], default, max_member_bytes: int, options: dict):
     """The partition function: Arrow batches of places in, Arrow batches of content out.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blobframe.functions.naming import basename_col
+from blobframe.functions.schema import quoted
 from blobframe.operators.fetch import (
     MAX_MEMBER_BYTES,
     NOT_FOUND,
@@ -111,15 +112,18 @@ def content_of(
     default: bytes | None,
     max_member_bytes: int,
     task_bytes: int = TASK_BYTES,
+    gather_by: list[str] | None = None,
 ) -> DataFrame:
     places = {f"{column}__at" for column in columns}
     kept = [
-        F.col(f"{name}__at").alias(name) if name in columns else F.col(name)
+        F.col(quoted(f"{name}__at")).alias(name) if name in columns else F.col(quoted(name))
         for name in located.columns
         if name not in places
     ]
     placed = located.select(*kept)
-    return attach_content(placed, columns, default, max_member_bytes, task_bytes)
+    return attach_content(
+        placed, columns, default, max_member_bytes, task_bytes, gather_by=gather_by
+    )
 
 
 def resolve_blobs(
@@ -132,6 +136,7 @@ def resolve_blobs(
     max_member_bytes: int = MAX_MEMBER_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
     task_bytes: int = TASK_BYTES,
+    gather_by: list[str] | None = None,
 ) -> DataFrame:
     """``manifest`` with the paths in ``columns`` replaced by the bytes of the archive members.
 
@@ -142,12 +147,13 @@ def resolve_blobs(
 
     The places are found at once, by jobs over names only; content is read when the result is. Sides
     of the match up to ``broadcast_bytes`` are broadcast; a task puts out about ``task_bytes``.
+    Rows that are equal in the columns ``gather_by`` come together, for a partitioned write.
     """
     columns = [name for name in manifest.columns if name in columns]
     if not columns:
         return manifest
     located = locate_blobs(manifest, archives, columns, match, status_col, broadcast_bytes)
-    return content_of(located, columns, default, max_member_bytes, task_bytes)
+    return content_of(located, columns, default, max_member_bytes, task_bytes, gather_by)
 
 
 def archive_members(

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+#: Scratch folders made since :func:`release_scratch` was entered, if it was.
+made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 SCRATCH_CONF = "spark.checkpoint.dir"
 
@@ -71,11 +77,33 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get(SCRATCH_CONF, None)
     if not base:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set {SCRATCH_CONF} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="blobframe-")
         spark.conf.set(SCRATCH_CONF, base)
-    return f"{base.rstrip('/')}/blobframe-{uuid.uuid4().hex}/{label}"
+    folder = f"{base.rstrip('/')}/blobframe-{uuid.uuid4().hex}"
+    if made.get() is not None:
+        made.get().append(folder)
+    return f"{folder}/{label}"
+
+
+@contextmanager
+def release_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the scratch tables that were made in it.
+
+    For work that ends in the block: a DataFrame that still has to read one of them is of no use
+    afterwards. Without it, scratch tables stay for the retention rules of their folder.
+    """
+    token = made.set([])
+    try:
+        yield
+    finally:
+        folders = made.get()
+        made.reset(token)
+        for folder in folders:
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            conf = spark._jsparkSession.sessionState().newHadoopConf()
+            target.getFileSystem(conf).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -87,3 +115,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def measured(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, and aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    named = [column.alias(name) for name, column in metrics.items()]
+    stored = materialize(df.observe(seen, *named), label)
+    found = seen.get
+    return stored, {name: found.get(name) for name in metrics}

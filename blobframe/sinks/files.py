@@ -6,14 +6,17 @@ Tasks write the files where the rows are. Only names, paths and sizes come back,
 from __future__ import annotations
 
 import zipfile
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize, store_options
-from blobframe.sources.store import Store, qualify
+from blobframe.sources.packings import ARCHIVES, new_packing, publish
+from blobframe.sources.store import Store, inner_path, qualify
 
 # Fixed value: the earliest time stamp a ZIP entry can carry, so that equal rows give equal bytes.
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
@@ -24,7 +27,12 @@ ARCHIVE_MEMBERS = 1_000_000
 EXPORT_ARROW = pa.schema([("name", pa.string()), ("path", pa.string()), ("n_bytes", pa.int64())])
 PACK_ARROW = pa.schema(
     [("archive", pa.string()), ("n_members", pa.int64()), ("n_bytes", pa.int64())]
+    + [("length", pa.int64()), ("modificationTime", pa.timestamp("us", "UTC"))]
 )
+PACKED = "archive string, n_members long, n_bytes long, length long, modificationTime timestamp"
+#: Content that one task packs, and rows of the table of sizes that one task sorts.
+PACK_BYTES = 256 << 20
+RANGE_ROWS = 1 << 20
 
 
 def export_blobs(
@@ -88,8 +96,12 @@ def last_of_each(df: DataFrame, name_col: str, order_by: str) -> DataFrame:
         .where("copies > 1")
         .select(F.col("name").alias("__name"), F.col("last").alias("__last"))
     )
+    repeated = materialize(repeated, "repeated")
+    undecided = repeated.where("__last is null").head(1)
+    if undecided:
+        raise ValueError(f"no row named {undecided[0]['__name']!r} has a value in {order_by}")
     return (
-        df.join(materialize(repeated, "repeated"), F.col(name_col) == F.col("__name"), "left")
+        df.join(repeated, F.col(name_col) == F.col("__name"), "left")
         .where(F.col("__last").isNull() | (F.col(order_by) == F.col("__last")))
         .select(*df.columns)
     )
@@ -132,37 +144,84 @@ def pack_blobs(
     shard_col: str | Column | None = None,
     max_archive_bytes: int = ARCHIVE_BYTES,
     max_members: int = ARCHIVE_MEMBERS,
+    size_col: str | None = None,
+    task_bytes: int = PACK_BYTES,
 ) -> DataFrame:
     """Pack rows into ZIP archives below ``dir``; returns ``archive, n_members, n_bytes``.
 
     By default every partition packs its own rows and no content is shuffled. ``shards`` spreads
     the rows over that many partitions by name. With ``shard_col``, a string, an archive holds rows
-    of one value only and is named ``part-<value>-…``; rows are range-partitioned by
-    (value, name), so a value with many rows fills several archives in several tasks.
+    of one value only and is named ``part-<value>-…``; the rows are cut, in the order of (value,
+    name), into lanes of about ``task_bytes`` (or ``shards`` lanes of equal bytes), so a value with
+    many rows fills several archives in several tasks. The lanes are planned from names and sizes
+    alone; the sizes are those of ``size_col``, or else measured, which reads the content once more.
 
     Members are in name order, and where ``shard_col`` is given the archives, by path, are in the
     order of (value, name). An archive that is full is followed by another. Two members of one name
     in an archive are an error.
+
+    A packing is published when it is complete: from then on :func:`blobframe.list_archives` lists
+    its archives for ``dir``, and those alone, whatever was packed there before.
     """
-    spark = df.sparkSession
     shard = F.lit("all") if shard_col is None else shard_col
+    size = F.octet_length(F.col(content_col)) if size_col is None else F.col(size_col)
     rows = df.select(
         (F.col(shard) if isinstance(shard, str) else shard).alias("shard"),
         F.col(name_col).alias("name"),
+        size.cast("long").alias("size"),
         F.col(content_col).alias("content"),
     )
     if shard_col is not None:
-        count = shards or spark.sparkContext.defaultParallelism
-        rows = rows.repartitionByRange(count, "shard", "name")
+        rows = in_lanes(rows, task_bytes, shards)
     elif shards is not None:
         rows = rows.repartition(shards, "name")
     rows = rows.withColumn("task", F.spark_partition_id()).sortWithinPartitions("shard", "name")
+    return write_archives(rows, dir, max_archive_bytes, max_members)
 
-    target, options = qualify(spark, dir), store_options(spark)
+
+def in_lanes(rows: DataFrame, task_bytes: int, lanes: int | None = None) -> DataFrame:
+    """``rows`` in partitions that hold successive ranges of (shard, name) of about equal bytes.
+
+    The ranges come from the table of shards, names and sizes; of it, the first name of every lane
+    reaches the driver, one for ``task_bytes`` of content. Content is moved once.
+    """
+    narrow = materialize(rows.select("shard", "name", "size"), "sizes")
+    count, total = narrow.agg(F.count("*"), F.sum("size")).first()
+    target = max(1, task_bytes if lanes is None else -(-(total or 0) // lanes))
+    ranges = max(1, -(-count // RANGE_ROWS))
+    block = F.spark_partition_id().alias("block")
+    cut = materialize(narrow.repartitionByRange(ranges, "shard", "name").select("*", block), "cut")
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = cut.groupBy("block").agg(F.sum("size").alias("bytes"))  # a row per RANGE_ROWS rows
+    bases = bases.select("block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
+    order = Window.partitionBy("block").orderBy("shard", "name")
+    start = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    placed = cut.select("*", start.alias("start")).join(F.broadcast(bases), "block")
+    lane = F.floor((F.col("base") + F.col("start")) / target)
+    firsts = placed.groupBy(lane.alias("lane")).agg(F.min(F.struct("shard", "name")).alias("first"))
+    bounds = sorted(tuple(row.first) for row in firsts.select("first").collect())
+
+    @F.pandas_udf("int")
+    def lane_of(shard: pd.Series, name: pd.Series) -> pd.Series:
+        return pd.Series([max(0, bisect_right(bounds, key) - 1) for key in zip(shard, name)])
+
+    return rows.repartitionById(max(1, len(bounds)), lane_of("shard", "name"))
+
+
+def write_archives(
+    rows: DataFrame, dir: str, max_archive_bytes: int, max_members: int, read=None
+) -> DataFrame:
+    """Write sorted rows (shard, name, content, task) as a packing of ``dir`` and publish it.
+
+    ``read`` turns the batches of rows into such that hold content, if they do not yet.
+    """
+    spark = rows.sparkSession
+    packing, options = new_packing(spark, dir), store_options(spark)
+    target = f"{packing}/{ARCHIVES}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Store(options) as store, ArchiveWriter(store, target) as archives:
-            for batch in batches:
+            for batch in batches if read is None else read(batches):
                 for row in batch.to_pylist():
                     full = archives.size >= max_archive_bytes or archives.members >= max_members
                     if archives.shard != row["shard"] or full:
@@ -171,9 +230,9 @@ def pack_blobs(
                     archives.add(row["name"], checked_content(row["name"], row["content"]))
             yield from archives.close()
 
-    return materialize(
-        rows.mapInArrow(write, "archive string, n_members long, n_bytes long"), "packed"
-    )
+    written = materialize(rows.mapInArrow(write, PACKED), "packed")
+    publish(spark, dir, packing, written)
+    return written.select("archive", "n_members", "n_bytes")
 
 
 class ArchiveWriter:
@@ -220,5 +279,8 @@ class ArchiveWriter:
         self.archive.close()
         self.upload.finish()
         self.upload = self.archive = None
-        row = {"archive": [self.path], "n_members": [self.members], "n_bytes": [self.size]}
-        yield pa.RecordBatch.from_pydict(row, schema=PACK_ARROW)
+        file = self.store.system(self.path).get_file_info(inner_path(self.path))
+        row = (self.path, self.members, self.size, file.size, file.mtime)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x], f.type) for x, f in zip(row, PACK_ARROW, strict=True)], schema=PACK_ARROW
+        )

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import logging
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.functions.schema import catalog_type, split_schema
+from blobframe.functions.schema import catalog_type, quoted, split_schema
 from blobframe.sources.store import exists, qualify
 
 log = logging.getLogger(__name__)
 
-
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+#: Partitions that a task writes at once, beyond which Spark sorts its rows by partition.
+PARTITION_WRITERS = 64
 
 
 def quoted_table(name: str) -> str:
@@ -35,14 +38,15 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def describe_table(spark: SparkSession, name: str) -> dict:
     """``location``, ``external`` and the column lists ``data`` and ``keys`` of a table."""
-    columns = spark.catalog.listColumns(name)
+    keys = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
+    columns = [(f.name, catalog_type(f)) for f in spark.table(name).schema.fields]
     rows = spark.sql(f"DESCRIBE EXTENDED {quoted_table(name)}").collect()
     details = {row.col_name: row.data_type for row in rows}
     return {
         "location": details.get("Location"),
         "external": details.get("Type") == "EXTERNAL",
-        "data": [(c.name, c.dataType) for c in columns if not c.isPartition],
-        "keys": [(c.name, c.dataType) for c in columns if c.isPartition],
+        "data": [column for column in columns if column[0] not in keys],
+        "keys": [column for column in columns if column[0] in keys],
     }
 
 
@@ -57,7 +61,8 @@ def ensure_table(
     """Make ``name`` an external Parquet table of this schema at ``path``, partitioned by ``keys``.
 
     A table that lacks some columns gets them; older files read NULL there. Any other difference
-    replaces the definition (the data stays) and registers the partitions found at ``path``.
+    replaces the definition (the data stays) and registers the partitions found at ``path``; the new
+    definition is made under another name first, so one that the catalog refuses changes nothing.
     """
     change, data, by = needed_change(spark, name, schema, keys, path, strict_types)
     location = qualify(spark, path)
@@ -66,14 +71,34 @@ def ensure_table(
     if change == "add":
         added = [column for column in data if column not in describe_table(spark, name)["data"]]
         spark.sql(f"ALTER TABLE {quoted_table(name)} ADD COLUMNS ({column_list(added)})")
-    if change == "replace":
-        spark.sql(f"DROP TABLE {quoted_table(name)}")
     if change in ("create", "replace"):
-        create_table(spark, name, data, by, location)
+        with new_definition(spark, name, data, by, location, change == "replace"):
+            pass
     if change == "replace" and keys and exists(spark, location):
         add_partitions(spark, name)
 
 
+@contextmanager
+def new_definition(
+    spark: SparkSession, name: str, data, by, location: str, replace: bool
+) -> Iterator[None]:
+    """Define the table under a name of its own, and rename it to ``name`` at the end of the block.
+
+    What the catalog does not take shows before the block begins; if the block fails, or the table
+    cannot be renamed, nothing is left of the definition and an old one stays.
+    """
+    shadow = f"{name}_{uuid.uuid4().hex}"
+    create_table(spark, shadow, data, by, location)
+    try:
+        yield
+        if replace:
+            spark.sql(f"DROP TABLE {quoted_table(name)}")
+        spark.sql(f"ALTER TABLE {quoted_table(shadow)} RENAME TO {quoted_table(name)}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted_table(shadow)}")
+        raise
+
+
 def needed_change(
     spark: SparkSession, name: str, schema: T.StructType, keys: list[str], path: str, strict: bool
 ) -> tuple[str, list[tuple[str, str]], list[tuple[str, str]]]:
@@ -112,38 +137,79 @@ def create_table(spark: SparkSession, name: str, data, keys, location: str) -> N
     )
 
 
-def append_files(df: DataFrame, keys: list[str], path: str) -> None:
+def append_files(df: DataFrame, keys: list[str], path: str, gather: bool | None = None) -> None:
     """Append ``df`` to the partitioned Parquet folder at ``path``; no catalog is touched.
 
-    Rows are written where they are, without a shuffle of their content.
+    ``gather`` brings the rows of a partition together first, in tasks of like size, so that it gets
+    few files; by default this is done unless there are binary columns, as content is not shuffled.
+    Rows are not sorted for writing unless a task has very many partitions.
     """
-    df.write.partitionBy(*keys).mode("append").parquet(path)
+    with partition_writers(df.sparkSession):
+        gathered(df, keys, gather).write.partitionBy(*keys).mode("append").parquet(path)
+
+
+def gathered(df: DataFrame, keys: list[str], gather: bool | None) -> DataFrame:
+    if gather is None:
+        gather = not any(isinstance(f.dataType, T.BinaryType) for f in df.schema.fields)
+    if not gather or not keys:
+        return df
+    return df.hint("rebalance", *(F.col(quoted(key)) for key in keys))
+
+
+@contextmanager
+def partition_writers(spark: SparkSession, count: int = PARTITION_WRITERS) -> Iterator[None]:
+    """Let a task have the files of several partitions open, in place of sorting its rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def append_partitioned(
-    df: DataFrame, table: str, keys: list[str], path: str, strict_types: bool = False
+    df: DataFrame,
+    table: str,
+    keys: list[str],
+    path: str,
+    strict_types: bool = False,
+    gather: bool | None = None,
 ) -> DataFrame:
     """Append ``df`` at ``path``, see that ``table`` describes it, and register its partitions.
 
-    A new (or replaced) definition is made after the data, so a failed write leaves the catalog as
-    it was, and shows every partition found at ``path``. Otherwise the table gets just the
-    partitions that this append has written to; nothing else is listed. Returns the table.
+    A new (or replaced) definition is tried before anything is written, and takes the table's name
+    after the data, so whatever fails leaves the catalog as it was, and a definition that fails
+    leaves no data; it shows every partition found at ``path``. Otherwise the table gets just the
+    partitions that this append has written to; nothing else is listed. Returns the table. See
+    :func:`append_files` for ``gather``.
     """
     spark = df.sparkSession
-    change, _, _ = needed_change(spark, table, df.schema, keys, path, strict_types)
+    change, data, by = needed_change(spark, table, df.schema, keys, path, strict_types)
     if change in ("create", "replace"):
-        append_files(df, keys, path)
-    ensure_table(spark, table, df.schema, keys, path, strict_types)
-    if change == "create" and keys:
-        add_partitions(spark, table)
-    if change in ("none", "add"):
-        df.select(*spark.table(table).columns).write.insertInto(table)
+        location = qualify(spark, path)
+        with new_definition(spark, table, data, by, location, change == "replace"):
+            append_files(df, keys, path, gather)
+        if keys:
+            add_partitions(spark, table)
+    else:
+        ensure_table(spark, table, df.schema, keys, path, strict_types)
+        rows = gathered(df, keys, gather).select(*(quoted(c) for c in spark.table(table).columns))
+        with partition_writers(spark):
+            rows.write.insertInto(table)
     return spark.table(table)
 
 
-def managed_append(df: DataFrame, table: str, keys: list[str], path: str) -> DataFrame:
+def managed_append(
+    df: DataFrame, table: str, keys: list[str], path: str, gather: bool | None = None
+) -> DataFrame:
     """The same in one write, which registers just the partitions it has written to."""
-    df.write.partitionBy(*keys).mode("append").option("path", path).saveAsTable(table)
+    rows = gathered(df, keys, gather)
+    with partition_writers(df.sparkSession):
+        rows.write.partitionBy(*keys).mode("append").option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

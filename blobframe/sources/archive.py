@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.session import store_options
-from blobframe.sources.manifest import list_blobs
-from blobframe.sources.store import Store
+from blobframe.session import materialize, store_options
+from blobframe.sources.listing import list_blobs, named_like
+from blobframe.sources.packings import current_packing
+from blobframe.sources.store import Store, exists, qualify
 from blobframe.sources.zipformat import directory
 
 INDEX_SCHEMA = T.StructType(
@@ -50,11 +54,20 @@ TASK_ARCHIVES = 64
 def list_archives(
     spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False
 ) -> DataFrame:
-    """One row per archive file, whatever its name: ``path, length``.
+    """One row per archive file, whatever its name: ``path, length, modificationTime``.
 
-    Nothing is read from the files. A file of zero bytes is no archive.
+    Nothing is read from the files. A file of zero bytes is no archive. Of a folder that archives
+    were packed into, the archives of its last packing are listed, and no others.
     """
-    return list_blobs(spark, path, glob, recursive).where("length > 0").select("path", "length")
+    listed = []
+    for one in [path] if isinstance(path, str) else path:
+        packing = current_packing(spark, one)
+        if packing is None:
+            listed.append(list_blobs(spark, one, glob, recursive).where("length > 0"))
+        else:
+            listed.append(named_like(packing, glob))
+    columns = ["path", "length", "modificationTime"]
+    return reduce(DataFrame.union, (files.select(*columns) for files in listed))
 
 
 def archive_index(archives: DataFrame) -> DataFrame:
@@ -83,14 +96,51 @@ def archive_index(archives: DataFrame) -> DataFrame:
                     if rows:
                         yield index_batch(path, rows)
 
-    # The scan plans one task per 128 MB of archive, though nothing of that is read here; so the
-    # paths are dealt out by their number.
+    # Paths are dealt out by their number, as nothing is read here of what the archives hold.
+    archives = materialize(archives.select("path"), "archives")
     count = archives.count()
     tasks = max(1, min(count, spark.sparkContext.defaultParallelism), -(-count // TASK_ARCHIVES))
-    return archives.select("path").repartition(tasks).mapInArrow(scan, INDEX_SCHEMA)
+    return archives.repartition(tasks).mapInArrow(scan, INDEX_SCHEMA)
 
 
 def index_batch(path: str, rows: list) -> pa.RecordBatch:
     columns = {name: [getattr(row, name) for row in rows] for name in rows[0]._fields}
     columns["archive"] = [path] * len(rows)
     return pa.RecordBatch.from_pydict(columns, schema=INDEX_ARROW)
+
+
+def refresh_index(
+    spark: SparkSession,
+    path: str | list[str],
+    store: str,
+    glob: str | None = None,
+    recursive: bool = False,
+) -> DataFrame:
+    """The index of the archives at ``path``, of which only new and changed ones are read.
+
+    ``store`` is a folder that keeps what earlier calls have read. An archive is known by its path,
+    length and modification time; one that has gone, or has changed, no longer counts. Members are
+    appended first and the archives they belong to afterwards, under the number of the run, so what
+    a failed run has left behind is never looked at. Runs on one store must follow each other.
+    """
+    members_at, archives_at = f"{store}/members", f"{store}/archives"
+    listed = materialize(list_archives(spark, path, glob, recursive), "listed")
+    version = ["path", "length", "modificationTime"]
+
+    def known() -> DataFrame:
+        if not exists(spark, qualify(spark, archives_at)):
+            return spark.createDataFrame([], listed.schema.add("run", "string"))
+        return spark.read.parquet(archives_at)
+
+    new = listed.join(known(), version, "left_anti")
+    new = materialize(new.dropDuplicates(version), "new")
+    if not new.isEmpty():
+        run = F.lit(uuid.uuid4().hex).alias("run")
+        archive_index(new).select("*", run).write.mode("append").parquet(members_at)
+        new.select(*version, run).write.mode("append").parquet(archives_at)
+    elif not exists(spark, qualify(spark, members_at)):
+        return spark.createDataFrame([], INDEX_SCHEMA)
+    current = known().join(listed.dropDuplicates(version), version, "left_semi")
+    current = materialize(current.select(F.col("path").alias("archive"), "run"), "current")
+    members = spark.read.parquet(members_at)
+    return members.join(current, ["archive", "run"], "left_semi").select(*INDEX_SCHEMA.names)

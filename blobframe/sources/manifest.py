@@ -5,20 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.functions.naming import basename_col
 from blobframe.session import store_options
-from blobframe.sources.store import UPLOAD_SUFFIX, Store, hadoop_path, inner_path
+from blobframe.sources.listing import LISTING, list_blobs
+from blobframe.sources.store import Store
 
-LISTING_ARROW = pa.schema(
-    [("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64())]
-)
-LISTING = "path string, modificationTime timestamp, length long"
-LISTING_BATCH = 10_000
+#: What a task that reads files should read, and what opening one counts.
+TASK_BYTES = 128 << 20
+FILE_BYTES = 1 << 20
 
 
 def read_manifest(
@@ -44,13 +41,12 @@ def scan_blobs(
     path: str | list[str],
     glob: str | None = None,
     recursive: bool = False,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
-    """One row per file: ``path, modificationTime, length, content``.
+    """One row per file that :func:`list_blobs` lists: ``path, modificationTime, length, content``.
 
-    ``content`` is read only if it is selected, but for the files that Spark's file sources pass
-    over: those of zero bytes, and those whose name, or a folder's below ``path``, begins with
-    ``_`` or ``.``. A task lists these and reads them. Checksum files that Hadoop keeps beside a
-    file, and uploads that are not complete, are no blobs.
+    The files are listed at once; content is read when the result is, by tasks of about
+    ``task_bytes`` each. Where no content is wanted, list.
     """
     options = store_options(spark)
 
@@ -62,100 +58,10 @@ def scan_blobs(
                 ):
                     content = store.open(file).read_at(length, 0) if length else b""
                     columns = [*batch.slice(at, 1).columns, pa.array([content], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(
-                        columns, names=[*LISTING_ARROW.names, "content"]
-                    )
+                    names = [*batch.schema.names, "content"]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    hidden = passed_over(spark, path, glob, recursive)
-    return shown_files(spark, path, glob, recursive).union(
-        hidden.mapInArrow(read, f"{LISTING}, content binary")
-    )
-
-
-def list_blobs(
-    spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False
-) -> DataFrame:
-    """``path, modificationTime, length`` of the files :func:`scan_blobs` would read."""
-    shown = shown_files(spark, path, glob, recursive).drop("content")
-    return shown.union(passed_over(spark, path, glob, recursive))
-
-
-def shown_files(
-    spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool
-) -> DataFrame:
-    reader = spark.read.format("binaryFile")
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.load(path)
-
-
-def passed_over(
-    spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool
-) -> DataFrame:
-    """``path, modificationTime, length`` of the files that Spark's file sources do not show.
-
-    The driver resolves ``path`` alone, which may be a pattern; a task lists what is below.
-    """
-    options = store_options(spark)
-    roots = []
-    for one in [path] if isinstance(path, str) else path:
-        target, system = hadoop_path(spark, one)
-        roots += [found.getPath().toString() for found in system.globStatus(target) or []]
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with Store(options) as store:
-            for batch in batches:
-                for root in batch.column("root").to_pylist():
-                    rows = files_below(store, root, recursive)
-                    for begin in range(0, len(rows), LISTING_BATCH):
-                        part = rows[begin : begin + LISTING_BATCH]
-                        yield pa.RecordBatch.from_pylist(part, schema=LISTING_ARROW)
-
-    tasks = spark.createDataFrame([(root,) for root in roots], "root string")
-    files = tasks.repartition(max(1, len(roots))).mapInArrow(listed, LISTING)
-    if glob is not None:
-        pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
-        files = files.where(F.rlike(basename_col("path"), F.lit(f"^(?:{pattern})$")))
-    return files
-
-
-def is_hidden(name: str) -> bool:
-    """Whether Spark's file sources pass over a file or folder of this name."""
-    return (name.startswith("_") and "=" not in name) or name.startswith(".")
-
-
-def files_below(store: Store, root: str, recursive: bool) -> list[dict]:
-    system, base = store.system(root), inner_path(root).rstrip("/")
-    info = system.get_file_info(base)
-    if info.type == pafs.FileType.File:
-        found, prefix = [info], root[: -len(info.base_name)]
-        base = base[: -len(info.base_name)].rstrip("/")
-    else:
-        found = system.get_file_info(pafs.FileSelector(base, recursive=recursive))
-        prefix = root.rstrip("/") + "/"
-    files = [
-        (f.path[len(base) :].lstrip("/"), f) for f in found if f.type == pafs.FileType.File
-    ]
-    names = {name for name, _ in files}
-    rows = []
-    for name, file in files:
-        parts = name.split("/")
-        if name.endswith(UPLOAD_SUFFIX) or is_checksum(name, names):
-            continue
-        if file.size == 0 or any(map(is_hidden, parts)):
-            rows.append(
-                {"path": prefix + name, "modificationTime": file.mtime, "length": file.size}
-            )
-    return rows
-
-
-def is_checksum(name: str, names: set[str]) -> bool:
-    """Whether this is the file ``.NAME.crc`` that Hadoop keeps beside a file NAME."""
-    folder, slash, last = name.rpartition("/")
-    return (
-        last.startswith(".")
-        and last.endswith(".crc")
-        and folder + slash + last[1 : -len(".crc")] in names
-    )
+    listed = list_blobs(spark, path, glob, recursive)
+    total = listed.agg(F.sum(F.col("length") + FILE_BYTES)).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    return listed.repartition(tasks).mapInArrow(read, f"{LISTING}, content binary")

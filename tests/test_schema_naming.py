@@ -50,7 +50,7 @@ def test_types_every_catalog_takes(kind, name):
 def test_other_types_only_if_not_strict(kind):
     field = T.StructField("c", kind)
     assert bf.catalog_type(field) == kind.simpleString()
-    with pytest.raises(TypeError, match="c has .* which is unsupported"):
+    with pytest.raises(TypeError, match="no type for c: "):
         bf.catalog_type(field, strict_types=True)
 
 
