@@ -1,10 +1,11 @@
 """Exact Jaccard join of documents as sets of word shingles, and the groups it links.
 
 1. Every document becomes a set of hashed shingles; equal sets are one node from here on.
-2. Index: sets of similar size are cut at the same places of the hash order into more blocks than
-   a linked pair can have differences, so a linked pair shares a whole block. The lists of equal
-   blocks tie sets into clusters that no link leaves, for every class of sizes apart. Only hashes
-   are shuffled, and what does not share a whole block with anything is skipped.
+2. Index: sets of similar size are cut by the same rule into more blocks than a linked pair can
+   have differences, and some to spare for blocks that are empty, so a linked pair shares a whole
+   block that is filled. The lists of equal blocks tie sets into clusters that no link leaves, for
+   every class of sizes apart. Only hashes of filled blocks are shuffled, and what does not share a
+   whole block with anything is skipped.
 3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks. The
    sets of a chunk are in an index of lists ordered by size, and the part of a list that cannot
    reach the threshold is skipped. A set that is close to one whose overlaps are known gets its own
@@ -15,6 +16,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +31,9 @@ from .common import BROADCAST_ROWS, as_bytes
 
 SHINGLE = 3
 PERCENT = 90
-#: Blocks more than the differences of a linked pair; makes up for blocks that are empty.
-SPARE = 1
+#: Blocks more than the differences of a linked pair, as a share of these; makes up for blocks that
+#: are empty.
+SPARE = 0.15
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
 CHUNK_SHINGLES = 1 << 18
 
@@ -78,22 +82,37 @@ def most_differences(largest: int, percent: int) -> int:
 def block_hashes(
     shingles: np.ndarray, starts: np.ndarray, percent: int
 ) -> list[tuple[int, np.ndarray]]:
-    """(class, hashes of the set's blocks) where it may be the smaller or the larger one."""
+    """(class, hashes of the set's filled blocks) where it may be the smaller or the larger one.
+
+    A linked pair has more equal blocks than there are spare ones. So if no more of a set's blocks
+    are empty than are spare, one of the equal blocks is filled, whatever the other set is like. If
+    more are empty, the set is also cut by a second rule, a third one and so on, until that holds;
+    the two sets of a pair share every rule up to the first that suits one of them.
+
+    Where a class can have sets too small for that, every shingle is a block.
+    """
     found = []
     own = int(np.searchsorted(starts, len(shingles), "right")) - 1
     for at in {own, max(own - 1, 0)}:
         differences = most_differences(int(starts[at + 1]) - 1, percent)
         if differences == 0:
             continue  # only equal sets link
-        blocks = np.uint64(differences + 1 + SPARE)
-        place = shingles % blocks
-        sums = np.zeros(int(blocks), np.uint64)
-        np.add.at(sums, place, mixed(shingles + ODD[0]))
-        filled = np.bincount(place.astype(np.int64), minlength=int(blocks)) > 0
-        number = np.arange(int(blocks), dtype=np.uint64)
-        keep = filled if (~filled).sum() <= SPARE else np.ones(int(blocks), bool)
-        key = sums + number * ODD[1] + np.uint64(at << 40)
-        found.append((at, mixed(key[keep])))
+        if starts[at] < 2 * (differences + 1):
+            found.append((at, mixed(shingles + np.uint64(at << 40))))
+            continue
+        spare = 1 + int(np.ceil(SPARE * (differences + 1)))
+        blocks = differences + 1 + spare
+        keys = []
+        for rule in itertools.count():
+            place = (mixed(shingles + np.uint64(rule)) if rule else shingles) % np.uint64(blocks)
+            sums = np.zeros(blocks, np.uint64)
+            np.add.at(sums, place, mixed(shingles + ODD[0]))
+            filled = np.flatnonzero(np.bincount(place.astype(np.int64), minlength=blocks))
+            number = filled.astype(np.uint64) + np.uint64(rule << 32)
+            keys.append(mixed(sums[filled] + number * ODD[1] + np.uint64(at << 40)))
+            if blocks - len(filled) <= spare:
+                break
+        found.append((at, np.concatenate(keys)))
     return found
 
 
@@ -321,6 +340,21 @@ def jaccard_groups(
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id of those reachable by links) of all rows.
 
+    See :func:`grouped_rows` for what counts and for the odd cases.
+    """
+    grouped = grouped_rows(docs, percent, width, chunk)
+    return grouped.select("doc_id", "n_shingles", "component_id")
+
+
+def grouped_rows(
+    docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, chunk: int = CHUNK_SHINGLES
+) -> DataFrame:
+    """doc_id, t1, t2, n_shingles, component_id and group_id of all rows.
+
+    t1 and t2 are hashes of the text. Rows have the same group_id if links reach from one to the
+    other, whether they have ids or not; it is NULL where the set is empty. component_id is the
+    least doc_id of those reachable by links.
+
     Two documents link when 100 * intersection >= percent * union of their shingle sets. NULL and
     empty texts have empty sets and link with nothing: their component is their own id. Repeated
     rows each give a row. Rows without an id take part, and get the least id of their component,
@@ -375,7 +409,7 @@ def jaccard_groups(
         named.groupBy("group").agg(F.min("least_id").alias("component_id")), "components"
     )
     named = named.join(_measured(least), "group").select(
-        "node", "check", "n_shingles", "component_id"
+        "node", "check", "n_shingles", "component_id", "group"
     )
     alone = full.groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("_least"))
     single = materialize(
@@ -384,14 +418,14 @@ def jaccard_groups(
             "check",
             "n_shingles",
             F.coalesce("component_id", "_least").alias("component_id"),
+            F.coalesce("group", F.xxhash64("node", "check")).alias("group_id"),
         ),
         "labels",
     )
-    rows = sets.select("doc_id", "n_shingles", "node", "check")
+    rows = sets.select("doc_id", "t1", "t2", "n_shingles", "node", "check")
     out = rows.join(single, ["node", "check", "n_shingles"], "left")
-    return out.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    component = F.coalesce("component_id", "doc_id").alias("component_id")
+    return out.select("doc_id", "t1", "t2", "n_shingles", component, "group_id")
 
 
 def _measured(stored: DataFrame) -> DataFrame:

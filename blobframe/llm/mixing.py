@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize
+from blobframe.sinks.tables import quoted
 
-from .common import join_measured, square_bits, top_bits
+from .common import BROADCAST_ROWS, join_measured, square_bits, top_bits
 
 WEIGHTS = (5, 2, 1)
 RATIO = 1.5
@@ -29,6 +30,7 @@ MIN_BLOCKS = 512
 SHARD_WORDS = 1 << 22
 MIN_SHARDS = 16
 SEED = 20240229
+CHOICE = {"size_col": "size", "source_col": "source", "id_col": "doc_id"}
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, ratio=RATIO, repeats=MAX_REPEATS) -> DataFrame:
@@ -141,8 +143,8 @@ def split_once(nodes: DataFrame) -> DataFrame:
     )
 
 
-def shard_quotas(sources: DataFrame, shards: int) -> DataFrame:
-    """``cuts`` of every source's blocks: shard s takes the blocks from cuts[s-1] to cuts[s].
+def shard_blocks(sources: DataFrame, shards: int) -> DataFrame:
+    """``rank, block, shard``: which shard takes a block, for every block that is taken.
 
     One row travels down the tree, with one number per source; ``shards`` is a power of two.
     """
@@ -153,15 +155,13 @@ def shard_quotas(sources: DataFrame, shards: int) -> DataFrame:
     ).select(F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("width"), "quotas")
     for level in range(shards.bit_length() - 1):
         nodes = materialize(split_once(nodes), f"tree_{level}")
-    leaves = nodes.select("first", F.posexplode("quotas").alias("place", "q"))
+    leaves = nodes.select("first", F.posexplode("quotas").alias("place", "q")).where("q > 0")
     upto = Window.partitionBy("place").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = leaves.withColumn("cut", F.sum("q").over(upto))
-    cuts = cuts.groupBy(F.col("place").cast("long").alias("rank")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("first", "cut"))), lambda x: x["cut"]).alias(
-            "cuts"
-        )
+    leaves = leaves.withColumn("cut", F.sum("q").over(upto))
+    blocks = F.explode(F.sequence(F.col("cut") - F.col("q"), F.col("cut") - 1))
+    return leaves.select(
+        F.col("place").cast("long").alias("rank"), blocks.alias("block"), F.col("first").alias("shard")
     )
-    return sources.join(cuts, "rank", "left")
 
 
 def choose_copies(
@@ -182,16 +182,16 @@ def choose_copies(
     one source. Rows equal in id, source and size are interchangeable. Reruns agree. An empty table
     gives an empty result. Columns named like a result are replaced.
     """
-    drop = [c for c in ("source_size", "target", "copies") if c in docs.columns]
-    docs = docs.drop(*[c for c in drop if c not in (size_col, source_col, id_col)])
-    docs = docs.withColumns(
-        {
-            "_size": F.coalesce(F.col(size_col), F.lit(0)).cast("long"),
-            "_none": F.col(source_col).isNull(),
-            "_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
-        }
+    results = ("source_size", "target", "copies")
+    kept = [c for c in docs.columns if c not in results]
+    docs = docs.select(
+        F.struct(*(F.col(quoted(c)) for c in kept)).alias("_row"),  # no name can clash in there
+        F.col(id_col).alias("_id"),
+        F.coalesce(F.col(size_col), F.lit(0)).cast("long").alias("_size"),
+        F.col(source_col).isNull().alias("_none"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
     )
-    docs = docs.withColumn("_h", F.xxhash64(F.lit(SEED), id_col, "_none", "_source", "_size"))
+    docs = docs.withColumn("_h", F.xxhash64(F.lit(SEED), "_id", "_none", "_source", "_size"))
     source = ["_none", "_source"]
     total = docs.agg(F.count("*").alias("n"), F.sum("_size").alias("s")).first()
     bits = square_bits(total["n"])
@@ -223,32 +223,38 @@ def choose_copies(
     if shards is None:
         wanted = max(MIN_SHARDS, math.ceil(ratio * (total["s"] or 0) / SHARD_WORDS))
         shards = 1 << (wanted - 1).bit_length()
-    sources = shard_quotas(sources, shards).drop("rank", "n_docs")
+    taken = materialize(shard_blocks(sources, shards), "taken")
 
     docs = join_measured(docs, bases, [*source, "_cell"], "bases")
-    order = Window.partitionBy(*source, "_cell").orderBy("_h", id_col)
+    order = Window.partitionBy(*source, "_cell").orderBy("_h", "_id")
     inside = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
     docs = docs.withColumn("_middle", F.col("_base") + inside + F.col("_size") / 2)
-    docs = join_measured(docs, sources, source, "quotas")
+    docs = join_measured(docs, sources.drop("n_docs", "quota"), source, "quotas")
     per_word = F.col("blocks") / F.greatest("source_size", F.lit(1))
     last = F.col("blocks") - 1
     first_pass = F.least(last, F.floor(F.col("_middle") * per_word))
     second_pass = F.col("blocks") + F.least(
         last, F.floor((F.col("source_size") - F.col("_middle")) * per_word)
     )
-    passes = F.array(*[p.cast("long") for p in (first_pass, second_pass)])
-    chosen = F.filter(passes, lambda b: (b < F.col("quota")) & (F.col("_size") > 0))
-    copies = F.transform(
-        chosen,
-        lambda b, i: F.struct(
-            F.size(F.filter("cuts", lambda cut: cut <= b)).cast("long").alias("shard"),
-            F.xxhash64(F.lit(SEED), F.col("_h"), i).alias("order"),
-        ),
-    )
-    docs = docs.withColumn("copies", copies)
-    return docs.drop(
-        "_size", *source, "_h", "_cell", "_base", "_middle", "blocks", "quota", "cuts"
-    )
+    passes = [p.cast("long") for p in (first_pass, second_pass)]
+    # A block that no shard takes, and a document without words, finds no shard.
+    docs = docs.withColumns({f"_block{k}": F.when(F.col("_size") > 0, p) for k, p in enumerate(passes)})
+    few = F.broadcast(taken) if taken.count() <= BROADCAST_ROWS else taken
+    for k in range(len(passes)):
+        side = few.select("rank", F.col("block").alias(f"_block{k}"), F.col("shard").alias(f"_shard{k}"))
+        docs = docs.join(side, ["rank", f"_block{k}"], "left")
+    copies = [
+        F.when(
+            F.col(f"_shard{k}").isNotNull(),
+            F.struct(
+                F.col(f"_shard{k}").alias("shard"),
+                F.xxhash64(F.lit(SEED), F.col("_h"), F.lit(k)).alias("order"),
+            ),
+        )
+        for k in range(len(passes))
+    ]
+    copies = F.array_compact(F.array(*copies)).alias("copies")
+    return docs.select("_row.*", "source_size", "target", copies)
 
 
 def mix_sources(docs: DataFrame, slices: int = 4, **options) -> DataFrame:
@@ -257,15 +263,12 @@ def mix_sources(docs: DataFrame, slices: int = 4, **options) -> DataFrame:
     A shard is ``slices`` runs of partitions, each in random order. Returns the columns of ``docs``
     and ``shard``. See :func:`choose_copies` for the options and the odd cases.
     """
-    docs = docs.drop("shard")
-    columns = docs.columns
-    picked = choose_copies(docs, **options)
-    copies = picked.select(*[F.col(f"`{c}`") for c in columns], F.explode("copies").alias("_copy"))
-    copies = copies.select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.col("_copy.shard").alias("shard"),
-        F.col("_copy.order").alias("_order"),
+    rows = docs.select(
+        F.struct(*(F.col(quoted(c)) for c in docs.columns if c != "shard")).alias("row"),
+        *(F.col(options.pop(key, default)).alias(default) for key, default in CHOICE.items()),
     )
-    copies = copies.withColumn("_slice", F.pmod(F.col("_order"), F.lit(slices)))
-    copies = copies.repartition("shard", "_slice")
-    return copies.sortWithinPartitions("shard", "_slice", "_order").drop("_slice", "_order")
+    picked = choose_copies(rows, **options)
+    copies = picked.select("row", F.explode("copies").alias("copy"))
+    copies = copies.select("row", "copy.*", F.pmod("copy.order", F.lit(slices)).alias("slice"))
+    copies = copies.repartition("shard", "slice").sortWithinPartitions("shard", "slice", "order")
+    return copies.select("row.*", "shard")

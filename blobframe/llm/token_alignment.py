@@ -13,10 +13,11 @@ block and nothing is gathered by pair that grows with the documents.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from blobframe.session import materialize
 
-from .packing import CACHED_PIECES, PLAIN_PIECES, PLAIN_TEXT
+from .packing import CACHED_PIECES, PLAIN_TEXT
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
@@ -60,12 +61,12 @@ def byte_of_letter() -> dict[str, int]:
 class ByteTokenizer:
     """Byte-level BPE: ids of a text, and the bytes of every id.
 
-    The tokenizer cuts a text into pieces and encodes each on its own. Texts of plain characters
-    are cut by an equivalent pattern, so that a piece is encoded once and remembered; others, and
-    those that spell a special token, go to the tokenizer whole.
+    The vocabulary also comes as ranks for a quicker library, which takes texts of plain characters;
+    there the two cut alike. Others, and those that may spell a special token, go to the tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str, pattern: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -78,69 +79,81 @@ class ByteTokenizer:
         for entry, number in vocabulary.items():
             whole = number in added
             self.bytes[number] = entry.encode() if whole else bytes(letters[c] for c in entry)
-        self.known: dict[str, list[int]] = {}
+        with open(ranks, "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.plain = tiktoken.Encoding(
+            "plain", pat_str=pattern, mergeable_ranks=table, special_tokens={}
+        )
 
     def encode(self, text: str) -> list[int]:
-        if not PLAIN_TEXT.fullmatch(text) or "<|" in text:
-            return self.whole.encode(text, add_special_tokens=False).ids
-        pieces = PLAIN_PIECES.findall(text)
-        known = self.known
-        if len(known) > CACHED_PIECES:
-            known.clear()
-        new = list({p for p in pieces if p not in known})
-        for piece, got in zip(new, self.whole.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = got.ids
-        ids: list[int] = []
-        for piece in pieces:
-            ids += known[piece]
-        return ids
+        if PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            return self.plain.encode_ordinary(text)
+        return self.whole.encode(text, add_special_tokens=False).ids
 
 
 class PieceTokenizer:
-    """Sentence pieces: ids of a text, to which it adds a space in front, and the bytes of every id."""
+    """Sentence pieces: ids of a text, to which it adds a space in front, and the bytes of every id.
+
+    If no piece goes on behind a space, the words of a text of plain characters with single spaces
+    are encoded each on its own, and those met before are remembered.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = []
+        apart = True
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
             byte = self.model.is_byte(number)
+            apart &= "▁" not in piece.lstrip("▁")
             self.bytes.append(
                 bytes([int(piece[1:-1], 16)]) if byte else piece.replace("▁", " ").encode()
             )
+        self.apart = apart
+        self.known: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+        words = text.split(" ")
+        if not (self.apart and all(words) and PLAIN_TEXT.fullmatch(text)):
+            return self.model.encode(text)
+        if len(self.known) > CACHED_PIECES:
+            self.known.clear()
+        new = list(set(words).difference(self.known))
+        self.known.update(zip(new, self.model.encode(new, num_threads=1)))
+        return list(chain.from_iterable(map(self.known.__getitem__, words)))
 
 
-def table_of(parts: list[bytes], suffixes: str) -> np.ndarray:
-    """The decimal ids with each of the suffixes, at id + len(parts) * number of the suffix."""
-    return np.array([f"{k}{s}" for s in suffixes for k in range(len(parts))], dtype=object)
+def written_ids(count: int, suffixes: str) -> np.ndarray:
+    """The decimal ids with each of two suffixes, at id * 2 + number of the suffix."""
+    return np.array([f"{k}{s}" for k in range(count) for s in suffixes], dtype=object)
 
 
 class Aligner:
     def __init__(self, a: ByteTokenizer, b: PieceTokenizer):
         self.a, self.b = a, b
-        self.sizes_a, self.sizes_b = [len(x) for x in a.bytes], [len(x) for x in b.bytes]
-        self.written_a, self.written_b = table_of(a.bytes, ",|"), table_of(b.bytes, ",;")
+        self.sizes = [np.array([len(x) for x in kind.bytes]) for kind in (a, b)]
+        self.written = [
+            written_ids(len(kind.bytes), ends) for kind, ends in ((a, ",|"), (b, ",;"))
+        ]
 
     def tokens(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of either kind; none where the tokens' bytes are not a space and the text."""
         data = b" " + text.encode()
         a, b = self.a.encode(" " + text), self.b.encode(text)
         for kind, ids in ((self.a, a), (self.b, b)):
-            if b"".join([kind.bytes[i] for i in ids]) != data:
+            if b"".join(map(kind.bytes.__getitem__, ids)) != data:
                 return [], []
         return a, b
 
-    def cuts(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many tokens of either kind end up to each byte offset where both do."""
-        index_a = dict(zip(accumulate([self.sizes_a[i] for i in a]), range(1, len(a) + 1)))
-        index_b = dict(zip(accumulate([self.sizes_b[i] for i in b]), range(1, len(b) + 1)))
+        ends = [np.cumsum(sizes[ids]).tolist() for sizes, ids in zip(self.sizes, (a, b))]
+        index_a, index_b = (dict(zip(each, range(1, len(each) + 1))) for each in ends)
         shared = sorted(index_a.keys() & index_b.keys())
-        return [index_a[e] for e in shared], [index_b[e] for e in shared]
+        found = [list(map(index.__getitem__, shared)) for index in (index_a, index_b)]
+        return np.array(found)
 
     def align(self, text: str | None) -> tuple:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct linked pairs and their links."""
@@ -148,31 +161,39 @@ class Aligner:
         if not a or not b:
             none = np.empty(0, np.int64)
             return 0, 0, 0, 0, "", none, none
-        ends = np.array(self.cuts(a, b))
-        ids_a, ids_b = np.array(a), np.array(b)
+        a, b = np.array(a), np.array(b)
+        ends = self.cuts(a, b)
         starts = np.c_[np.zeros(2, np.int64), ends[:, :-1]]
         (n_a, n_b), groups = ends - starts, ends.shape[1]
-        digest = hashlib.sha256(self.written(ids_a, ids_b, ends, n_a, n_b).encode()).hexdigest()
+        digest = hashlib.sha256(self.groups_text(a, b, ends, n_a, n_b).encode()).hexdigest()
         # Each A token of a group meets the group's B tokens, which lie side by side.
-        times = np.repeat(n_b, n_a)
-        first = np.repeat(starts[1], n_a)
-        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        met = ids_b[np.repeat(first, times) + within]
-        pairs, counts = np.unique(np.repeat(ids_a, times) * B_IDS + met, return_counts=True)
-        return len(a), len(b), groups, int(times.sum()), digest, pairs, counts
-
-    def written(self, a, b, ends, n_a, n_b) -> str:
+        times, first = np.repeat(n_b, n_a), np.repeat(starts[1], n_a)
+        before = np.cumsum(times) - times
+        links = int(before[-1] + times[-1])
+        met = b[np.arange(links) + np.repeat(first - before, times)]
+        pairs, counts = np.unique(np.repeat(a, times) * B_IDS + met, return_counts=True)
+        return len(a), len(b), groups, links, digest, pairs, counts
+
+    def groups_text(self, a, b, ends, n_a, n_b) -> str:
         """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
-        group_a, group_b = np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)
-        suffix_a, suffix_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        suffix_a[ends[0] - 1] = suffix_b[ends[1] - 1] = 1
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[ends[0] - 1] = last_b[ends[1] - 1] = 1
         out = np.empty(len(a) + len(b), dtype=object)
-        before_b, through_a = (ends[1] - n_b)[group_a], ends[0][group_b]
-        out[np.arange(len(a)) + before_b] = self.written_a[a + len(self.a.bytes) * suffix_a]
-        out[np.arange(len(b)) + through_a] = self.written_b[b + len(self.b.bytes) * suffix_b]
+        before_b, through_a = np.repeat(ends[1] - n_b, n_a), np.repeat(ends[0], n_b)
+        out[np.arange(len(a)) + before_b] = self.written[0][2 * a + last_a]
+        out[np.arange(len(b)) + through_a] = self.written[1][2 * b + last_b]
         return "".join(out.tolist())[:-1]
 
 
+def byte_tokenizer(vocabulary: str) -> ByteTokenizer:
+    """From a file of the public tokenizers, beside which its ranks lie."""
+    import public_tokenizers
+
+    ranks = vocabulary.rsplit(".", 1)[0] + ".tiktoken"
+    paths = (public_tokenizers.path(name) for name in (vocabulary, ranks))
+    return ByteTokenizer(*paths, public_tokenizers.PATTERN)
+
+
 def aligned_documents(docs: DataFrame, vocabulary_a: str, vocabulary_b: str) -> DataFrame:
     """A row per document with its block and its pairs."""
 
@@ -180,7 +201,7 @@ def aligned_documents(docs: DataFrame, vocabulary_a: str, vocabulary_b: str) ->
         import public_tokenizers
 
         aligner = Aligner(
-            ByteTokenizer(public_tokenizers.path(vocabulary_a)),
+            byte_tokenizer(vocabulary_a),
             PieceTokenizer(public_tokenizers.path(vocabulary_b)),
         )
         task, number, held, rows = TaskContext.get().partitionId(), 0, 0, []

@@ -26,5 +26,5 @@ def test_stages_keep_columns_and_rows_they_should(spark):
 
 
 def test_every_operator_has_a_query():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES) and os.path.isdir(SF)

@@ -34,7 +34,7 @@ def aligner():
     import public_tokenizers
 
     return alignment.Aligner(
-        alignment.ByteTokenizer(public_tokenizers.path(alignment.VOCABULARY_A)),
+        alignment.byte_tokenizer(alignment.VOCABULARY_A),
         alignment.PieceTokenizer(public_tokenizers.path(alignment.VOCABULARY_B)),
     )
 
@@ -96,12 +96,17 @@ def test_alignment_does_not_depend_on_blocks(spark, monkeypatch):
     assert Counter(map(tuple, alignment.token_alignment(docs).collect())) == whole
 
 
-def test_pieces_get_the_ids_that_the_whole_text_gets(aligner):
+def test_both_libraries_give_the_same_ids(spark, aligner):
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    for (text,) in texts:
+        assert aligner.a.encode(text) == aligner.a.whole.encode(text, add_special_tokens=False).ids
+        assert aligner.b.encode(text) == aligner.b.model.encode(text)
     made = random.Random(3)
     letters = "ab cDé'sñ 01.,!  \n\t-ü"
     for _ in range(300):
         text = "".join(made.choice(letters) for _ in range(made.randrange(1, 60)))
         assert aligner.a.encode(text) == aligner.a.whole.encode(text, add_special_tokens=False).ids
+        assert aligner.b.encode(text) == aligner.b.model.encode(text)
 
 
 def linked(rows, cosine=0.95):
