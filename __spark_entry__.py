@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -52,10 +53,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("name", file_name("doc_", "doc_id", ".txt"))
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents somebody has labelled; the others are what a manifest asks for in vain."""
-    labels = table(spark, sf_dir, "labels").select("doc_id")
-    return documents(spark, sf_dir).join(labels, "doc_id", "left_semi")
+def asked(docs: DataFrame, prefix: str = "", suffix: str = "") -> DataFrame:
+    """``doc_id, lang, filePath``: every document is asked for, and beside it a name nobody bears."""
+    paths = F.array(
+        F.concat(F.lit(prefix), "name", F.lit(suffix)), file_name(f"{prefix}gone_", "doc_id", ".bin")
+    )
+    return docs.select("doc_id", "lang", F.explode(paths).alias("filePath"))
 
 
 def packed(df: DataFrame, content: str = "text", **options) -> str:
@@ -83,7 +86,7 @@ def manifest_file(df: DataFrame, sep: str = ",") -> str:
 
 
 def manifest_scan(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = table(spark, sf_dir, "customer")
     return bf.read_manifest(spark, manifest_file(rows))
 
 
@@ -130,6 +133,33 @@ def blob_scan_all_names(spark, sf_dir):
     )
 
 
+def listed_tree(spark, sf_dir):
+    """A tree of folders, some hidden, with a file for every page."""
+    number = F.col("page_id")
+    folder = F.concat_ws(
+        "/", F.concat(F.lit("d"), F.floor(number / 50).cast("string")),
+        F.when(number % 2 == 0, "_even").otherwise(".odd"),
+    )
+    pages = table(spark, sf_dir, "pages").withColumn("folder", folder)
+    path = bf.scratch_dir(spark, "tree")
+    bf.export_blobs(pages.withColumn("name", F.concat_ws("/", "folder", number)), "name", "html", path)
+    files = bf.list_blobs(spark, path, recursive=True)
+    return files.select(
+        F.substring_index("path", "/", -3).alias("name"), F.col("length").alias("n_bytes")
+    )
+
+
+def refreshed_index(spark, sf_dir):
+    """The archives of one folder are replaced, another folder's are new: the index follows."""
+    docs, store = documents(spark, sf_dir), bf.scratch_dir(spark, "index")
+    first = packed(docs)
+    bf.refresh_index(spark, first, store)
+    bf.pack_blobs(docs.withColumn("text", F.concat("text", F.lit("!"))), "name", "text", first)
+    pages = table(spark, sf_dir, "pages").withColumn("name", file_name("page_", "page_id", ".html"))
+    second = packed(pages, "html")
+    return bf.refresh_index(spark, [first, second], store).select("member", "size")
+
+
 def archive_index(spark, sf_dir):
     files = bf.list_archives(spark, packed(documents(spark, sf_dir)), glob="*.zip")
     return bf.archive_index(files).select("member", "size")
@@ -175,13 +205,10 @@ def fetch_members(spark, sf_dir):
 
 
 def resolve_exact(spark, sf_dir):
-    manifest = documents(spark, sf_dir).select(
-        "doc_id", F.concat(F.lit("in/box/"), "name").alias("filePath")
-    )
-    resolved = bf.resolve_blobs(
-        manifest, packed(labelled(spark, sf_dir)), ["filePath"], match="exact"
-    )
-    return resolved.select("doc_id", sha("filePath").alias("sha"))
+    docs = documents(spark, sf_dir)
+    manifest = asked(docs, "in/box/").withColumn("asked", F.col("filePath"))
+    resolved = bf.resolve_blobs(manifest, packed(docs), ["filePath"], match="exact")
+    return resolved.select("doc_id", "asked", sha("filePath").alias("sha"))
 
 
 def resolve_odd_shards(spark, sf_dir):
@@ -213,13 +240,11 @@ def resolve_contains_shuffled(spark, sf_dir):
 
 def resolve_contains(spark, sf_dir, **options):
     """Members ``7.txt`` and ``17.txt`` both answer to ``doc_17.txt.bak``; the first one counts."""
-    members = labelled(spark, sf_dir).withColumn("name", file_name("", "doc_id", ".txt"))
-    folder = packed(members, shard_col="lang")
-    manifest = documents(spark, sf_dir).select(
-        "doc_id", F.concat(F.lit("in/box/"), "name", F.lit(".bak")).alias("filePath")
-    )
+    docs = documents(spark, sf_dir)
+    folder = packed(docs.withColumn("name", file_name("", "doc_id", ".txt")), shard_col="lang")
+    manifest = asked(docs, "in/box/", ".bak").withColumn("asked", F.col("filePath"))
     resolved = bf.resolve_blobs(manifest, folder, ["filePath"], **options)
-    return resolved.select("doc_id", sha("filePath").alias("sha"))
+    return resolved.select("doc_id", "asked", sha("filePath").alias("sha"))
 
 
 def resolve_repeated_spread(spark, sf_dir):
@@ -232,43 +257,41 @@ def resolve_repeated(spark, sf_dir, **options):
     manifest = table(spark, sf_dir, "events").select(
         "event_id", file_name("users/doc_", "user_id", ".txt").alias("filePath")
     )
-    resolved = bf.resolve_blobs(manifest, packed(labelled(spark, sf_dir)), ["filePath"], **options)
+    resolved = bf.resolve_blobs(manifest, packed(documents(spark, sf_dir)), ["filePath"], **options)
     return resolved.select("event_id", sha("filePath").alias("sha"))
 
 
 def resolve_status(spark, sf_dir):
-    manifest = documents(spark, sf_dir).select(
-        "doc_id", F.when(F.col("lang") != "es", F.col("name")).alias("filePath")
-    )
+    docs = documents(spark, sf_dir)
+    manifest = asked(docs).withColumn("filePath", F.when(F.col("lang") != "es", F.col("filePath")))
     resolved = bf.resolve_blobs(
-        manifest,
-        packed(labelled(spark, sf_dir)),
-        ["filePath"],
-        match="exact",
-        default=None,
-        status_col="status",
+        manifest, packed(docs), ["filePath"], match="exact", default=None, status_col="status"
     )
     return resolved.select("doc_id", "status", sha("filePath").alias("sha"))
 
 
-def resolve_two_columns(spark, sf_dir):
+def resolve_two_columns(spark, sf_dir, first="name"):
+    docs = documents(spark, sf_dir)
     pages = table(spark, sf_dir, "pages").select(
         file_name("page_", "page_id", ".html").alias("name"), F.col("html").alias("text")
     )
-    folder = packed(labelled(spark, sf_dir).select("name", "text").union(pages))
-    manifest = documents(spark, sf_dir).select(
-        "name", "lang", "doc_id", file_name("p/page_", "doc_id", ".html").alias("page")
+    folder = packed(docs.select("name", "text").union(pages))
+    manifest = docs.select(
+        F.expr(first).alias("name"), "lang", "doc_id", file_name("p/page_", "doc_id", ".html").alias("page")
     )
     resolved = bf.resolve_blobs(manifest, folder, ["name", "page"])
     return resolved.select("lang", "doc_id", sha("name").alias("text_sha"), sha("page").alias("page_sha"))
 
 
+def resolve_second_column(spark, sf_dir):
+    """:func:`resolve_two_columns` with nothing asked for in the first column by every other row."""
+    return resolve_two_columns(spark, sf_dir, "CASE WHEN doc_id % 2 = 0 THEN name END")
+
+
 def locate_blobs(spark, sf_dir):
     """Places only: how many bytes each row would get."""
-    manifest = documents(spark, sf_dir).select("doc_id", F.col("name").alias("filePath"))
-    located = bf.locate_blobs(
-        manifest, packed(labelled(spark, sf_dir)), ["filePath"], status_col="status"
-    )
+    docs = documents(spark, sf_dir)
+    located = bf.locate_blobs(asked(docs), packed(docs), ["filePath"], status_col="status")
     n_bytes = F.coalesce(F.col("filePath__at.size"), F.lit(0)).alias("n_bytes")
     return located.select("doc_id", "status", n_bytes)
 
@@ -304,16 +327,20 @@ def retype_schema(spark, sf_dir):
 def catalog_types(spark, sf_dir):
     """Each column's catalog type and role, with the number of its values in the table."""
     lines = table(spark, sf_dir, "lineitem")
+    odd = F.struct(F.col("l_linenumber").alias("a b"), F.col("l_tax").alias("c`d"))
+    lines = lines.withColumns(
+        {"odd": odd, "odds": F.array(odd), "odd map": F.create_map("l_shipdate", F.array(odd))}
+    )
     keys = ["l_returnflag", "l_linestatus"]
     stored = bf.append_partitioned(lines, new_table(), keys, bf.scratch_dir(spark, "lines"))
     data, partition = bf.split_schema(lines.schema, keys)
-    values = stored.agg(*(F.count(name).alias(name) for name in lines.columns))
+    values = stored.agg(*(F.count(f"`{name}`").alias(name) for name in lines.columns))
     rows = [
         F.struct(
             F.lit(field.name).alias("name"),
             F.lit(bf.catalog_type(field)).alias("type"),
             F.lit(field in partition).alias("is_partition"),
-            F.col(field.name).alias("n_values"),
+            F.col(f"`{field.name}`").alias("n_values"),
         )
         for field in data + partition
     ]
@@ -378,6 +405,16 @@ def managed_append(spark, sf_dir):
     )
 
 
+def failed_append(spark, sf_dir):
+    """The catalog refuses the first attempt, which leaves nothing for the second one to double."""
+    events, path = table(spark, sf_dir, "events"), bf.scratch_dir(spark, "events")
+    try:
+        bf.append_partitioned(events, f"none_{uuid.uuid4().hex}.events", ["event_type"], path)
+    except AnalysisException:
+        pass
+    return event_rows(bf.append_partitioned(events, new_table(), ["event_type"], path))
+
+
 def evolve_table(spark, sf_dir):
     """The second append brings a column the first one did not have."""
     suppliers = table(spark, sf_dir, "supplier")
@@ -431,7 +468,7 @@ def export_manifest(spark, sf_dir):
         file_name("users/doc_", "user_id", ".txt").alias("filePath"),
     )
     folder = bf.scratch_dir(spark, "users")
-    archives = packed(labelled(spark, sf_dir))
+    archives = packed(documents(spark, sf_dir))
     bf.export_manifest(
         spark, manifest, archives, "name", "filePath", folder, order_by="event_id"
     )
@@ -453,23 +490,54 @@ def pack_blobs(spark, sf_dir):
     )
 
 
+def pack_twice(spark, sf_dir):
+    """The second packing of a folder takes the place of the first one."""
+    docs, folder = documents(spark, sf_dir), bf.scratch_dir(spark, "archives")
+    bf.pack_blobs(docs.withColumn("name", F.concat(F.lit("old_"), "name")), "name", "text", folder)
+    bf.pack_blobs(docs, "name", "text", folder, shard_col="lang", task_bytes=1 << 20)
+    members = bf.archive_members(spark, folder)
+    return members.select("member", "size", sha("content").alias("sha"))
+
+
+def pack_manifest(spark, sf_dir):
+    """From archives to other archives, by language: places are sorted, not content."""
+    docs, folder = documents(spark, sf_dir), bf.scratch_dir(spark, "archives")
+    manifest = asked(docs).withColumn("member", F.col("filePath"))
+    bf.pack_manifest(
+        spark, manifest, packed(docs), "member", "filePath", folder, "lang", match="exact",
+        task_bytes=1 << 20,
+    )
+    members = bf.archive_members(spark, folder)
+    return members.select(
+        shard_of("archive").alias("lang"), "member", "size", sha("content").alias("sha")
+    )
+
+
 def blob_table(spark, sf_dir):
     """Manifest file to catalog table: scan, resolve, append, register, read."""
-    manifest = documents(spark, sf_dir).select(
-        "doc_id", "lang", F.concat(F.lit("in/box/"), "name").alias("filePath")
+    stored = stored_blobs(spark, sf_dir)
+    return stored.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", sha("filePath").alias("sha")
     )
-    stored = bf.load_blob_table(
+
+
+def stored_blobs(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return bf.load_blob_table(
         spark,
-        manifest_file(manifest),
-        packed(labelled(spark, sf_dir)),
+        manifest_file(asked(docs, "in/box/")),
+        packed(docs),
         columns=["filePath"],
         table=new_table(),
         keys=["lang"],
         path=bf.scratch_dir(spark, "blobs"),
     )
-    return stored.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "lang", sha("filePath").alias("sha")
-    )
+
+
+def files_per_partition(spark, sf_dir):
+    """The rows of a partition come together before their content is read, so they fill one file."""
+    stored = stored_blobs(spark, sf_dir).select("lang", F.input_file_name().alias("file"))
+    return stored.groupBy("lang").agg(F.count_distinct("file").alias("n_files"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -483,7 +551,9 @@ QUERIES = [
     control_character_scan,
     blob_scan,
     blob_scan_all_names,
+    listed_tree,
     archive_index,
+    refreshed_index,
     stream_order,
     archive_members,
     member_lookup,
@@ -497,6 +567,7 @@ QUERIES = [
     resolve_repeated_spread,
     resolve_status,
     resolve_two_columns,
+    resolve_second_column,
     locate_blobs,
     basename,
     derive_name,
@@ -509,6 +580,7 @@ QUERIES = [
     distinct_keys,
     pruned_read,
     managed_append,
+    failed_append,
     evolve_table,
     replace_table,
     table_head,
@@ -516,7 +588,10 @@ QUERIES = [
     export_last,
     export_manifest,
     pack_blobs,
+    pack_twice,
+    pack_manifest,
     blob_table,
+    files_per_partition,
 ]
 
 
@@ -529,6 +604,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 EVENT_ROWS = "event_id, user_id, event_type, value, props, epoch_us(ts) AS ts_us"
 LABELLED = "(SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))"
+GONE = "sha256('File Not Found')"
+ODD = "struct<`a b`: int, `c``d`: double>"
 LINEITEM_TYPES = {
     "l_orderkey": "bigint",
     "l_partkey": "bigint",
@@ -541,6 +618,9 @@ LINEITEM_TYPES = {
     "l_returnflag": "string",
     "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
+    "odd": ODD,
+    "odds": f"array<{ODD}>",
+    "odd map": f"map<timestamp_ntz, array<{ODD}>>",
 }
 
 
@@ -562,7 +642,10 @@ def plain_sql() -> dict[str, str]:
     doc_name = "'doc_' || doc_id || '.txt'"
     return {
         "manifest_scan": """
-            SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""",
+            SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+                   CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+                   CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+            FROM customer""",
         "delimited_scan": """
             SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand,
                    CAST(p_size AS VARCHAR) AS p_size
@@ -583,6 +666,15 @@ def plain_sql() -> dict[str, str]:
             SELECT doc_id, {doc_name} AS asked, sha256(text) AS sha FROM documents
             UNION ALL
             SELECT doc_id, {doc_name} || '.lost', sha256(repeat('x', 20000)) FROM documents""",
+        "listed_tree": """
+            SELECT 'd' || CAST(floor(page_id / 50) AS BIGINT)
+                   || CASE WHEN page_id % 2 = 0 THEN '/_even/' ELSE '/.odd/' END || page_id AS name,
+                   octet_length(encode(html)) AS n_bytes
+            FROM pages""",
+        "refreshed_index": f"""
+            SELECT {doc_name} AS member, octet_length(encode(text)) + 1 AS size FROM documents
+            UNION ALL
+            SELECT 'page_' || page_id || '.html', octet_length(encode(html)) FROM pages""",
         "archive_index": f"""
             SELECT {doc_name} AS member, octet_length(encode(text)) AS size FROM documents""",
         "stream_order": f"""
@@ -597,36 +689,39 @@ def plain_sql() -> dict[str, str]:
             SELECT {doc_name} AS member, octet_length(encode(text)) AS size, sha256(text) AS sha
             FROM {LABELLED}""",
         "resolve_exact": f"""
-            SELECT d.doc_id, sha256(coalesce(m.text, 'File Not Found')) AS sha
-            FROM documents d LEFT JOIN {LABELLED} m ON d.doc_id = m.doc_id""",
+            SELECT doc_id, 'in/box/' || {doc_name} AS asked, sha256(text) AS sha FROM documents
+            UNION ALL
+            SELECT doc_id, 'in/box/gone_' || doc_id || '.bin', {GONE} FROM documents""",
         "resolve_contains": f"""
-            SELECT d.doc_id,
-                   sha256(coalesce(arg_min(m.text, m.lang || '/' || m.doc_id || '.txt'),
-                                   'File Not Found')) AS sha
-            FROM documents d LEFT JOIN {LABELLED} m
-              ON contains('doc_' || d.doc_id || '.txt.bak', m.doc_id || '.txt')
-            GROUP BY d.doc_id""",
-        "resolve_repeated": f"""
+            SELECT d.doc_id, 'in/box/doc_' || d.doc_id || '.txt.bak' AS asked,
+                   sha256(arg_min(m.text, m.lang || '/' || m.doc_id || '.txt')) AS sha
+            FROM documents d
+            JOIN documents m ON contains('doc_' || d.doc_id || '.txt.bak', m.doc_id || '.txt')
+            GROUP BY d.doc_id
+            UNION ALL
+            SELECT doc_id, 'in/box/gone_' || doc_id || '.bin', {GONE} FROM documents""",
+        "resolve_repeated": """
             SELECT e.event_id, sha256(coalesce(m.text, 'File Not Found')) AS sha
-            FROM events e LEFT JOIN {LABELLED} m ON e.user_id = m.doc_id""",
-        "resolve_status": f"""
-            SELECT d.doc_id,
-                   CASE WHEN d.lang = 'es' THEN 'null_path'
-                        WHEN m.doc_id IS NULL THEN 'missing' ELSE 'found' END AS status,
-                   CASE WHEN d.lang <> 'es' THEN sha256(m.text) END AS sha
-            FROM documents d LEFT JOIN {LABELLED} m ON d.doc_id = m.doc_id""",
-        "resolve_two_columns": f"""
+            FROM events e LEFT JOIN documents m ON e.user_id = m.doc_id""",
+        "resolve_status": """
+            SELECT doc_id, CASE WHEN lang = 'es' THEN 'null_path' ELSE 'found' END AS status,
+                   CASE WHEN lang <> 'es' THEN sha256(text) END AS sha
+            FROM documents
+            UNION ALL
+            SELECT doc_id, CASE WHEN lang = 'es' THEN 'null_path' ELSE 'missing' END, NULL
+            FROM documents""",
+        "resolve_two_columns": """
+            SELECT d.lang, d.doc_id, sha256(d.text) AS text_sha,
+                   sha256(coalesce(p.html, 'File Not Found')) AS page_sha
+            FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id""",
+        "resolve_second_column": """
             SELECT d.lang, d.doc_id,
-                   sha256(coalesce(m.text, 'File Not Found')) AS text_sha,
+                   sha256(CASE WHEN d.doc_id % 2 = 0 THEN d.text ELSE 'File Not Found' END) AS text_sha,
                    sha256(coalesce(p.html, 'File Not Found')) AS page_sha
-            FROM documents d
-            LEFT JOIN {LABELLED} m ON d.doc_id = m.doc_id
-            LEFT JOIN pages p ON d.doc_id = p.page_id""",
-        "locate_blobs": f"""
-            SELECT d.doc_id,
-                   CASE WHEN m.doc_id IS NULL THEN 'missing' ELSE 'found' END AS status,
-                   coalesce(octet_length(encode(m.text)), 0) AS n_bytes
-            FROM documents d LEFT JOIN {LABELLED} m ON d.doc_id = m.doc_id""",
+            FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id""",
+        "locate_blobs": """
+            SELECT doc_id, 'found' AS status, octet_length(encode(text)) AS n_bytes FROM documents
+            UNION ALL SELECT doc_id, 'missing', 0 FROM documents""",
         "basename": """
             SELECT page_id, regexp_extract(rtrim(url, '/'), '[^/]*$') AS name FROM pages""",
         "derive_name": """
@@ -639,7 +734,7 @@ def plain_sql() -> dict[str, str]:
             f"""
             SELECT '{name}' AS name, '{kind}' AS type,
                    {name in ("l_returnflag", "l_linestatus")} AS is_partition,
-                   count({name}) AS n_values
+                   count({"l_orderkey" if "odd" in name else name}) AS n_values
             FROM lineitem"""
             for name, kind in LINEITEM_TYPES.items()
         ),
@@ -652,6 +747,7 @@ def plain_sql() -> dict[str, str]:
         "distinct_keys": "SELECT DISTINCT event_type FROM events",
         "pruned_read": f"SELECT {EVENT_ROWS} FROM events WHERE event_type = 'purchase'",
         "managed_append": "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders",
+        "failed_append": f"SELECT {EVENT_ROWS} FROM events",
         "evolve_table": """
             SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal, s_nationkey FROM supplier
             UNION ALL
@@ -665,15 +761,26 @@ def plain_sql() -> dict[str, str]:
         "export_last": """
             SELECT 'conv_' || conv_id || '.txt' AS name, sha256(arg_max(text, turn)) AS sha
             FROM conversations GROUP BY conv_id""",
-        "export_manifest": f"""
+        "export_manifest": """
             SELECT DISTINCT 'user_' || e.user_id || '.txt' AS name,
                    sha256(coalesce(m.text, 'File Not Found')) AS sha
-            FROM events e LEFT JOIN {LABELLED} m ON e.user_id = m.doc_id""",
+            FROM events e LEFT JOIN documents m ON e.user_id = m.doc_id""",
         "pack_blobs": """
             SELECT source, count(*) AS n_members,
                    CAST(sum(octet_length(encode(text))) AS BIGINT) AS n_bytes
             FROM documents GROUP BY source""",
+        "pack_twice": f"""
+            SELECT {doc_name} AS member, octet_length(encode(text)) AS size, sha256(text) AS sha
+            FROM documents""",
+        "pack_manifest": f"""
+            SELECT lang, {doc_name} AS member, octet_length(encode(text)) AS size,
+                   sha256(text) AS sha
+            FROM documents
+            UNION ALL
+            SELECT lang, 'gone_' || doc_id || '.bin', 14, {GONE} FROM documents""",
         "blob_table": f"""
-            SELECT d.doc_id, d.lang, sha256(coalesce(m.text, 'File Not Found')) AS sha
-            FROM documents d LEFT JOIN {LABELLED} m ON d.doc_id = m.doc_id""",
+            SELECT doc_id, lang, sha256(text) AS sha FROM documents
+            UNION ALL SELECT doc_id, lang, {GONE} FROM documents""",
+        "files_per_partition": """
+            SELECT lang, CAST(1 AS BIGINT) AS n_files FROM documents GROUP BY lang""",
     }

@@ -213,3 +213,91 @@ def test_failed_write_leaves_no_file(spark, tmp_path):
     with pytest.raises(Exception, match="has no content"):
         bf.pack_blobs(rows, "name", "content", str(tmp_path))
     assert not [name for _, _, names in os.walk(tmp_path) for name in names]
+
+
+def packed_members(spark, folder):
+    return sorted((r.member, bytes(r.content)) for r in bf.archive_members(spark, str(folder)).collect())
+
+
+def test_the_last_packing_of_a_folder_counts(spark, tmp_path):
+    first = [(f"a{i}", b"1") for i in range(10)]
+    second = [(f"b{i}", b"2") for i in range(5)]
+    for rows in (first, second):
+        bf.pack_blobs(blobs(spark, rows), "name", "content", str(tmp_path))
+        assert packed_members(spark, tmp_path) == sorted(rows)
+    assert bf.list_archives(spark, str(tmp_path), glob="*.zip").where("length > 0").count() >= 1
+    assert bf.list_archives(spark, str(tmp_path), glob="*.none").count() == 0
+    with pytest.raises(Exception, match="has no content"):
+        bf.pack_blobs(blobs(spark, [("c", None)]), "name", "content", str(tmp_path))
+    assert packed_members(spark, tmp_path) == sorted(second)
+    assert bf.drop_old_packings(spark, str(tmp_path)) == 2
+    assert packed_members(spark, tmp_path) == sorted(second)
+
+
+def test_lanes_are_ranges_of_about_equal_bytes(spark):
+    rows = spark.range(0, 5000, 1, 7).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("shard"),
+        F.format_string("n%05d", F.pmod(F.col("id") * 7919, F.lit(5000))).alias("name"),
+        (F.col("id") % 50 + 1).alias("size"),
+    )
+    for options in ({"task_bytes": 6000}, {"task_bytes": 1, "lanes": 21}):
+        lanes = files.in_lanes(rows, **options).withColumn("lane", F.spark_partition_id())
+        found = lanes.groupBy("lane").agg(
+            F.sum("size").alias("bytes"), F.min(F.struct("shard", "name")).alias("a"),
+            F.max(F.struct("shard", "name")).alias("b"), F.count("*").alias("n"),
+        ).orderBy("lane").collect()
+        assert sum(r.n for r in found) == 5000 and 20 <= len(found) <= 24
+        assert max(r.bytes for r in found) <= 6200
+        assert all(tuple(one.b) < tuple(other.a) for one, other in zip(found, found[1:]))
+
+
+def test_sizes_of_a_column_spare_reading_content_twice(spark, tmp_path):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def content(name):
+        evaluated.add(1)
+        return name.encode()
+
+    rows = spark.createDataFrame([(f"n{i:02d}", "s", 3) for i in range(40)], "name string, shard string, n int")
+    rows = rows.withColumn("content", content("name"))
+    bf.pack_blobs(rows, "name", "content", str(tmp_path), shard_col="shard", size_col="n", task_bytes=30)
+    assert evaluated.value == 40
+    assert len(packed_members(spark, tmp_path)) == 40 and len(archives_below(tmp_path)) == 4
+
+
+def test_packing_a_manifest_shuffles_no_content(spark, make_zip, tmp_path, monkeypatch):
+    plans = []
+
+    def keep(df, label):
+        if label == "packed":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    store = files.materialize
+    monkeypatch.setattr(files, "materialize", keep)
+    path = make_zip([(f"m{i}", str(i).encode() * 50) for i in range(60)])
+    manifest = spark.range(80).selectExpr(
+        "concat('f', lpad(id, 2, '0')) as name", "concat('m', id) as filePath", "cast(id % 3 as string) as shard"
+    )
+    out = bf.pack_manifest(
+        spark, manifest, path, "name", "filePath", str(tmp_path / "out"), "shard", match="exact", task_bytes=500
+    )
+    assert out.agg(F.sum("n_members")).first()[0] == 80
+    want = [(f"f{i:02d}", str(i).encode() * 50 if i < 60 else b"File Not Found") for i in range(80)]
+    assert packed_members(spark, tmp_path / "out") == want
+    assert len(plans) == 1 and "Exchange" not in plans[0].partition("MapInArrow")[0]
+
+
+def test_duplicate_names_show_before_any_file_is_written(spark, make_zip, tmp_path):
+    path = make_zip([("m1", b"1")])
+    manifest = spark.sql("select 'same' as name, 'm1' as filePath from range(2)")
+    with pytest.raises(ValueError, match="2 rows are named 'same'"):
+        bf.export_manifest(spark, manifest, path, "name", "filePath", str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_the_last_row_of_a_name_needs_an_order(spark):
+    rows = spark.sql("select 'a' as name, cast(null as int) as at, 'x' as content from range(2)")
+    with pytest.raises(ValueError, match="no row named 'a'"):
+        files.last_of_each(rows, "name", "at")

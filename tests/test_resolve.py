@@ -1,4 +1,9 @@
+import os
+import sys
+import uuid
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -6,6 +11,7 @@ import blobframe as bf
 from blobframe.operators import fetch
 from blobframe.operators.fetch import attach_content, spread_rows
 from blobframe.plans.resolve import with_places
+from blobframe.sources import store
 
 MANIFEST = "name string, number string, filePath string"
 
@@ -233,3 +239,116 @@ def test_member_of_many_file_names(spark, make_zip):
     resolved = bf.resolve_blobs(rows, path, ["filePath"])
     assert resolved.where(F.col("filePath") == F.lit(b"A")).count() == 5000
     assert isinstance(resolved.schema["filePath"].dataType, T.BinaryType)
+
+
+def two_columns(spark, make_zip, rows=600):
+    """Two archives; the second column's members lie in the opposite order of the first one's."""
+    one = make_zip([(f"a{i:04d}", b"a" * 20 + str(i).encode()) for i in range(rows)], "one.zip")
+    two = make_zip([(f"b{i:04d}", b"b" * 20 + str(i).encode()) for i in range(rows)], "two.zip")
+    manifest = spark.range(0, rows, 1, 4).selectExpr(
+        "id", "if(id % 2 = 0, format_string('a%04d', id), null) as first",
+        f"format_string('b%04d', {rows - 1} - id) as second",
+    )
+    want = {
+        i: (b"a" * 20 + str(i).encode() if i % 2 == 0 else b"File Not Found",
+            b"b" * 20 + str(rows - 1 - i).encode())
+        for i in range(rows)
+    }
+    return manifest, [one, two], want
+
+
+def test_every_column_is_read_in_its_own_order(spark, make_zip, tmp_path, monkeypatch):
+    """Reads of an archive are counted in files, as they happen in other processes."""
+    log = tmp_path / "log"
+    log.mkdir()
+    opened = store.Store.open
+
+    def counted_open(self, uri):
+        if uri not in self.files:
+            (log / f"open-{uuid.uuid4().hex}").write_text(uri)
+        handle = opened(self, uri)
+        return CountedHandle(handle, uri, log) if uri.endswith(".zip") else handle
+
+    manifest, archives, want = two_columns(spark, make_zip)
+    located = bf.locate_blobs(manifest, archives, ["first", "second"], "exact")
+    monkeypatch.setattr(store.Store, "open", counted_open)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    try:
+        rows = bf.read_located(located, ["first", "second"]).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
+    assert {r.id: (bytes(r.first), bytes(r.second)) for r in rows} == want
+    opens, reads = ([p.read_text() for p in log.glob(f"{kind}-*")] for kind in ("open", "read"))
+    for archive in archives:
+        assert opens.count(f"file:{archive}") <= 2
+        assert reads.count(f"file:{archive}") <= 2
+
+
+class CountedHandle:
+    def __init__(self, handle, uri, log):
+        self.handle, self.uri, self.log = handle, uri, log
+
+    def read_at(self, count, at):
+        (self.log / f"read-{uuid.uuid4().hex}").write_text(self.uri)
+        return self.handle.read_at(count, at)
+
+
+def test_large_members_of_a_second_column_are_not_shuffled(spark, make_zip):
+    manifest, archives, want = two_columns(spark, make_zip, 60)
+    located = bf.locate_blobs(manifest, archives, ["first", "second"], "exact")
+    placed = located.select("id", F.col("first__at").alias("first"), F.col("second__at").alias("second"))
+    for below, joins in ((0, 0), (1 << 20, 1)):
+        got = attach_content(placed, ["first", "second"], gather_below=below)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == joins
+        assert {r.id: (bytes(r.first), bytes(r.second)) for r in got.collect()} == want
+
+
+def test_jobs_of_a_resolve(spark, make_zip):
+    path = make_zip([(f"m{i}", str(i).encode()) for i in range(50)])
+    asked = bf.materialize(spark.range(200).selectExpr("concat('m', id) as filePath"), "asked")
+    spark.sparkContext.setJobGroup("resolve", "counted")
+    try:
+        rows = bf.resolve_blobs(asked, path, ["filePath"], match="exact").count()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("resolve")
+    finally:
+        spark.sparkContext.setJobGroup("other", "not counted")
+    assert rows == 200 and len(jobs) <= 12
+
+
+def test_scratch_is_released(spark, make_zip, table_name, tmp_path):
+    def folders():
+        base = spark.conf.get("spark.checkpoint.dir")
+        return {name for name in os.listdir(base) if name.startswith("blobframe-")}
+
+    csv = tmp_path / "kv.csv"
+    csv.write_text("name,number,filePath\na,1,x\nb,2,none\n")
+    path = make_zip([("x", b"1")])
+    before = folders()
+    args = (spark, str(csv), path, ["filePath"], table_name, ["number"], str(tmp_path / "t"))
+    assert bf.load_blob_table(*args).count() == 2
+    assert folders() == before
+    with bf.release_scratch(spark):
+        assert bf.resolve_blobs(bf.read_manifest(spark, str(csv)), path, ["filePath"]).count() == 2
+        assert folders() > before
+    assert folders() == before
+
+
+def test_a_hot_stretch_is_split_by_the_merge_join_too(spark, make_zip):
+    """The list of hot stretches is not broadcast; the rows of one of them are in many tasks."""
+    asked, located = skewed(spark, make_zip, 6000)
+    placed = located.select("name", F.col("filePath__at").alias("blob"))
+    spread = spread_rows(placed, ["blob"], 14, 200 * (fetch.ROW_BYTES + 50), 1 << 20, 0)
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "broadcast" not in plan.lower()
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 1500
+
+
+def test_a_default_above_one_batch(spark, make_zip, monkeypatch):
+    monkeypatch.setattr(fetch, "OUTPUT_BYTES", 100_000)
+    path = make_zip([("x", b"1")])
+    asked = spark.range(0, 500, 1, 1).selectExpr("id", "'none' as filePath")
+    got = bf.resolve_blobs(asked, path, ["filePath"], match="exact", default=b"d" * 20_000)
+    rows = got.select("id", F.octet_length("filePath").alias("n")).collect()
+    assert {r.n for r in rows} == {20_000} and sorted(r.id for r in rows) == list(range(500))

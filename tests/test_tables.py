@@ -1,10 +1,12 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import blobframe as bf
+from blobframe.sinks import tables
 
 PEOPLE = "name;age;job\nAda;30;Developer\nBo;32;tester\nCy;32;Developer\nDi;32;devops\nEd;40;Developer\n"
 
@@ -193,3 +195,97 @@ def test_blob_table(spark, make_zip, table_name, tmp_path):
     }
     assert stored.columns == ["name", "filePath", "number"]
     assert rows_of(bf.show_partitions(spark, table_name)) == [("number=1",), ("number=2",)]
+
+
+def many_keys(spark, make_zip, tmp_path, rows=2000, keys=50):
+    csv = tmp_path / "many.csv"
+    lines = [f"r{i},{i % keys},m{i % 40}" for i in range(rows)]
+    csv.write_text("name,number,filePath\n" + "\n".join(lines) + "\n")
+    return str(csv), make_zip([(f"m{i}", str(i).encode() * 50) for i in range(40)])
+
+
+def files_of(folder):
+    return {
+        name: [file for file in os.listdir(folder / name) if file.endswith(".parquet")]
+        for name in os.listdir(folder)
+        if "=" in name
+    }
+
+
+def test_a_partition_gets_one_file_for_a_task_of_content(spark, make_zip, table_name, tmp_path):
+    csv, archive = many_keys(spark, make_zip, tmp_path)
+    folder = tmp_path / "blobs"
+    args = (spark, csv, archive, ["filePath"], table_name, ["number"], str(folder))
+    stored = bf.load_blob_table(*args, match="exact")
+    assert [len(f) for f in files_of(folder).values()] == [1] * 50
+    assert stored.count() == 2000
+    bf.load_blob_table(*args, match="exact")  # the second append inserts into the table
+    assert [len(f) for f in files_of(folder).values()] == [2] * 50
+    counts = stored.groupBy("number").agg(F.count("*"), F.min(F.octet_length("filePath"))).collect()
+    assert {r[1] for r in counts} == {80} and min(r[2] for r in counts) == 50
+
+
+def test_a_hot_partition_gets_several_files(spark, make_zip, table_name, tmp_path):
+    csv = tmp_path / "hot.csv"
+    lines = [f"r{i},{'hot' if i % 3 else i % 30},{'m7' if i % 2 else f'm{i % 40}'}" for i in range(3000)]
+    csv.write_text("name,number,filePath\n" + "\n".join(lines) + "\n")
+    archive = make_zip([(f"m{i}", str(i).encode() * 50) for i in range(40)])
+    folder = tmp_path / "blobs"
+    stored = bf.load_blob_table(
+        spark, str(csv), archive, ["filePath"], table_name, ["number"], str(folder), match="exact",
+        task_bytes=400 * 1100,
+    )
+    found = files_of(folder)
+    assert len(found.pop("number=hot")) >= 4
+    assert all(len(files) == 1 for files in found.values())
+    assert stored.count() == 3000
+
+
+def test_content_is_not_sorted_for_the_write(spark, make_zip, table_name, tmp_path):
+    csv, archive = many_keys(spark, make_zip, tmp_path, 200)
+    args = (spark, csv, archive, ["filePath"], table_name, ["number"], str(tmp_path / "t"))
+    bf.load_blob_table(*args)
+    rows = bf.resolve_blobs(bf.read_manifest(spark, csv), archive, ["filePath"], gather_by=["number"])
+    rows.select("name", "filePath", "number").createOrReplaceTempView("resolved")
+    with tables.partition_writers(spark):
+        plan = spark.sql(f"EXPLAIN INSERT INTO {table_name} SELECT * FROM resolved").first()[0]
+    assert "Sort" not in plan.partition("MapInArrow")[0]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_small_rows_are_gathered_for_a_partitioned_append(spark, table_name, tmp_path):
+    rows = spark.range(0, 4000, 1, 16).selectExpr("id", "id % 50 as k")
+    bf.append_partitioned(rows, table_name, ["k"], str(tmp_path / "t"))
+    assert [len(f) for f in files_of(tmp_path / "t").values()] == [1] * 50
+    bf.append_files(rows, ["k"], str(tmp_path / "u"), gather=False)
+    assert sum(len(f) for f in files_of(tmp_path / "u").values()) > 500
+
+
+def test_nested_types_with_odd_names(spark, table_name, tmp_path):
+    rows = spark.sql(
+        "select 1 as k, named_struct('a b', 1, 'c`d', array(named_struct('x,y', 'z'))) as s, "
+        "map('m', named_struct('a:b', 2)) as m"
+    )
+    stored = bf.append_partitioned(rows, table_name, ["k"], str(tmp_path / "t"))
+    assert stored.select("k", "s", "m").collect() == rows.collect()
+    again = bf.append_partitioned(rows, table_name, ["k"], str(tmp_path / "t"))
+    assert again.count() == 2
+
+
+def test_a_refused_definition_leaves_no_data(spark, table_name, tmp_path):
+    rows = spark.sql("select 1 as a, 2 as k")
+    for _ in range(2):
+        with pytest.raises(AnalysisException):
+            bf.append_partitioned(rows, "no_such_database.t", ["k"], str(tmp_path / "t"))
+    assert not (tmp_path / "t").exists()
+    assert bf.append_partitioned(rows, table_name, ["k"], str(tmp_path / "t")).count() == 1
+
+
+def test_a_failed_write_keeps_the_old_definition(spark, table_name, tmp_path):
+    old = bf.append_partitioned(spark.sql("select 1 as a, 2 as k"), table_name, ["k"], str(tmp_path / "t"))
+    bad = spark.sql("select cast(raise_error('no') as string) as b, 2 as k")
+    before = {t.name for t in spark.catalog.listTables("default")}
+    with pytest.raises(Exception, match="no"):
+        bf.append_partitioned(bad, table_name, ["k"], str(tmp_path / "u"))
+    assert {t.name for t in spark.catalog.listTables("default")} == before
+    assert [tuple(r) for r in spark.table(table_name).collect()] == [(1, 2)] and old.count() == 1
