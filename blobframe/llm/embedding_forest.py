@@ -7,9 +7,11 @@
    group of near copies, however large, comes down to few units, in time linear in its size.
 2. Many trees split the units recursively at random directions; the units near a split go to both
    sides (spill), until a cell is small. Sides are quantiles, so a cell always shrinks. A tier of
-   splits is fitted on a bounded sample of every cell; all units pass it.
-3. Units that meet in a leaf are compared: by centre and radius, all their nodes are linked, or none,
-   or it takes the nodes themselves; those pairs of units are opened, in blocks.
+   splits is fitted on a bounded sample of every cell; all units pass it. A tree has a direction for
+   each level, so what travels is a unit's number and its projections, not its vector.
+3. Units that meet in a leaf are compared by vectors rounded to a byte for a component, within the
+   rounding's error; the pairs that may be linked are then verified. By centre and radius, all their
+   nodes are linked, or none, or it takes the nodes themselves: those pairs are opened, in blocks.
 4. Links are counted per node from the sizes of linked units, and united over units.
 """
 
@@ -18,9 +20,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize
@@ -38,16 +39,18 @@ SPILL = 0.12
 SAMPLE = 4096
 LEVELS = 6
 #: Rows of a cell that one task routes.
-CHUNK = 1 << 16
+CHUNK = 1 << 18
 #: Nodes of a unit that one task compares with those of another.
 BLOCK = 1024
 #: Units are merged until a round takes away less than this share of them.
 LEAST_GAIN = 0.05
+#: The trees that bring close units together have numbers from here on.
+MERGING = 1 << 20
 #: Angles closer than this are not told apart by bounds.
 SLACK = 1e-7
 
 UNITS = "uid long, vec array<double>, radius double"
-ROWS = "cell long, uid long, vec array<double>, radius double"
+ROWS = "cell long, uid long, at array<float>"
 
 
 def stacked(column: pa.ChunkedArray) -> np.ndarray:
@@ -62,76 +65,111 @@ def noise(uids: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(11)) * (1e-9 / (1 << 53))
 
 
-def direction(cell: int, node: int, size: int) -> np.ndarray:
-    return np.random.default_rng([cell & (2**64 - 1), node]).standard_normal(size) / math.sqrt(size)
+def directions(tree: int, size: int, levels: int) -> np.ndarray:
+    """A random direction for each level of a tree, as columns."""
+    made = np.random.default_rng([tree, size])
+    return made.standard_normal((levels, size)).T / math.sqrt(size)
+
+
+def projected(units: DataFrame, trees: list[int], levels: int) -> DataFrame:
+    """``cell, uid, at``: every unit in the first cell of every tree, and where it lies at each level.
+
+    Vectors of different lengths are never in one cell.
+    """
+
+    def run(batches):
+        for batch in batches:
+            uids, lists = batch.column("uid").to_numpy(), batch.column("vec")
+            sizes = lists.value_lengths().to_numpy()
+            for size in np.unique(sizes).tolist():
+                here = np.flatnonzero(sizes == size)
+                vecs = lists.take(pa.array(here)).flatten().to_numpy().reshape(len(here), size)
+                for tree in trees:
+                    at = (vecs @ directions(tree, size, levels)).astype(np.float32)
+                    cell = np.full(len(here), below(tree, size))
+                    at = pa.FixedSizeListArray.from_arrays(pa.array(at.ravel()), levels)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell), pa.array(uids[here]), at.cast(pa.list_(pa.float32()))],
+                        names=["cell", "uid", "at"],
+                    )
+
+    return units.select("uid", "vec").mapInArrow(run, ROWS)
+
+
+def below(cell: int, node: int) -> int:
+    """The number of a cell below another one."""
+    made = np.random.SeedSequence([cell & (2**64 - 1), node]).generate_state(1, np.uint64)
+    return int(made.view(np.int64)[0])
 
 
 def split(
-    cell: int, uids: np.ndarray, vecs: np.ndarray, low: np.ndarray, high: np.ndarray
+    uids: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray
 ) -> list[tuple[int, np.ndarray]]:
     """(leaf of the tier, rows there): below ``high`` goes left, from ``low`` on goes right."""
     here, jitter = {0: np.arange(len(uids))}, noise(uids)
     for level in range(round(math.log2(len(low) + 1))):
-        below = {}
+        value, parts = at[:, level].astype(np.float64) + jitter, {}
         for node, rows in here.items():
-            at = (1 << level) - 1 + node
-            value = vecs[rows] @ direction(cell, at, vecs.shape[1]) + jitter[rows]
-            below[2 * node] = rows[value < high[at]]
-            below[2 * node + 1] = rows[value >= low[at]]
-        here = below
+            k = (1 << level) - 1 + node
+            parts[2 * node] = rows[value[rows] < high[k]]
+            parts[2 * node + 1] = rows[value[rows] >= low[k]]
+        here = parts
     return [(node, rows) for node, rows in here.items() if len(rows)]
 
 
-def fit(cell: int, uids: np.ndarray, vecs: np.ndarray, levels: int, spill: float) -> tuple:
+def fit(uids: np.ndarray, at: np.ndarray, levels: int, spill: float) -> tuple:
     """The bounds ``low`` and ``high`` of a tier's splits, at the quantiles of the sample."""
     low, high = np.zeros((1 << levels) - 1), np.zeros((1 << levels) - 1)
     here, jitter = {0: np.arange(len(uids))}, noise(uids)
     for level in range(levels):
-        below = {}
+        value, parts = at[:, level].astype(np.float64) + jitter, {}
         for node, rows in here.items():
-            at = (1 << level) - 1 + node
-            value = vecs[rows] @ direction(cell, at, vecs.shape[1]) + jitter[rows]
+            k = (1 << level) - 1 + node
             if len(rows):
-                low[at], high[at] = np.quantile(value, [(1 - spill) / 2, (1 + spill) / 2])
-            below[2 * node], below[2 * node + 1] = rows[value < high[at]], rows[value >= low[at]]
-        here = below
+                low[k], high[k] = np.quantile(value[rows], [(1 - spill) / 2, (1 + spill) / 2])
+            parts[2 * node] = rows[value[rows] < high[k]]
+            parts[2 * node + 1] = rows[value[rows] >= low[k]]
+        here = parts
     return low, high
 
 
 def levels_for(count: int, leaf: int, spill: float) -> int:
-    """Levels that a cell of so many units still needs, of which a tier does LEVELS at most."""
-    need = math.ceil(math.log(count / leaf) / math.log(2 / (1 + spill)))
-    return min(max(need, 1), LEVELS)
+    """Levels that so many units need."""
+    return max(1, math.ceil(math.log(max(count, 2) / leaf) / math.log(2 / (1 + spill))))
 
 
-def leaves(rows: DataFrame, leaf: int, spill: float, label: str) -> DataFrame:
-    """``rows`` (cell, uid, vec, radius) split until no cell has more than ``leaf`` of them."""
-    spark, done, tier = rows.sparkSession, None, 0
-    rows = materialize(rows, f"{label}_rows")
+def leaves(units: DataFrame, trees: list[int], count: int, leaf: int, spill: float, label: str) -> DataFrame:
+    """``cell, uid``: the units in the leaves of the trees, cells of at most ``leaf`` of them.
+
+    ``count`` units need so many levels; some cells a few more, so the levels come round again.
+    """
+    levels = levels_for(count, leaf, spill) + LEVELS
+    done, tier = None, 0
+    rows = materialize(projected(units, trees, levels), f"{label}_rows")
     while True:
         sizes = materialize(rows.groupBy("cell").agg(F.count("*").alias("n")), f"{label}_sizes")
         large = sizes.where(F.col("n") > leaf)
-        small = rows.join(_small(large, ["cell"]), "cell", "left_anti")
+        small = rows.join(_small(large, ["cell"]), "cell", "left_anti").select("cell", "uid")
         done = small if done is None else done.union(small)
         if large.isEmpty():
             return done
-        rows = materialize(next_tier(rows, large, leaf, spill, f"{label}_{tier}"), f"{label}_{tier}")
+        first = tier * LEVELS % (levels - LEVELS + 1)
+        rows = materialize(next_tier(rows, large, first, leaf, spill, f"{label}_{tier}"), f"{label}_{tier}")
         tier += 1
 
 
-def next_tier(rows: DataFrame, large: DataFrame, leaf: int, spill: float, label: str) -> DataFrame:
-    """The rows of the large cells, in the cells below them."""
+def next_tier(rows: DataFrame, large: DataFrame, first: int, leaf: int, spill: float, label: str) -> DataFrame:
+    """The rows of the large cells, in the cells below them, split at the levels from ``first`` on."""
     sized = rows.join(_small(large, ["cell", "n"]), "cell")
     grain = 1 << 30
     drawn = F.pmod(F.xxhash64("uid", "cell"), F.lit(grain)) < F.lit(float(SAMPLE * grain)) / F.col("n")
 
     def fitted(key: tuple, table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("uid").to_numpy())
-        uids, vecs = table.column("uid").to_numpy()[order], stacked(table.column("vec"))[order]
+        uids, at = table.column("uid").to_numpy()[order], stacked(table.column("at"))[order]
         count = table.column("n")[0].as_py()
-        cell = key[0].as_py()
-        low, high = fit(cell, uids, vecs, levels_for(count, leaf, spill), spill)
-        return pa.table({"cell": [cell], "low": [low], "high": [high], "n": [count]})
+        low, high = fit(uids, at[:, first:], min(levels_for(count, leaf, spill), LEVELS), spill)
+        return pa.table({"cell": [key[0].as_py()], "low": [low], "high": [high], "n": [count]})
 
     model = sized.where(drawn).groupBy("cell").applyInArrow(
         fitted, "cell long, low array<double>, high array<double>, n long"
@@ -142,16 +180,16 @@ def next_tier(rows: DataFrame, large: DataFrame, leaf: int, spill: float, label:
     chunked = sized.withColumn("chunk", F.pmod(F.xxhash64("uid"), chunks)).drop("n")
 
     def routed(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.select(["cell", "uid", "at", "chunk"])
         if not len(left) or not len(right):
             return left.slice(0, 0).drop_columns(["chunk"])
         cell = left.column("cell")[0].as_py()
         low, high = (right.column(c)[0].values.to_numpy() for c in ("low", "high"))
-        uids, vecs = left.column("uid").to_numpy(), stacked(left.column("vec"))
         parts, cells = [], []
-        for node, found in split(cell, uids, vecs, low, high):
-            below = np.random.SeedSequence([cell & (2**64 - 1), 1 << 20, node]).generate_state(1, np.uint64)
+        at = stacked(left.column("at"))[:, first:]
+        for node, found in split(left.column("uid").to_numpy(), at, low, high):
             parts.append(found)
-            cells.append(np.full(len(found), below.view(np.int64)[0]))
+            cells.append(np.full(len(found), below(cell, node)))
         out = left.take(pa.array(np.concatenate(parts))).drop_columns(["chunk", "cell"])
         return out.add_column(0, "cell", pa.array(np.concatenate(cells)))
 
@@ -190,10 +228,12 @@ def balls(vecs: np.ndarray, radius: np.ndarray, most: float) -> list[tuple[np.nd
     return found
 
 
-def merged_units(units: DataFrame, most: float, leaf: int, label: str) -> tuple[DataFrame, DataFrame]:
+def merged_units(
+    units: DataFrame, count: int, most: float, leaf: int, turn: int
+) -> tuple[DataFrame, DataFrame]:
     """One round: (units, pairs uid and parent of those that went into another unit)."""
-    start = units.select(cell_of(units, 0), "uid", "vec", "radius")
-    met = leaves(start, leaf, 0.0, label)
+    label = f"merge_{turn}"
+    met = leaves(units, [MERGING + turn], count, leaf, 0.0, label).join(units, "uid")
 
     def merge(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("uid").to_numpy())
@@ -219,29 +259,70 @@ def merged_units(units: DataFrame, most: float, leaf: int, label: str) -> tuple[
     return materialize(left.select("uid", "vec", "radius").union(new), f"{label}_units"), moved
 
 
-def cell_of(units: DataFrame, tree: int):
-    """The first cell of a tree; vectors of different lengths never meet."""
-    return F.xxhash64(F.lit(tree), F.size("vec")).alias("cell")
+def rounded_units(units: DataFrame) -> DataFrame:
+    """``uid, radius, bytes, scale, error``: vectors as bytes times a scale, and how far that is off."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for vec in batch.column("vec"):
+                vec = vec.values.to_numpy()
+                scale = np.abs(vec).max() / 127
+                near = np.rint(vec / scale)
+                rows.append((near.astype(np.int8).tobytes(), scale, np.linalg.norm(vec - near * scale)))
+            columns = list(zip(*rows, strict=True)) or [[]] * 3
+            out = batch.drop_columns(["vec"])
+            for name, kind, values in zip(
+                ("bytes", "scale", "error"), (pa.binary(), pa.float64(), pa.float64()), columns
+            ):
+                out = out.append_column(name, pa.array(values, kind))
+            yield out
+
+    return units.select("uid", "radius", "vec").mapInArrow(
+        run, "uid long, radius double, bytes binary, scale double, error double"
+    )
 
 
-def compare_units(met: DataFrame, link: float) -> DataFrame:
-    """``u, v, whole`` for units that are linked whole, or perhaps in part."""
+def likely_pairs(met: DataFrame, link: float) -> DataFrame:
+    """``u, v``: units of one cell that may be linked, at least in part, for all that their bytes say."""
 
     def run(table: pa.Table) -> pa.Table:
-        uids, vecs = table.column("uid").to_numpy(), stacked(table.column("vec"))
-        radius = table.column("radius").to_numpy()
-        cosine = vecs @ vecs.T
-        plain = (radius[:, None] == 0) & (radius[None] == 0)
-        reach = radius[:, None] + radius[None]
-        angle = np.arccos(np.clip(cosine, -1.0, 1.0))
-        whole = np.where(plain, cosine >= math.cos(link), angle + reach <= link - SLACK)
-        maybe = ~plain & ~whole & (angle - reach <= link + SLACK)
-        i, j = np.nonzero(np.triu(whole | maybe, 1))
-        return pa.table(
-            {"u": np.minimum(uids[i], uids[j]), "v": np.maximum(uids[i], uids[j]), "whole": whole[i, j]}
-        )
+        uids, radius = table.column("uid").to_numpy(), table.column("radius").to_numpy()
+        scale, error = table.column("scale").to_numpy(), table.column("error").to_numpy()
+        near = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.int8)
+        near = near.reshape(len(uids), -1).astype(np.float32)
+        cosine = (near @ near.T).astype(np.float64) * scale[:, None] * scale[None]
+        off = error[:, None] + error[None] + error[:, None] * error[None] + SLACK + 1e-5
+        reach = np.minimum(math.pi, link + radius[:, None] + radius[None])
+        i, j = np.nonzero(np.triu(cosine + off >= np.cos(reach), 1))
+        return pa.table({"u": np.minimum(uids[i], uids[j]), "v": np.maximum(uids[i], uids[j])})
+
+    return met.groupBy("cell").applyInArrow(run, "u long, v long")
 
-    return met.groupBy("cell").applyInArrow(run, "u long, v long, whole boolean")
+
+def verified_pairs(pairs: DataFrame, units: DataFrame, cosine: float) -> DataFrame:
+    """``u, v, whole`` for pairs of units that are linked whole, or perhaps in part."""
+    link = math.acos(cosine)
+    for side in ("u", "v"):
+        named = units.select(*(F.col(c).alias(n) for c, n in (("uid", side), ("vec", f"vec_{side}"), ("radius", f"radius_{side}"))))
+        pairs = pairs.join(named, side)
+
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            u, v = (batch.column(f"vec_{side}") for side in ("u", "v"))
+            sums = [np.dot(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(u, v)]
+            near = np.array(sums)
+            reach = batch.column("radius_u").to_numpy() + batch.column("radius_v").to_numpy()
+            angle = np.arccos(np.clip(near, -1.0, 1.0))
+            whole = np.where(reach == 0, near >= cosine, angle + reach <= link - SLACK)
+            keep = whole | ((reach > 0) & (angle - reach <= link + SLACK))
+            yield pa.RecordBatch.from_pydict(
+                {"u": batch.column("u"), "v": batch.column("v"), "whole": whole}
+            ).filter(pa.array(keep))
+
+    return pairs.mapInArrow(run, "u long, v long, whole boolean")
 
 
 def opened(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
@@ -330,7 +411,7 @@ def near_duplicates(
     home = nodes.select("node", F.col("node").alias("uid"))
     count, turn = nodes.count(), 0
     while count > 1:
-        units, moved = merged_units(units, link / 2 - SLACK, leaf, f"merge_{turn}")
+        units, moved = merged_units(units, count, link / 2 - SLACK, leaf, turn)
         moved = _small(moved, ["uid", "parent"])
         home = home.join(moved, "uid", "left").select("node", F.coalesce("parent", "uid").alias("uid"))
         home = materialize(home, f"home_{turn}")
@@ -338,12 +419,10 @@ def near_duplicates(
         if count > (1 - LEAST_GAIN) * before:
             break
 
-    starts = None
-    for tree in range(1, trees + 1):
-        start = units.select(cell_of(units, tree), "uid", "vec", "radius")
-        starts = start if starts is None else starts.union(start)
-    met = compare_units(leaves(starts, leaf, spill, "forest"), link)
-    pairs = materialize(met.groupBy("u", "v").agg(F.max("whole").alias("whole")), "pairs")
+    met = leaves(units, list(range(1, trees + 1)), count, leaf, spill, "forest")
+    met = met.join(rounded_units(units), "uid")
+    likely = materialize(likely_pairs(met, link).distinct(), "likely")
+    pairs = materialize(verified_pairs(likely, units, cosine), "pairs")
 
     members = home.join(nodes.select("node", "weight", "least", "vec"), "node")
     sums = members.groupBy("uid").agg(F.sum("weight").alias("held"), F.count("*").alias("size"), F.min("least").alias("least"))

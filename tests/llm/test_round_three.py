@@ -99,14 +99,14 @@ def test_alignment_does_not_depend_on_blocks(spark, monkeypatch):
 def test_both_libraries_give_the_same_ids(spark, aligner):
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
     for (text,) in texts:
-        assert aligner.a.encode(text) == aligner.a.whole.encode(text, add_special_tokens=False).ids
-        assert aligner.b.encode(text) == aligner.b.model.encode(text)
+        whole = aligner.a.whole.encode(text, add_special_tokens=False).ids
+        assert aligner.a.encode(text).tolist() == whole
     made = random.Random(3)
     letters = "ab cDé'sñ 01.,!  \n\t-ü"
     for _ in range(300):
         text = "".join(made.choice(letters) for _ in range(made.randrange(1, 60)))
-        assert aligner.a.encode(text) == aligner.a.whole.encode(text, add_special_tokens=False).ids
-        assert aligner.b.encode(text) == aligner.b.model.encode(text)
+        whole = aligner.a.whole.encode(text, add_special_tokens=False).ids
+        assert aligner.a.encode(text).tolist() == whole
 
 
 def linked(rows, cosine=0.95):
@@ -190,10 +190,9 @@ def test_forest_of_nothing(spark):
 
 
 def test_a_cell_shrinks_whatever_it_holds():
-    same = np.tile(np.eye(8)[0], (1000, 1))
-    uids = np.arange(1000)
-    low, high = forest.fit(7, uids, same, 2, 0.1)
-    parts = forest.split(7, uids, same, low, high)
+    uids, same = np.arange(1000), np.zeros((1000, 2), np.float32)
+    low, high = forest.fit(uids, same, 2, 0.1)
+    parts = forest.split(uids, same, low, high)
     assert max(len(rows) for _, rows in parts) <= 350
     assert len(np.unique(np.concatenate([rows for _, rows in parts]))) == 1000
 
