@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blobframe.functions.schema import quoted
-from blobframe.session import materialize, measured, store_options
+from blobframe.session import materialize, measured, observed, store_options
 from blobframe.sources.archive import PLACE_FIELDS
 from blobframe.sources.store import Store
 from blobframe.sources.zipformat import payload_start, unpack
@@ -98,8 +98,9 @@ def scattered(placed: DataFrame, columns: list[str], gather_below: int) -> list[
     """Those columns whose members have fewer than ``gather_below`` bytes on average."""
     if not columns:
         return []
-    sizes = placed.agg(*(F.avg(F.col(quoted(c))["size"]).alias(f"s{k}") for k, c in enumerate(columns)))
-    means = sizes.first()
+    means = observed(
+        placed, **{f"mean_{k}": F.avg(F.col(quoted(c))["size"]) for k, c in enumerate(columns)}
+    ).values()
     return [c for c, mean in zip(columns, means) if mean is not None and mean < gather_below]
 
 
@@ -153,19 +154,18 @@ def spread_rows(
     groups = [f"__key{k}" for k in range(len(gather_by or []))]
     keys = [F.col(quoted(c)).alias(g) for c, g in zip(gather_by or [], groups)]
 
-    loads = placed.groupBy(*keys, archive, F.coalesce(at, F.lit(-1)).alias("__stretch"))
-    over = (F.col("__load") > task_bytes) & (F.col("__stretch") >= 0)
-    # Stored, as an aggregate below a merge join would keep a hot key of it from being split.
-    loads, seen = measured(
-        loads.agg(F.sum(cost).alias("__load")),
-        "loads",
-        total=F.sum("__load"),
-        hot_rows=F.count_if(over),
-        nowhere=F.sum(F.when(F.col("__stretch") < 0, F.col("__load"))),
-    )
-    total, hot_rows, nowhere = seen["total"], seen["hot_rows"], seen["nowhere"]
+    seen = observed(placed, total=F.sum(cost), nowhere=F.sum(F.when(place.isNull(), cost)))
+    total, nowhere, hot_rows = seen["total"], seen["nowhere"], 0
     if total is None:
         return placed
+    loads = placed.groupBy(*keys, archive, F.coalesce(at, F.lit(-1)).alias("__stretch"))
+    if total > task_bytes:  # otherwise no stretch and no group can be too much for a task
+        over = (F.col("__load") > task_bytes) & (F.col("__stretch") >= 0)
+        # Stored, as an aggregate below a merge join would keep a hot key of it from being split.
+        loads, seen = measured(
+            loads.agg(F.sum(cost).alias("__load")), "loads", hot_rows=F.count_if(over)
+        )
+        hot_rows = seen["hot_rows"] or 0
 
     part_bytes = max(1, task_bytes // PARTS_PER_TASK)
     heaps = max(1, -(-(nowhere or 0) // part_bytes))
@@ -182,7 +182,9 @@ def spread_rows(
         part = F.coalesce(F.pmod("__row", "__parts"), F.lit(0))
     keyed = keyed.withColumn("__part", part)
     deal = ["__archive", "__stretch", "__part"]
-    if groups:
+    if groups and total <= task_bytes:
+        deal = groups
+    elif groups:
         lanes = loads.groupBy(*groups).agg(F.sum("__load").alias("__load"))
         lanes = lanes.select(*groups, F.ceil(F.col("__load") / task_bytes).alias("__lanes"))
         lanes, seen = measured(lanes, "lanes", rows=F.count("*"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blobframe.operators.fetch import place_struct
-from blobframe.session import materialize
+from blobframe.session import materialize, observed
 
 # In-memory bytes up to which a side is broadcast, and what a row takes beyond its text.
 BROADCAST_BYTES = 64 << 20
@@ -34,13 +34,13 @@ def first_match(
     if match not in ("exact", "contains"):
         raise ValueError(f"match must be 'exact' or 'contains', not {match!r}")
 
-    sizes = index.groupBy(F.char_length("member").alias("n")).agg(
-        F.count("*").alias("members"),
-        F.sum(F.octet_length("member") + F.octet_length("archive") + ROW_OVERHEAD).alias("bytes"),
+    sizes = observed(
+        index,
+        # Lengths of member names, of which the ZIP format allows 65,536.
+        lengths=F.collect_set(F.char_length("member")),
+        bytes=F.sum(F.octet_length("member") + F.octet_length("archive") + ROW_OVERHEAD),
     )
-    # One row per length of a member name, of which the ZIP format allows 65,536.
-    sizes = sizes.collect()
-    lengths = sorted(row.n for row in sizes)
+    lengths = sorted(sizes["lengths"] or [])
     if not lengths:
         no_place = F.lit(None).cast(index.select(place_struct()).schema[0].dataType)
         return names.select("fn", no_place.alias("place")).where(F.lit(False))
@@ -48,12 +48,14 @@ def first_match(
     anchors = anchor_lengths(lengths)
     by_beginning = match == "contains" and len(lengths) > LENGTHS_PER_ANCHOR * len(anchors)
 
-    if sum(row.bytes for row in sizes) <= broadcast_bytes:
+    if sizes["bytes"] <= broadcast_bytes:
         asked = pieces(names, match, lengths)
         if by_beginning:
             asked = likely_pieces(names, F.broadcast(beginnings(index, anchors)), anchors)
         best = F.broadcast(first_of_each(index))
-        return first_of(asked.join(best, F.col("piece") == F.col("member")))
+        found = asked.join(best, F.col("piece") == F.col("member"))
+        # A name is looked up once if it must be equal.
+        return found.select("fn", "place") if match == "exact" else first_of(found)
 
     names = materialize(names, "names")
     asked = pieces(names, match, lengths)

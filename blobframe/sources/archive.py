@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blobframe.session import materialize, store_options
+from blobframe.session import materialize, measured, store_options
 from blobframe.sources.listing import list_blobs, named_like
 from blobframe.sources.packings import current_packing
 from blobframe.sources.store import Store, exists, qualify
@@ -97,10 +97,11 @@ def archive_index(archives: DataFrame) -> DataFrame:
                         yield index_batch(path, rows)
 
     # Paths are dealt out by their number, as nothing is read here of what the archives hold.
-    archives = materialize(archives.select("path"), "archives")
-    count = archives.count()
+    archives, found = measured(archives.select("path"), "archives", count=F.count("*"))
+    count = found["count"] or 0
     tasks = max(1, min(count, spark.sparkContext.defaultParallelism), -(-count // TASK_ARCHIVES))
-    return archives.repartition(tasks).mapInArrow(scan, INDEX_SCHEMA)
+    dealt = archives.repartition(tasks) if tasks > 1 else archives.coalesce(1)
+    return dealt.mapInArrow(scan, INDEX_SCHEMA)
 
 
 def index_batch(path: str, rows: list) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobframe.functions.naming import basename_col
-from blobframe.session import materialize, store_options
+from blobframe.session import measured, store_options
 from blobframe.sources.store import UPLOAD_SUFFIX, Store, hadoop_path, inner_path
 
 LISTING = "path string, modificationTime timestamp, length long"
@@ -66,13 +66,15 @@ def list_blobs(
                 modified = datetime.fromtimestamp(found.getModificationTime() / 1000, UTC)
                 files.append((name, modified, found.getLen()))
 
-    level = 0
-    listed = materialize(spark.createDataFrame(files, LISTING), "files")
-    folders = spark.createDataFrame(roots, "path string")
-    while not folders.isEmpty():
-        entries = materialize(entries_of_folders(folders), f"level_{level}")
+    listed = spark.createDataFrame(files, LISTING)
+    folders, count, level = spark.createDataFrame(roots, "path string"), len(roots), 0
+    while count:
+        entries, found = measured(
+            entries_of_folders(folders, count), f"level_{level}", folders=F.count_if("folder")
+        )
         listed = listed.union(entries.where("not folder").drop("folder"))
-        folders = entries.where("folder" if recursive else "false").select("path")
+        folders = entries.where("folder").select("path")
+        count = found["folders"] if recursive else 0
         level += 1
     return named_like(listed, glob)
 
@@ -86,7 +88,7 @@ def named_like(listed: DataFrame, glob: str | None) -> DataFrame:
     return listed.where(F.rlike(basename_col("path"), F.lit(f"^(?:{pattern})$")))
 
 
-def entries_of_folders(folders: DataFrame) -> DataFrame:
+def entries_of_folders(folders: DataFrame, count: int) -> DataFrame:
     """One round: ``path, modificationTime, length, folder`` of what lies in the folders."""
     spark = folders.sparkSession
     options = store_options(spark)
@@ -97,7 +99,6 @@ def entries_of_folders(folders: DataFrame) -> DataFrame:
                 for folder in batch.column("path").to_pylist():
                     yield from batches_of_folder(store, folder)
 
-    count = folders.count()
     tasks = max(1, min(count, spark.sparkContext.defaultParallelism), -(-count // TASK_FOLDERS))
     return folders.repartition(tasks).mapInArrow(run, f"{LISTING}, folder boolean")
 
