@@ -106,13 +106,16 @@ def release_scratch(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(conf).delete(target, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the scratch folder and return the scan of what was written.
 
     Cuts the lineage, fixes row positions for good (a rerun task sees the same rows in the same
-    order) and gives the planner true sizes instead of guesses through Python functions.
+    order) and gives the planner true sizes instead of guesses through Python functions. With
+    ``keep`` the table outlives a block of :func:`release_scratch`.
     """
     path = scratch_dir(df.sparkSession, label)
+    if keep and made.get() is not None:
+        made.get().pop()
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
