@@ -17,7 +17,6 @@ import base64
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +26,13 @@ from pyspark.sql import functions as F
 
 from blobframe.session import materialize
 
-from .packing import CACHED_PIECES, PLAIN_TEXT
+from .packing import PLAIN_TEXT
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: A block is full at so many distinct pairs, counted per document; one larger document is a block.
 BLOCK_PAIRS = 1 << 18
+NONE = np.empty(0, np.int64)
 #: Pairs are one number: A's id times this, plus B's id.
 B_IDS = 1 << 32
 
@@ -85,44 +85,29 @@ class ByteTokenizer:
             "plain", pat_str=pattern, mergeable_ranks=table, special_tokens={}
         )
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if PLAIN_TEXT.fullmatch(text) and "<|" not in text:
-            return self.plain.encode_ordinary(text)
-        return self.whole.encode(text, add_special_tokens=False).ids
+            return self.plain.encode_to_numpy(text).astype(np.int64)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int64)
 
 
 class PieceTokenizer:
-    """Sentence pieces: ids of a text, to which it adds a space in front, and the bytes of every id.
-
-    If no piece goes on behind a space, the words of a text of plain characters with single spaces
-    are encoded each on its own, and those met before are remembered.
-    """
+    """Sentence pieces: ids of a text, to which it adds a space in front, and the bytes of every id."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = []
-        apart = True
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
             byte = self.model.is_byte(number)
-            apart &= "▁" not in piece.lstrip("▁")
             self.bytes.append(
                 bytes([int(piece[1:-1], 16)]) if byte else piece.replace("▁", " ").encode()
             )
-        self.apart = apart
-        self.known: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        words = text.split(" ")
-        if not (self.apart and all(words) and PLAIN_TEXT.fullmatch(text)):
-            return self.model.encode(text)
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = list(set(words).difference(self.known))
-        self.known.update(zip(new, self.model.encode(new, num_threads=1)))
-        return list(chain.from_iterable(map(self.known.__getitem__, words)))
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.int64)
 
 
 def written_ids(count: int, suffixes: str) -> np.ndarray:
@@ -133,35 +118,36 @@ def written_ids(count: int, suffixes: str) -> np.ndarray:
 class Aligner:
     def __init__(self, a: ByteTokenizer, b: PieceTokenizer):
         self.a, self.b = a, b
+        for kind in (a, b):
+            kind.table = np.array(kind.bytes, dtype=object)
         self.sizes = [np.array([len(x) for x in kind.bytes]) for kind in (a, b)]
         self.written = [
             written_ids(len(kind.bytes), ends) for kind, ends in ((a, ",|"), (b, ",;"))
         ]
 
-    def tokens(self, text: str) -> tuple[list[int], list[int]]:
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of either kind; none where the tokens' bytes are not a space and the text."""
         data = b" " + text.encode()
         a, b = self.a.encode(" " + text), self.b.encode(text)
         for kind, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(kind.bytes.__getitem__, ids)) != data:
-                return [], []
+            if b"".join(kind.table[ids].tolist()) != data:
+                return NONE, NONE
         return a, b
 
     def cuts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many tokens of either kind end up to each byte offset where both do."""
-        ends = [np.cumsum(sizes[ids]).tolist() for sizes, ids in zip(self.sizes, (a, b))]
-        index_a, index_b = (dict(zip(each, range(1, len(each) + 1))) for each in ends)
-        shared = sorted(index_a.keys() & index_b.keys())
-        found = [list(map(index.__getitem__, shared)) for index in (index_a, index_b)]
-        return np.array(found)
+        ends_a, ends_b = (np.cumsum(s[ids]).tolist() for s, ids in zip(self.sizes, (a, b)))
+        index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+        index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+        shared = list(filter(index_b.__contains__, index_a))  # both in ascending order
+        found = [np.fromiter(map(x.__getitem__, shared), np.int64) for x in (index_a, index_b)]
+        return np.stack(found)
 
     def align(self, text: str | None) -> tuple:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct linked pairs and their links."""
-        a, b = self.tokens(text) if text else ([], [])
-        if not a or not b:
-            none = np.empty(0, np.int64)
-            return 0, 0, 0, 0, "", none, none
-        a, b = np.array(a), np.array(b)
+        a, b = self.tokens(text) if text else (NONE, NONE)
+        if not len(a) or not len(b):
+            return 0, 0, 0, 0, "", NONE, NONE
         ends = self.cuts(a, b)
         starts = np.c_[np.zeros(2, np.int64), ends[:, :-1]]
         (n_a, n_b), groups = ends - starts, ends.shape[1]
