@@ -69,10 +69,54 @@ def test_bad_hosts_lose_their_documents(spark):
 
 
 def test_quality_of_nothing_and_clashing_columns(spark):
-    empty = spark.createDataFrame([], DOCS + ", kept string, _words string")
-    assert quality_rules(empty.drop("_words")).count() == 0
-    one = spark.createDataFrame([(1, None, None, "x")] * 2, DOCS + ", n_words string")
-    assert [(r.n_words, r.kept) for r in quality_rules(one).collect()] == [(0, False)] * 2
+    odd = ", kept string, _words string, host int, row int, `a.b` int, docs int, _lines int"
+    empty = spark.createDataFrame([], DOCS + odd)
+    assert quality_rules(empty).count() == 0
+    one = spark.createDataFrame([(1, None, None, "k", "w", 2, 3, 4, 5, 6, "x")] * 2, DOCS + odd + ", n_words string")
+    got = quality_rules(one).collect()
+    assert [(r.n_words, r.kept, r._words, r.host, r.row, r["a.b"], r.docs, r._lines) for r in got] == [
+        (0, False, "w", 2, 3, 4, 5, 6)
+    ] * 2
+
+
+def test_host_rates_are_those_of_a_plain_model(spark):
+    import random
+    from collections import defaultdict
+
+    made = random.Random(8)
+    rows = []
+    for k in range(900):
+        host = k % 9 if k % 50 else None
+        words = [f"w{made.randrange(10**6)}" for _ in range(made.randrange(4, 40))]
+        if made.random() < (0.9 if host == 3 else 0.1):
+            words += ["#### %%"] * 12
+        if made.random() < (0.05 * (host or 0)):
+            words += "over and over and once more".split() * 5
+        text = " ".join(words)
+        if made.random() < (0.8 if host == 5 else 0.02):
+            text += "\nsame line" * 20
+        rows.append((k, text, None if host is None else f"h{host}"))
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    rules = ["few_words", "repeats", "symbols", "dup_lines"]
+    hosts = defaultdict(list)
+    for k, _, host in rows:
+        hosts[host].append([got[k][rule] for rule in rules])
+    bad = set()
+    for at in range(4):
+        rates = {h: sum(f[at] for f in each) / len(each) for h, each in hosts.items()}
+        mean = sum(f[at] for each in hosts.values() for f in each) / len(rows)
+        centre = sum(rates.values()) / len(rates)
+        spread = sum((r - centre) ** 2 for r in rates.values()) / len(rates)
+        spread -= sum(r * (1 - r) / len(hosts[h]) for h, r in rates.items()) / len(rates)
+        weight = 1e6 if spread <= 0 else min(1e6, max(1.0, mean * (1 - mean) / spread - 1))
+        for host, each in hosts.items():
+            rate = (sum(f[at] for f in each) + mean * weight) / (len(each) + weight)
+            if rate > mean + 0.4 * (1 - mean):
+                bad.add(host)
+    assert {"h3", "h5"} <= bad and len(bad) < 6
+    for k, _, host in rows:
+        assert got[k].host_kept == (host not in bad)
+        assert got[k].kept == (not got[k].base_failed and host not in bad)
 
 
 def test_hypergeometric_is_the_exact_quantile(spark):
@@ -240,3 +284,60 @@ def test_every_near_fingerprint_is_found(spark):
     want = {(a, b) for a, x in zip(signed, base, strict=True) for b, y in zip(signed, base, strict=True)
             if bin(x ^ y).count("1") <= 3}
     assert got == want
+
+
+def test_disclosure_shares_are_those_of_a_plain_model(spark):
+    import math
+    import random
+    import re
+    from collections import defaultdict
+
+    made = random.Random(4)
+    common, rare = ["the", "of", "and", "to"], [f"q{chr(97 + k)}{chr(97 + j)}" for k in range(12) for j in range(5)]
+    hits = [f"u{k}@mail{k % 3}.example.com" for k in range(20)] + [f"10.{k % 4}.7.{k}" for k in range(20)]
+    texts = []
+    for k in range(160):
+        words = [made.choice(common if made.random() < 0.6 else rare) for _ in range(6)]
+        if k % 3 == 0:
+            hit = hits[k % len(hits)]
+            words.insert(3, hit)
+            words[2] = f"near{'mail' if '@' in hit else 'net'}" if k % 2 else words[2]
+        texts.append(" ".join(words))
+    texts += texts[:30]  # copies count once
+
+    def entities(hit):
+        if "@" in hit:
+            return [f"value:email:{hit}", f"group:email:{hit.split('@')[1]}", "kind:email"]
+        return [f"value:ip:{hit}", f"group:ip:{'.'.join(hit.split('.')[:2])}", "kind:ip"]
+
+    held, met, occurs = defaultdict(set), defaultdict(set), defaultdict(set)
+    for text in set(texts):
+        found = re.search(r"\S+@\S+|\d+\.\d+\.\d+\.\d+", text)
+        for term in set(re.findall(r"[^\W\d_]{2,}", text)):
+            occurs[term].add(text)
+        if found:
+            around = text[: found.start()] + " " + text[found.end() :]
+            for entity in entities(found.group()):
+                held[entity].add(text)
+                for term in re.findall(r"[^\W\d_]{2,}", around):
+                    met[term, entity].add(text)
+    n, want = len(set(texts)), {}
+    for (term, entity), where in met.items():
+        if len(where) >= 2:
+            a, b, c = len(occurs[term]), len(held[entity]), len(where)
+            share = math.log2(c * n / (a * b)) / math.log2(n / b)
+            if share >= 0.5:
+                want[term, entity] = share >= 0.9
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
+    assert len(want) > 5 and len(set(want.values())) == 2
+    shown = {}
+    for text in set(texts):
+        found = re.search(r"\S+@\S+|\d+\.\d+\.\d+\.\d+", text)
+        if found:
+            shown[text] = sum(
+                any((m.group(), e) in want for e in entities(found.group()))
+                for m in re.finditer(r"[^\W\d_]{2,}", text)
+                if m.end() <= found.start() or m.start() >= found.end()
+            )
+    got = {r.doc_id: r.n_terms for r in find_private(docs).collect()}
+    assert got == {i: shown.get(t, 0) for i, t in enumerate(texts)}
