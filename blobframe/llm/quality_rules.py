@@ -1,7 +1,8 @@
 """Quality rules per document, and a verdict on each host from the failures of its documents.
 
-Failures are counted per host (a pre-aggregated shuffle), the failure rates are shrunk towards an
-empirical beta prior, and the few hosts that are rejected are joined back to their documents.
+The failures of every rule are counted per host (a pre-aggregated shuffle). The failure rates of a
+rule are shrunk towards an empirical beta prior of that rule; a host is rejected if one of them is
+far above the corpus's, and the few that are rejected are joined back to their documents.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize
+from blobframe.sinks.tables import quoted
 
 from .common import BREAK_CHARACTERS, join_measured, words_of
 
@@ -18,7 +20,8 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUPLICATE_LINES = 0.3
-MAX_HOST_RATE = 0.5
+#: A host may fail a rule as often as the corpus does, and in this share of the other documents.
+HOST_MARGIN = 0.4
 #: Weight of the prior, in documents, when hosts do not differ at all.
 STRONGEST_PRIOR = 1e6
 
@@ -90,82 +93,83 @@ def base_failure() -> Column:
     )
 
 
-def any_failure() -> Column:
-    """A rule of the base, too many symbols, or too many repeated lines."""
-    return (
-        F.col("base_failed")
-        | (F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * F.col("n_words"))
-        | (F.col("n_dup_lines") > MAX_DUPLICATE_LINES * F.col("n_lines"))
-    )
+def failures() -> dict[str, Column]:
+    """The rules: too few words, too many repeated words, symbols or repeated lines."""
+    return {
+        "few_words": F.col("n_words") < MIN_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"),
+        "symbols": F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * F.col("n_words"),
+        "dup_lines": F.col("n_dup_lines") > MAX_DUPLICATE_LINES * F.col("n_lines"),
+    }
 
 
-def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """Moments of the hosts' failure rates as the two counts of a beta distribution.
+def beta_priors(hosts: DataFrame, rules: list[str]) -> dict[str, tuple[float, float]]:
+    """For every rule, moments of the hosts' failure rates as the two counts of a beta distribution.
 
     The variance that comes from small hosts alone is taken off. One row reaches the driver.
     """
-    rate = F.col("failed") / F.col("docs")
-    noise = rate * (1 - rate) / F.col("docs")
-    row = hosts.agg(
-        F.sum("failed").alias("f"),
-        F.sum("docs").alias("n"),
-        (F.var_pop(rate) - F.avg(noise)).alias("v"),
-    ).first()
-    if not row["n"]:
-        return 0.5, 0.5
-    mean = row["f"] / row["n"]
-    spread, variance = mean * (1 - mean), row["v"] or 0.0
-    weight = STRONGEST_PRIOR if variance <= 0 else min(STRONGEST_PRIOR, spread / variance - 1)
-    weight = max(weight, 1.0)
-    return mean * weight, (1 - mean) * weight
-
-
-def host_verdicts(rated: DataFrame, host_col: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """One row per host: docs, failed, rate (shrunk) and whether its documents are kept."""
-    hosts = materialize(
-        rated.groupBy(host_col).agg(
-            F.count("*").alias("docs"), F.sum(F.col("failed").cast("long")).alias("failed")
-        ),
-        "hosts",
-    )
-    a, b = beta_prior(hosts)
-    rate = (F.col("failed") + F.lit(a)) / (F.col("docs") + F.lit(a + b))
-    return hosts.withColumn("rate", rate).withColumn("host_kept", F.col("rate") <= max_rate)
+    sums = [F.sum("docs").alias("n")]
+    for rule in rules:
+        rate = F.col(rule) / F.col("docs")
+        noise = rate * (1 - rate) / F.col("docs")
+        sums.append(F.sum(rule).alias(f"f_{rule}"))
+        sums.append((F.var_pop(rate) - F.avg(noise)).alias(f"v_{rule}"))
+    row = hosts.agg(*sums).first()
+    priors = {}
+    for rule in rules:
+        if not row["n"]:
+            priors[rule] = 0.5, 0.5
+            continue
+        mean, variance = row[f"f_{rule}"] / row["n"], row[f"v_{rule}"] or 0.0
+        weight = STRONGEST_PRIOR
+        if variance > 0:
+            weight = max(1.0, min(STRONGEST_PRIOR, mean * (1 - mean) / variance - 1))
+        priors[rule] = mean * weight, (1 - mean) * weight
+    return priors
+
+
+def host_verdicts(rated: DataFrame, keys: list[str], margin: float = HOST_MARGIN) -> DataFrame:
+    """One row per host: docs, the failures of each rule, its shrunk rate_<rule>, and host_kept."""
+    rules = list(failures())
+    counts = [F.sum(F.col(rule).cast("long")).alias(rule) for rule in rules]
+    hosts = materialize(rated.groupBy(*keys).agg(F.count("*").alias("docs"), *counts), "hosts")
+    far = F.lit(False)
+    rates = {}
+    for rule, (a, b) in beta_priors(hosts, rules).items():
+        rates[f"rate_{rule}"] = (F.col(rule) + F.lit(a)) / (F.col("docs") + F.lit(a + b))
+        mean = a / (a + b)
+        far = far | (F.col(f"rate_{rule}") > F.lit(mean + margin * (1 - mean)))
+    return hosts.withColumns(rates).withColumn("host_kept", ~far)
 
 
 def quality_rules(
     docs: DataFrame,
     host_col: str = "source",
     text_col: str = "text",
-    max_host_rate: float = MAX_HOST_RATE,
+    host_margin: float = HOST_MARGIN,
 ) -> DataFrame:
     """Rate every document and its host; returns the other columns, the statistics, ``base_failed``,
-    ``failed`` (any rule), ``host_kept`` and ``kept``. The text itself is not carried along.
+    the rules (whether the document fails each), ``host_kept`` and ``kept``, without the text.
 
     NULL texts have no words and fail. Documents without a host form one host. Repeated rows count
     as often as they occur. Columns named like a result are replaced. An empty table gives an empty
     result. Texts are read once: the statistics are stored before hosts are counted.
     """
-    results = [*STATISTICS, "n_lines", "base_failed", "failed", "host_kept", "kept"]
-    docs = docs.drop(*[c for c in results if c in docs.columns and c not in (host_col, text_col)])
-    rated = text_statistics(docs, text_col).withColumn("base_failed", base_failure())
-    rated = materialize(rated.withColumn("failed", any_failure()), "rated")
-    bad = (
-        host_verdicts(rated, host_col, max_host_rate)
-        .where(~F.col("host_kept"))
-        .select(
-            F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"),
-            F.col(host_col).isNull().alias("_none"),
-            F.lit(True).alias("_bad"),
-        )
-    )
-    rated = rated.withColumns(
-        {
-            "_host": F.coalesce(F.col(host_col).cast("string"), F.lit("")),
-            "_none": F.col(host_col).isNull(),
-        }
+    rules = failures()
+    results = [*STATISTICS, "n_lines", "base_failed", *rules, "host_kept", "kept"]
+    kept = [c for c in docs.columns if c != text_col and (c not in results or c == host_col)]
+    # In a struct no name of theirs can clash with one of ours.
+    rows = docs.select(
+        F.struct(*(F.col(quoted(c)) for c in kept)).alias("row"),
+        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+        F.col(host_col).isNull().alias("no_host"),
+        F.col(text_col).alias("text"),
     )
-    judged = join_measured(rated, bad, ["_host", "_none"], "rejected_hosts")
-    judged = judged.withColumn("host_kept", F.col("_bad").isNull())
+    rated = text_statistics(rows, "text").withColumn("base_failed", base_failure())
+    rated = materialize(rated.withColumns(rules), "rated")
+    keys = ["host", "no_host"]
+    bad = host_verdicts(rated, keys, host_margin).where("not host_kept")
+    judged = join_measured(rated, bad.select(*keys, "host_kept"), keys, "rejected_hosts")
+    judged = judged.withColumn("host_kept", F.coalesce("host_kept", F.lit(True)))
     judged = judged.withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
-    return judged.drop("_host", "_none", "_bad")
+    return judged.select("row.*", *(c for c in results if c not in kept))

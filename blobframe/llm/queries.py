@@ -138,4 +138,112 @@ FROM scores WHERE score > 0
 QUALIFY rank <= 10
 """
 
-ORACLE_SQL = {"op13_ranked_search": RANKED_SEARCH_SQL}
+def rates_sql(rule: str) -> str:
+    """Whether a host's failures of the rule, shrunk to the beta prior, are far above the corpus's."""
+    return f"""
+      SELECT source, ({rule} + mean * weight) / (docs + weight) > mean + 0.4 * (1 - mean) AS far
+      FROM hosts, (
+        SELECT mean, CASE WHEN spread <= 0 THEN 1e6
+          ELSE least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) END AS weight
+        FROM (
+          SELECT sum({rule}) / sum(docs) AS mean,
+            var_pop({rule} / docs) - avg({rule} / docs * (1 - {rule} / docs) / docs) AS spread
+          FROM hosts))"""
+
+
+QUALITY_RULES_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT r, doc_id, source, t,
+    list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+  FROM texts),
+windows AS (
+  SELECT r, i, words[i:i + 4] AS five
+  FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)),
+repeated AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, five) > 1),
+covered AS (
+  SELECT r, count(DISTINCT place) AS n
+  FROM (SELECT r, unnest(range(i, i + 5)) AS place FROM repeated) GROUP BY r),
+counted AS (
+  SELECT s.r, doc_id, source, len(words)::BIGINT AS n_words,
+    length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    len(lines)::BIGINT AS n_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN covered c ON s.r = c.r),
+rated AS (
+  SELECT *, n_words < 10 AS few_words, 100 * n_repeat_words > 20 * n_words AS repeats,
+    n_symbols > 0.1 * n_words AS symbols, n_dup_lines > 0.3 * n_lines AS dup_lines
+  FROM counted),
+hosts AS (
+  SELECT source, count(*)::DOUBLE AS docs, sum(few_words::INT)::DOUBLE AS few_words,
+    sum(repeats::INT)::DOUBLE AS repeats, sum(symbols::INT)::DOUBLE AS symbols,
+    sum(dup_lines::INT)::DOUBLE AS dup_lines
+  FROM rated GROUP BY source),
+verdicts AS (
+  SELECT source, bool_or(far) AS rejected FROM (
+    {" UNION ALL ".join(map(rates_sql, ("few_words", "repeats", "symbols", "dup_lines")))})
+  GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  few_words OR repeats AS base_failed, NOT (few_words OR repeats) AND NOT rejected AS kept
+FROM rated JOIN verdicts v ON rated.source IS NOT DISTINCT FROM v.source
+"""
+
+JACCARD_JOIN_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ 	-]+'), lambda x: x <> '') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, words[i:i + 2] AS shingle
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i
+        FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (
+  SELECT a.r AS u, b.r AS v, count(*) AS inter
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.r = u JOIN sizes y ON y.r = v
+  WHERE 100 * inter >= 90 * (x.n + y.n - inter)),
+reached AS (
+  SELECT r AS u, r AS v FROM texts
+  UNION SELECT reached.u, links.v FROM reached JOIN links ON links.u = reached.v)
+SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM reached JOIN texts t ON t.r = reached.u JOIN texts o ON o.r = reached.v
+LEFT JOIN sizes ON sizes.r = t.r
+GROUP BY t.r, t.doc_id
+"""
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e,
+    embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings),
+links AS (
+  SELECT a.r AS u, b.r AS v FROM vectors a
+  JOIN vectors b ON a.r <> b.r AND a.usable AND b.usable AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (
+  SELECT r AS u, r AS v FROM vectors
+  UNION SELECT reached.u, links.v FROM reached JOIN links ON links.u = reached.v),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT t.vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(o.vec_id) AS component_id,
+  t.vec_id = min(o.vec_id) AS kept
+FROM reached JOIN vectors t ON t.r = reached.u JOIN vectors o ON o.r = reached.v
+LEFT JOIN counts ON counts.u = t.r
+GROUP BY t.r, t.vec_id
+"""
+
+ORACLE_SQL = {
+    "op2_quality_rules": QUALITY_RULES_SQL,
+    "op9_jaccard_join": JACCARD_JOIN_SQL,
+    "op12_embedding_dedup": EMBEDDING_DEDUP_SQL,
+    "op13_ranked_search": RANKED_SEARCH_SQL,
+}
