@@ -73,7 +73,7 @@ def packed(df: DataFrame, content: str = "text", **options) -> str:
 
 
 def shard_of(archive: str) -> Column:
-    return F.regexp_extract(bf.basename_col(archive), r"^part-(.*)-\d+-\d+\.zip$", 1)
+    return F.regexp_extract(bf.basename_col(archive), r"^part-(.*)-\d+-\d+(?:\.retry\d+)?\.zip$", 1)
 
 
 def manifest_file(df: DataFrame, sep: str = ",") -> str:

@@ -50,6 +50,7 @@ from blobframe.sources.archive import archive_index, list_archives, refresh_inde
 from blobframe.sources.listing import list_blobs
 from blobframe.sources.manifest import read_manifest, scan_blobs
 from blobframe.sources.packings import drop_old_packings
+from blobframe.sources.store import register_store
 
 # Executors need no copy of the package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -257,7 +258,10 @@ class ArchiveWriter:
         self.shard = shard
         # Spark's listings pass over names that begin with ``_`` or ``.``; these never do.
         name = "/".join(f"part-{piece}" for piece in checked_name(shard).split("/"))
-        self.path = f"{self.target}/{name}-{task:06d}-{self.number:06d}.zip"
+        # Attempts of one task never write to one name; the published list names those that count.
+        attempt = TaskContext.get().attemptNumber() if TaskContext.get() else 0
+        again = f".retry{attempt}" if attempt else ""
+        self.path = f"{self.target}/{name}-{task:06d}-{self.number:06d}{again}.zip"
         self.upload = self.store.create(self.path, WRITE_BUFFER)
         self.archive = zipfile.ZipFile(self.upload.stream, "w", zipfile.ZIP_DEFLATED)
         self.members = self.size = 0

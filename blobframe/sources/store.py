@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections import OrderedDict
+from collections.abc import Callable
 
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import SparkSession
 OPEN_HANDLES = 8
 RENAMING = ("local", "hdfs")
 OBJECT_STORES = ("s3", "s3a", "s3n")
+# Schemes of stores that were registered, and how their file systems are made.
+REGISTERED: dict[str, Callable[[str, dict[str, str]], pafs.FileSystem]] = {}
 # How the name ends that a file has while it is not complete; listings pass over these.
 UPLOAD_SUFFIX = ".blobframe-upload"
 
@@ -35,8 +38,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def register_store(scheme: str, make: Callable[[str, dict[str, str]], pafs.FileSystem]) -> None:
+    """Let tasks reach paths of a scheme that Arrow does not know.
+
+    ``make`` gets a qualified path and the store options of the session, and returns a file system
+    of Arrow's (``PyFileSystem`` wraps others) that takes ``/folder/file``, or ``bucket/key`` for
+    the schemes of object stores. It travels with the tasks. The session's Hadoop settings must know
+    the scheme too, as the driver looks folders up there.
+    """
+    REGISTERED[scheme] = make
+
+
 def open_system(uri: str, options: dict[str, str]) -> pafs.FileSystem:
     scheme = uri.partition(":")[0]
+    if scheme in REGISTERED:
+        return REGISTERED[scheme](uri, options)
     if scheme == "file":
         return pafs.LocalFileSystem()
     if scheme in OBJECT_STORES:
@@ -110,16 +126,20 @@ class Store:
 class Upload:
     """A file that shows up under its name only once it is complete.
 
-    Every attempt writes to a name of its own and moves the file when it is complete (object stores
-    copy and delete), so an attempt that fails never touches what another one has published, and a
-    rerun or speculative task replaces the file by the same bytes.
+    Where files can be renamed, every attempt writes to a name of its own and moves the file when it
+    is complete, so an attempt that fails never touches what another one has published, and a rerun
+    or speculative task replaces the file by the same bytes. Object stores have no renaming, just
+    copies; there the file is written under its name, as nothing is seen of it before it is closed.
+    What is given up half-way there has to be closed to be deleted, so two attempts that may fail
+    must not write to one name.
     """
 
     def __init__(self, system: pafs.FileSystem, path: str, buffer_size: int | None = None):
         self.system = system
-        self.path = path
-        folder = path.rpartition("/")[0]
-        self.target = f"{folder}/.{uuid.uuid4().hex}{UPLOAD_SUFFIX}"
+        self.path = self.target = path
+        if system.type_name in RENAMING:
+            folder = path.rpartition("/")[0]
+            self.target = f"{folder}/.{uuid.uuid4().hex}{UPLOAD_SUFFIX}"
         # By default the stream would compress what goes to a name like ``x.gz``.
         self.stream = system.open_output_stream(
             self.target, compression=None, buffer_size=buffer_size
@@ -127,7 +147,8 @@ class Upload:
 
     def finish(self):
         self.stream.close()
-        self.system.move(self.target, self.path)
+        if self.target != self.path:
+            self.system.move(self.target, self.path)
 
     def abandon(self):
         self.stream.close()
