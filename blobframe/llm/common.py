@@ -15,6 +15,8 @@ BREAK_CHARACTERS = " \t\n\x0b\x0c\r"
 
 #: A side with at most so many (narrow) rows is broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 200_000
+#: The same for rows that are two numbers alone, which take some 50 bytes in memory.
+BROADCAST_KEYS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,16 @@ def join_measured(
     return left.join(stored, on, how)
 
 
+def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """:func:`materialize`, and let Spark delete the shuffle files that made the table.
+
+    Spark does so once the driver's JVM has noticed that no plan needs them any more.
+    """
+    stored = materialize(df, label, keep)
+    df.sparkSession._jvm.System.gc()
+    return stored
+
+
 def square_bits(rows: int) -> int:
     """Bits of a hash that cut ``rows`` rows into about as many cells as a cell has rows."""
     return max(0, round(math.log2(max(rows, 1)) / 2))

@@ -25,15 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blobframe.session import materialize
+from blobframe.session import materialize, release_scratch
 
-from .common import BROADCAST_ROWS, as_bytes
+from .common import BROADCAST_KEYS, BROADCAST_ROWS, as_bytes, settled
 
 SHINGLE = 3
 PERCENT = 90
 #: Blocks more than the differences of a linked pair, as a share of these; makes up for blocks that
 #: are empty.
-SPARE = 0.15
+SPARE = 0.05
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
 CHUNK_SHINGLES = 1 << 18
 
@@ -195,7 +195,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 
     Rounds of large and small stars until every edge ends at a root, O(log² n) of them.
     """
-    edges = materialize(
+    edges = settled(
         edges.where(F.col("u") != F.col("v"))
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct(),
@@ -335,6 +335,24 @@ def linked_sets(members: DataFrame, percent: int, width: int) -> DataFrame:
     return dealt.groupBy("root", "a", "b").applyInPandas(links, "u long, v long")
 
 
+def tied_places(sets: DataFrame) -> DataFrame:
+    """``place, root``: the clusters of places that share blocks, but for single ones."""
+    entries = [
+        sets.select(F.col(f"v{k}").alias("place"), F.explode(f"b{k}").alias("block")) for k in (0, 1)
+    ]
+    entries = entries[0].union(entries[1])
+    shared = settled(
+        entries.groupBy("block")
+        .agg(F.min("place").alias("least"), F.max("place").alias("most"))
+        .where(F.col("least") != F.col("most"))
+        .select("block", "least"),
+        "shared_blocks",
+    )
+    near = entries.join(shared, "block").where(F.col("place") != F.col("least"))
+    edges = near.select(F.col("place").alias("u"), F.col("least").alias("v"))
+    return components(edges, "clusters").withColumnRenamed("node", "place")
+
+
 def jaccard_groups(
     docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, chunk: int = CHUNK_SHINGLES
 ) -> DataFrame:
@@ -364,22 +382,10 @@ def grouped_rows(
     holds a whole cluster, however large; exact copies are one node from the start.
     """
     docs = with_text_hashes(docs)
-    sets = materialize(set_of_documents(docs, width, percent), "sets")
-    entries = [
-        sets.select(F.col(f"v{k}").alias("place"), F.explode(f"b{k}").alias("block")) for k in (0, 1)
-    ]
-    entries = entries[0].union(entries[1])
-    shared = materialize(
-        entries.groupBy("block")
-        .agg(F.min("place").alias("least"), F.max("place").alias("most"))
-        .where(F.col("least") != F.col("most"))
-        .select("block", "least"),
-        "shared_blocks",
-    )
-    near = entries.join(shared, "block").where(F.col("place") != F.col("least"))
-    edges = near.select(F.col("place").alias("u"), F.col("least").alias("v"))
-    clusters = components(edges, "clusters").withColumnRenamed("node", "place")
-    clusters = materialize(clusters, "clusters")
+    with release_scratch(docs.sparkSession):  # the blocks, once they have told the clusters
+        sets = materialize(set_of_documents(docs, width, percent), "sets_with_blocks")
+        clusters = settled(tied_places(sets), "clusters", keep=True)
+        sets = settled(sets.drop("b0", "b1"), "sets", keep=True)
 
     full = sets.where(F.col("node").isNotNull())
     placed = full.withColumn("place", F.explode(F.array_compact(F.array("v0", "v1"))))
@@ -396,10 +402,13 @@ def grouped_rows(
     weights = materialize(members.groupBy("root").agg(chunks.alias("chunks")), "weights")
     members = members.join(_measured(weights), "root")
     members = members.withColumn("chunk", F.pmod("uid", "chunks")).withColumnRenamed("uid", "node")
-    texts = docs.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     members = materialize(members, "members")
+    wanted = materialize(members.select("t1", "t2").distinct(), "wanted_texts")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    texts = docs.join(wanted, ["t1", "t2"], "left_semi")
+    texts = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     members = members.join(texts, ["t1", "t2"])
-    links = materialize(linked_sets(members, percent, width), "links")
+    links = settled(linked_sets(members, percent, width), "links")
     groups = materialize(components(links, "groups"), "groups")
 
     named = nodes.select(
