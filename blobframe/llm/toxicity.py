@@ -79,18 +79,22 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, steps: int = STEPS) -> Model:
     none = Model(np.empty(0, np.int64), np.empty(0), -4.0)
     if not 0 < prior < 1:
         return none
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    words = np.concatenate(rows)
-    seen = np.bincount(words[toxic[owner]], minlength=1 << FEATURE_BITS)
-    everywhere = np.bincount(words, minlength=1 << FEATURE_BITS)
+    seen = np.zeros(1 << FEATURE_BITS, np.int32)
+    everywhere = np.zeros(1 << FEATURE_BITS, np.int32)
+    for found, bad in zip(rows, toxic, strict=True):  # the words of a document are distinct
+        everywhere[found] += 1
+        if bad:
+            seen[found] += 1
     features = np.flatnonzero(
         (seen >= MIN_TOXIC_DOCUMENTS) & (seen >= MIN_LIFT * prior * everywhere)
     )
     if not len(features):
         return none
-    at = np.minimum(np.searchsorted(features, words), len(features) - 1)
-    held = features[at] == words
-    owner, column = owner[held], at[held]
+    place = np.full(1 << FEATURE_BITS, -1, np.int32)
+    place[features] = np.arange(len(features))
+    columns = [at[at >= 0] for at in (place[found] for found in rows)]
+    owner = np.repeat(np.arange(len(rows)), [len(at) for at in columns])
+    column = np.concatenate(columns)
     n, m = len(rows), len(features)
     # Unlabelled text is the whole sample, the confirmed examples among it: it has their prior.
     share_p = np.where(toxic, prior / toxic.sum(), 0.0)
@@ -156,14 +160,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     def run(batches):
         for batch in batches:
-            found = [word_features(t.as_py()) for t in batch.column("text")]
+            found = [word_features(t.as_py()).astype(np.int32) for t in batch.column("text")]
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.int64()))],
+                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))],
                 names=["doc_id", "label", "words"],
             )
 
     chosen = sample.select(F.col("doc_id").cast("long"), "label", "text")
-    found = chosen.mapInArrow(run, "doc_id long, label int, words array<long>").toArrow()
+    found = chosen.mapInArrow(run, "doc_id long, label int, words array<int>").toArrow()
     found = found.sort_by("doc_id")
     rows = [np.asarray(x.values) for x in found.column("words")]
     return calibrated(rows, found.column("label").to_numpy() == 1)
