@@ -11,10 +11,12 @@ all suffixes would be larger than the corpus many times over, so the digits are
   windows. An anchor whose first digit is unique has none. Both are done.
 * Third digit, for what the first two leave open, and for one anchor of each second digit: what
   32 neighbouring windows have in common, which is all but 31 bytes on either side.
-* Last digit, for what still has a partner: those 31 bytes of each window.
+* Fourth digit: those bytes on either side. Neighbours equal in it have only repeated windows; one
+  of them goes on, and none where nothing else has their third digit.
+* Last digit: the 31 bytes of each window that its neighbours do not share.
 
-Only hashes and places are shuffled, and the text twice, by its own hash. Windows are compared by
-64-bit hashes within equal digits.
+Only hashes and places are shuffled, and of the text what has open anchors or spans, by its own hash.
+Equal digits are equal hashes, of 128 bits from the fourth digit on.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blobframe.session import materialize
+from blobframe.session import materialize, release_scratch
 
-from .common import as_bytes
+from .common import BROADCAST_KEYS, as_bytes, settled
 
 WIDTH = 200
 CONTEXT = 32
@@ -149,6 +151,44 @@ def third_digits(open_ones: DataFrame, width: int) -> DataFrame:
     return open_ones.select("t1", "t2", "text", "anchors").mapInArrow(run, schema)
 
 
+def open_spans(third: DataFrame, width: int) -> DataFrame:
+    """(t1, t2, start, end) of the repeated windows among those that the third digits stand for.
+
+    A row that stands for several anchors is only a partner to others: its windows are repeated.
+    """
+    alike = ["context", "block", "core", "low", "high", "around"]
+    keys = {f"k{j}": F.xxhash64(F.lit(j), *alike) for j in (1, 2)}
+    third = settled(third.withColumns(keys), "third_digits")
+    groups = third.groupBy("k1", "k2").agg(
+        F.count("*").alias("n"),
+        F.sum("weight").alias("weight"),
+        F.min(F.struct("t1", "t2", "anchor", *alike)).alias("p"),
+    )
+    groups = settled(groups, "fourth_digits")
+    again = groups.where("n > 1").select("k1", "k2")
+    begin = F.col("anchor") - BLOCK * F.col("block")
+    equal = third.where("weight = 1").join(again, ["k1", "k2"])
+    equal = equal.select(
+        "t1", "t2", (begin - F.col("high")).alias("start"), (begin - F.col("low") + width).alias("end")
+    )
+
+    digits = ["context", "block", "core"]
+    ones = groups.select("weight", "p.*")
+    shared = ones.groupBy(*digits).agg(F.count("*").alias("n")).where("n > 1").select(*digits)
+    still = settled(ones.join(materialize(shared, "shared_cores"), digits), "open_blocks")
+    windows = still.withColumn("i", F.explode(F.sequence("low", "high")))
+    window = F.substring("around", BLOCK - F.col("i").cast("int"), F.lit(BLOCK - 1))
+    windows = windows.select(
+        *(F.xxhash64(F.lit(j), *digits, "i", window).alias(f"q{j}") for j in (1, 2)),
+        "t1", "t2", (begin - F.col("i")).alias("start"), "weight",
+    )
+    twice = windows.groupBy("q1", "q2").agg(F.sum("weight").alias("n")).where("n > 1")
+    twice = settled(twice.select("q1", "q2"), "repeated_windows")
+    starts = windows.where("weight = 1").join(twice, ["q1", "q2"])
+    starts = starts.select("t1", "t2", "start", (F.col("start") + width).alias("end"))
+    return equal.union(starts)
+
+
 def removed_runs(spans: list[dict]) -> list[tuple[int, int]]:
     """Union of (start, end) spans, as maximal runs."""
     runs: list[list[int]] = []
@@ -200,13 +240,15 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     hashes = [F.xxhash64(F.lit(k), text).alias(f"t{k}") for k in (1, 2)]
     docs = docs.select(F.col("doc_id").cast("long"), *hashes, text.alias("text"))
-    found = materialize(first_digits(docs, width), "anchors")
-    contexts = found.groupBy("context").agg(
-        F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")
-    )
-    contexts = contexts.where("n > 1").select("context", (F.col("a") != F.col("b")).alias("open"))
-    contexts = materialize(contexts, "contexts")
-    found = materialize(found.join(contexts, "context"), "repeated_contexts")
+    spark = docs.sparkSession
+    with release_scratch(spark):
+        found = materialize(first_digits(docs, width), "anchors")
+        contexts = found.groupBy("context").agg(
+            F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")
+        )
+        contexts = contexts.where("n > 1").select("context", (F.col("a") != F.col("b")).alias("open"))
+        contexts = materialize(contexts, "contexts")
+        found = settled(found.join(contexts, "context"), "repeated_contexts", keep=True)
     groups = found.groupBy("context", "whole", "open").agg(
         F.count("*").alias("weight"), F.min(F.struct("t1", "t2", "anchor", "back", "ahead")).alias("p")
     )
@@ -217,45 +259,42 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         F.collect_list(F.struct("context", "weight", "anchor", "back", "ahead")).alias("anchors")
     )
     going = materialize(going, "open_anchors")
-    texts = docs.select("t1", "t2", "text")
-    copies = texts.groupBy("t1", "t2").agg(F.count("*").alias("n")).where("n > 1")
-    copies = materialize(copies.select("t1", "t2", F.lit(True).alias("copied")), "copies")
-    single = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    third = materialize(third_digits(single.join(going, ["t1", "t2"]), width), "third_digits")
-    digits = ["context", "block", "core"]
-    shared = third.groupBy(*digits).agg(F.count("*").alias("n")).where("n > 1").select(*digits)
-    still = third.join(materialize(shared, "shared_cores"), digits)
-    window = F.substring("around", BLOCK - F.col("i"), F.lit(BLOCK - 1))
-    windows = still.withColumn("i", F.explode(F.sequence("low", "high")))
-    windows = windows.withColumn("i", F.col("i").cast("int")).withColumn("window", window)
-    windows = materialize(windows.drop("around", "low", "high"), "windows")
-    last = [*digits, "i", "window"]
-    again = windows.groupBy(*last).agg(F.sum("weight").alias("n")).where("n > 1").select(*last)
-    again = materialize(again, "repeated_windows")
-    # A window whose anchor stands for several is among theirs; those of single ones are its own.
-    start = F.col("anchor") - BLOCK * F.col("block") - F.col("i")
-    starts = windows.where("weight = 1").join(again, last)
-    starts = starts.select("t1", "t2", start.alias("start"), (start + width).alias("end"))
+    copies = docs.groupBy("t1", "t2").agg(F.count("*").alias("n")).where("n > 1")
+    copies = materialize(copies.select("t1", "t2"), "copies")
+    opened = keys_of(going)
+    single = docs.join(opened, ["t1", "t2"], "left_semi")
+    single = single.groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    with release_scratch(spark):
+        third = third_digits(single.join(going, ["t1", "t2"]), width)
+        spans_of_open = settled(open_spans(third, width), "open_spans", keep=True)
     done = materialize(groups.where("weight > 1").select("context", "whole"), "repeated_digits")
     first = F.col("anchor") - F.col("back")
     runs = found.join(done, ["context", "whole"])
     runs = runs.select(
         "t1", "t2", first.alias("start"), (first + F.col("ahead") + width).alias("end")
     )
-    runs = runs.join(copies.drop("copied"), ["t1", "t2"], "left_anti")
-    starts = starts.join(copies.drop("copied"), ["t1", "t2"], "left_anti")
-    spans = runs.union(starts).groupBy("t1", "t2").agg(
+    runs = runs.join(copies, ["t1", "t2"], "left_anti")
+    opened = spans_of_open.join(copies, ["t1", "t2"], "left_anti")
+    spans = runs.union(opened).groupBy("t1", "t2").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
-    spans = materialize(spans, "spans")
-    small = docs.withColumn("n", F.octet_length("text").cast("long"))
-    # Copies need no spans: the few columns below tell what becomes of them.
-    with_copies = small.join(copies, ["t1", "t2"], "left")
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
-    joined = with_copies.join(spans, ["t1", "t2"], "left").withColumn(
-        "spans",
-        F.when(F.col("copied") & (F.col("n") >= width), whole).when(
-            F.col("copied").isNull(), F.col("spans")
-        ),
-    )
-    return cut_out(joined)
+    spans = settled(spans, "spans")
+    # Texts that are copies go whole, those without a span stay: neither needs a join by its text.
+    marks = keys_of(spans).select("t1", "t2", F.lit(False).alias("copied"))
+    marks = marks.union(copies.select("t1", "t2", F.lit(True).alias("copied")))
+    marks = materialize(marks, "marks")
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_KEYS else marks
+    marked = docs.join(marks, ["t1", "t2"], "left")
+    n = F.octet_length("text").cast("long")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), n.alias("end")))
+    rest = marked.where("copied is null or copied")
+    rest = rest.withColumn("spans", F.when(F.col("copied") & (n >= width), whole))
+    cut = marked.where("not copied").join(spans, ["t1", "t2"])
+    columns = ["doc_id", "text", "spans"]
+    return cut_out(rest.select(columns).union(cut.select(columns)))
+
+
+def keys_of(stored: DataFrame) -> DataFrame:
+    """The texts (t1, t2) of a stored table with a row for each; broadcast if they are not many."""
+    keys = stored.select("t1", "t2")
+    return F.broadcast(keys) if stored.count() <= BROADCAST_KEYS else keys
