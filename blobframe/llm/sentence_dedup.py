@@ -1,7 +1,7 @@
 """Remove sentences that lie in a run of consecutive sentences seen before, anywhere in the corpus.
 
-Every run of SPAN sentences is hashed; runs are counted globally with their first place, and every
-other place of a repeated run loses its sentences. First means least document id, then position.
+Every run of SPAN sentences, or of so many more that it has MIN_WORDS words, is hashed; runs are
+counted globally with their first place, and every other place of a repeated run loses its sentences. First means least document id, then position.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from blobframe.session import materialize
 from .common import BREAK, BREAK_CHARACTERS
 
 SPAN = 3
+#: Words that a run has at least: stock phrases and one-word sentences recur by themselves.
+MIN_WORDS = 15
 #: A sentence with what separates it from the next: all of a text's sentences are the text.
 SENTENCE = r"(?s).+?(?:[.!?]++(?=\s)\s*+|\n\s*+|$)"
 
@@ -27,12 +29,13 @@ def plain(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(sentence, BREAK, " "))
 
 
-def sentence_dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def sentence_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed (positions) and text (what is kept) of every row.
 
     Sentences without a word character are carried along and never start a comparison. NULL and
     empty texts keep nothing and lose nothing. A text with fewer than ``span`` sentences is one
-    run. Rows equal in id and text are one document. Rows without an id come after all others.
+    run. A run of fewer than ``min_words`` words goes on until it has them; where the
+    text ends before, it is not compared. Rows equal in id and text are one document. Rows without an id come after all others.
     Other columns are not looked at. An empty table gives an empty result.
 
     Runs travel as hashes; repeated runs alone come back to their places, and a frequent run is
@@ -46,15 +49,30 @@ def sentence_dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
         F.transform("s", lambda x, i: F.struct(plain(x).alias("x"), i.alias("i"))),
         lambda x: F.length(F.translate(x["x"], BREAK_CHARACTERS, "")) > 0,
     )
-    parts = parts.select("doc_id", "t1", "t2", numbered.alias("p"))
+    counted = F.transform(
+        numbered,
+        lambda x: F.struct(x["x"].alias("x"), x["i"].alias("i"), F.size(F.split(x["x"], " ")).alias("n")),
+    )
+    parts = parts.select("doc_id", "t1", "t2", counted.alias("p"))
     size = F.size("p")
     starts = F.slice("p", 1, F.when(size == 0, 0).otherwise(F.greatest(size - (span - 1), F.lit(1))))
+
+    def words(j: Column, m: Column) -> Column:
+        return F.aggregate(F.slice("p", j + 1, m), F.lit(0), lambda n, x: n + x["n"])
+
+    def length(j: Column) -> Column:
+        """Sentences of the run that begins at ``j``; NULL if the text has too few words left."""
+        longer = F.sequence(F.lit(span + 1), F.lit(max(span, min_words) + 1))
+        first = F.get(F.filter(longer, lambda m: words(j, m) >= min_words), F.lit(0))
+        return F.when(words(j, F.lit(span)) >= min_words, span).otherwise(first)
+
+    lengths = F.transform(starts, lambda x, j: F.struct(j.alias("j"), length(j).alias("m")))
     runs = F.transform(
-        starts,
-        lambda x, j: F.struct(
-            F.xxhash64(x["x"], *[F.get("p", j + k)["x"] for k in range(1, span)]).alias("run"),
-            x["i"].alias("first"),
-            F.coalesce(F.get("p", j + (span - 1))["i"], F.element_at("p", -1)["i"]).alias("last"),
+        F.filter(lengths, lambda r: r["m"].isNotNull()),
+        lambda r: F.struct(
+            F.xxhash64(F.transform(F.slice("p", r["j"] + 1, r["m"]), lambda x: x["x"])).alias("run"),
+            F.get("p", r["j"])["i"].alias("first"),
+            F.get("p", F.least(r["j"] + r["m"], size) - 1)["i"].alias("last"),
         ),
     )
     order = [F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), "t1"]

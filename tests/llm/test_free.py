@@ -153,6 +153,8 @@ def test_sentence_dedup(spark):
     shared = "".join(line() for _ in range(6))
     texts = [None, "", "...", "No end", shared, line() + shared + line(), shared.replace(" ", "  ")]
     texts += ["".join(line() for _ in range(8)) for _ in range(10)] + ["No end"]
+    short = "".join(f"{w}! " for w in rng.choices("abcdefghij", k=30))
+    texts += [line() + short, short + line(), "a! b! c! " * 4, "a! b! c! " * 4]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
     got = {r.doc_id: r for r in sentence_dedup(df).collect()}
     pieces = [[m[0] for m in re.finditer(SENTENCE.replace("*+", "*").replace("++", "+"), t or "")] for t in texts]
@@ -162,6 +164,8 @@ def test_sentence_dedup(spark):
     for d, p in enumerate(plain):
         for j in range(max(1, len(p) - 2) if p else 0):
             run = p[j : j + 3]
+            while sum(len(s.split()) for s, _ in run) < 15 and j + len(run) < len(p):
+                run = p[j : j + len(run) + 1]
             key = tuple(s for s, _ in run)
             if sum(len(s.split()) for s in key) < 15:
                 continue  # "No end" is there twice, and stays
