@@ -8,6 +8,7 @@ to three bits; each choice of three is a table. Native columns only.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,8 +23,9 @@ BITS = 64
 RADIUS = 3
 SPARE_BLOCKS = 3
 #: Documents in a range of ids within which the next document is looked up, and most such ranges.
+#: Beyond 200 million documents ranges grow; at 10 billion one has 100,000, which a task sorts.
 RANGE_ROWS = 2000
-MOST_RANGES = 10_000
+MOST_RANGES = 100_000
 _PAIR = 0x0000000100000001
 
 
@@ -97,10 +99,10 @@ def within_radius(
     )
 
 
-def id_ranges(docs: DataFrame) -> tuple[list[int], dict[int, int]]:
+def id_ranges(docs: DataFrame) -> tuple[list[int], list[int]]:
     """Upper bounds of ranges of ids with about RANGE_ROWS rows, and the first id of each range.
 
-    Both have at most MOST_RANGES entries, whatever the size of the table.
+    Both have at most MOST_RANGES entries. A bound is an id, so no range but the last can be empty.
     """
     ids = docs.where(F.col("doc_id").isNotNull())
     rows = ids.count()
@@ -110,15 +112,24 @@ def id_ranges(docs: DataFrame) -> tuple[list[int], dict[int, int]]:
         shares = [k / n for k in range(1, n)]
         bounds = sorted(set(ids.agg(F.percentile_approx("doc_id", shares, 10 * n)).first()[0]))
     placed = ids.select("doc_id", range_of(bounds).alias("r"))
-    firsts = {r["r"]: r["f"] for r in placed.groupBy("r").agg(F.min("doc_id").alias("f")).collect()}
-    return bounds, firsts
+    firsts = placed.groupBy("r").agg(F.min("doc_id").alias("f")).orderBy("r").collect()
+    return bounds, [r["f"] for r in firsts]
+
+
+def numbers(values: list[int]) -> Column:
+    """An array literal, however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def range_of(bounds: list[int]) -> Column:
+    """How many bounds are below the id: whole blocks of them first, then those of the next block."""
     if not bounds:
         return F.lit(0)
-    found = F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("doc_id"))
-    return F.size(found)
+    step = math.isqrt(len(bounds)) + 1
+    below = lambda these: F.size(F.filter(these, lambda b: b < F.col("doc_id")))
+    last_ones = bounds[step - 1 :: step]
+    skipped = below(numbers(last_ones)) * step if last_ones else F.lit(0)
+    return skipped + below(F.slice(numbers(bounds), skipped + 1, F.lit(step)))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -137,15 +148,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     bounds, firsts = id_ranges(docs)
-    ranges = sorted(firsts)
-    before = {firsts[r]: ranges[k - 1] for k, r in enumerate(ranges)}  # the first wraps to the last
-    none = F.lit(None).cast("int")
-    guest_of = none
-    if before:
-        pairs = [x for first, r in before.items() for x in (F.lit(first), F.lit(r))]
-        guest_of = F.try_element_at(F.create_map(*pairs), F.col("doc_id"))
-    lost = -1 - F.pmod(F.xxhash64("text"), F.lit(max(1, len(ranges)))).cast("int")
-    home = F.when(F.col("doc_id").isNull(), lost).otherwise(range_of(bounds))
+    n_ranges = max(1, len(firsts))
+    docs = docs.withColumn("_home", range_of(bounds))
+    guest_of = F.lit(None).cast("int")
+    if firsts:  # the first document of the first range is also dealt to the last one
+        leads = F.get(numbers(firsts), F.col("_home")) == F.col("doc_id")
+        guest_of = F.when(leads, F.pmod(F.col("_home") - 1, F.lit(n_ranges)).cast("int"))
+    lost = -1 - F.pmod(F.xxhash64("text"), F.lit(n_ranges)).cast("int")
+    home = F.when(F.col("doc_id").isNull(), lost).otherwise(F.col("_home"))
     places = F.array_compact(
         F.array(
             F.struct(home.alias("r"), F.lit(False).alias("guest")),

@@ -341,3 +341,72 @@ def test_disclosure_shares_are_those_of_a_plain_model(spark):
             )
     got = {r.doc_id: r.n_terms for r in find_private(docs).collect()}
     assert got == {i: shown.get(t, 0) for i, t in enumerate(texts)}
+
+
+def test_many_ranges_cost_little_more_than_few(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from blobframe.llm.fingerprints import range_of
+
+    ids = spark.range(0, 200_000, 1, 4).withColumnRenamed("id", "doc_id")
+    seconds = {}
+    for n in (10, 10_000):
+        bounds = [k * 200_000 // n for k in range(1, n)]
+        placed = ids.select("doc_id", range_of(bounds).alias("r"))
+        want = F.ceil(F.col("doc_id") * n / F.lit(200_000)) - 1
+        assert placed.where(F.col("r") != F.greatest(want, F.lit(0))).isEmpty()
+        begin = time.perf_counter()
+        placed.agg(F.sum("r")).collect()
+        seconds[n] = time.perf_counter() - begin
+    assert seconds[10_000] < 6 + 5 * seconds[10]
+
+
+def test_fingerprints_are_signed_votes(spark):
+    """Every vote recounted: bits of the hashes of all runs of five words, as often as they occur."""
+    from pyspark.sql import functions as F
+
+    words = "a b c d e f g a b c d e f g x y a b c d e".split()
+    texts = [" ".join(words), "one two", "", "lone"]
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: int(r.fingerprint, 16) for r in document_fingerprints(rows).collect()}
+    for i, text in enumerate(texts):
+        split = text.split()
+        runs = [split[j : j + 5] for j in range(max(1, len(split) - 4))] if split else []
+        want = 0
+        if runs:
+            columns = [F.xxhash64(*[F.lit(w) for w in run], *[F.lit(None).cast("string")] * (5 - len(run))) for run in runs]
+            hashes = [h % (1 << 64) for h in spark.range(1).select(*columns).first()]
+            for bit in range(64):
+                ones = sum(h >> bit & 1 for h in hashes)
+                want |= (2 * ones > len(hashes)) << bit
+        assert got[i] == want, i
+
+
+def test_a_million_shards_do_not_ride_on_documents(spark):
+    from blobframe.llm.mixing import choose_copies
+
+    rows = [(i, f"s{i % 3}", 10 + i % 7) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    mixed = choose_copies(docs, shards=1 << 20)
+    got = mixed.collect()
+    assert set(mixed.columns) == {"doc_id", "source", "size", "source_size", "target", "copies"}
+    taken = sum(r["size"] * len(r.copies) for r in got)
+    assert abs(taken - 1.5 * sum(s for *_, s in rows)) < 0.2 * taken
+    assert all(0 <= c.shard < 1 << 20 for r in got for c in r.copies)
+
+
+def test_clashing_columns_of_the_mix(spark):
+    from blobframe.llm.mixing import choose_copies, mix_sources
+
+    odd = ", _h int, _none int, blocks int, quota int, cuts int, _row int, rank int, `a.b` int, slice int"
+    docs = spark.createDataFrame(
+        [(i, "s", 5, 1, 2, 3, 4, 5, 6, 7, 8, 9) for i in range(20)],
+        "doc_id long, source string, size long" + odd,
+    )
+    for r in choose_copies(docs).collect():
+        assert tuple(r)[3:12] == (1, 2, 3, 4, 5, 6, 7, 8, 9)
+    mixed = mix_sources(docs)
+    assert mixed.columns == [*docs.columns, "shard"]
+    assert all(tuple(r)[3:12] == (1, 2, 3, 4, 5, 6, 7, 8, 9) for r in mixed.collect())
