@@ -222,13 +222,13 @@ def resolve_odd_shards(spark, sf_dir):
 
 
 def resolve_large_default(spark, sf_dir):
-    """Every document is asked for twice, once in vain; a missing one gets 20,000 bytes."""
+    """Every document is asked for twice, once in vain; a missing one gets 60,000 bytes."""
     docs = documents(spark, sf_dir)
     wanted = F.explode(F.array("name", F.concat("name", F.lit(".lost"))))
     manifest = docs.select("doc_id", wanted.alias("filePath"))
     resolved = bf.resolve_blobs(
         manifest.withColumn("asked", F.col("filePath")),
-        packed(docs), ["filePath"], match="exact", default=b"x" * 20_000,
+        packed(docs), ["filePath"], match="exact", default=b"x" * 60_000,
     )
     return resolved.select("doc_id", "asked", sha("filePath").alias("sha"))
 
@@ -665,7 +665,7 @@ def plain_sql() -> dict[str, str]:
         "resolve_large_default": f"""
             SELECT doc_id, {doc_name} AS asked, sha256(text) AS sha FROM documents
             UNION ALL
-            SELECT doc_id, {doc_name} || '.lost', sha256(repeat('x', 20000)) FROM documents""",
+            SELECT doc_id, {doc_name} || '.lost', sha256(repeat('x', 60000)) FROM documents""",
         "listed_tree": """
             SELECT 'd' || CAST(floor(page_id / 50) AS BIGINT)
                    || CASE WHEN page_id % 2 = 0 THEN '/_even/' ELSE '/.odd/' END || page_id AS name,
