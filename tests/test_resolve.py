@@ -1,6 +1,7 @@
 import os
 import sys
 import uuid
+from contextlib import contextmanager
 
 import pytest
 from pyspark import cloudpickle
@@ -12,6 +13,7 @@ from blobframe.operators import fetch
 from blobframe.operators.fetch import attach_content, spread_rows
 from blobframe.plans.resolve import with_places
 from blobframe.sources import store
+from blobframe.sources.archive import INDEX_SCHEMA
 
 MANIFEST = "name string, number string, filePath string"
 
@@ -171,10 +173,47 @@ def test_hot_names_are_split_when_rows_meet_places(spark):
     )
     names = rows.select(F.col("filePath").alias("fn")).where("fn is not null").distinct()
     places = bf.materialize(names.select("fn", F.struct(F.lit("z").alias("archive")).alias("place")), "p")
+    with skewed_joins(spark):
+        joined = with_places(rows, places, ["filePath"])
+        assert joined.where("filePath__at is not null").count() == 40_000
+        joined = joined.select("other", "filePath__at")
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+
+
+def test_hot_pieces_are_split_when_they_meet_members(spark):
+    """Every name holds the member ``hot``; neither side is broadcast."""
+    names = spark.range(0, 60_000, 1, 8).select(F.format_string("hot%05d", "id").alias("fn"))
+    members = ["hot", *(f"{k:03d}" for k in range(0, 1000, 7))]
+    index = [("a.zip", k, m, 1, 1, 1, 0, 0, 0) for k, m in enumerate(members)]
+    index = bf.materialize(spark.createDataFrame(index, INDEX_SCHEMA), "index")
+    with skewed_joins(spark):
+        found = bf.first_match(names, index, broadcast_bytes=0)
+        assert {r.place.offset for r in found.collect()} == {0}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+
+
+def test_rows_of_hot_stretches_are_split_when_they_meet_their_parts(spark, make_zip):
+    """A third of the rows want one stretch; the list of hot stretches is not broadcast."""
+    asked, located = skewed(spark, make_zip, 60_000)
+    placed = bf.materialize(
+        located.select(F.uuid().alias("name"), F.col("filePath__at").alias("blob")).repartition(8), "placed"
+    )
+    with skewed_joins(spark):
+        spread = spread_rows(placed, ["blob"], 14, 200 * (fetch.ROW_BYTES + 50), 1 << 20, 0)
+        assert len(spread.collect()) == 60_000
+        plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+
+
+@contextmanager
+def skewed_joins(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
@@ -182,15 +221,10 @@ def test_hot_names_are_split_when_rows_meet_places(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = with_places(rows, places, ["filePath"])
-        assert joined.where("filePath__at is not null").count() == 40_000
-        joined = joined.select("other", "filePath__at")
-        assert len(joined.collect()) == 60_000
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert "skew=true" in plan
 
 
 def test_a_large_archive_is_read_by_many_tasks(spark, make_zip):
