@@ -304,3 +304,11 @@ def test_long_texts_are_convolved_in_pieces(monkeypatch):
     whole = net.pooled(text)
     monkeypatch.setattr("blobframe.llm.quality_cnn.PIECE", 64 * 4 * 8)
     assert np.allclose(net.pooled(text), whole, atol=1e-5)
+
+
+def test_ids_are_those_of_the_tokenizer_on_every_document(spark):
+    """The quick way of the encoder against the tokenizer itself, over a whole table."""
+    made = encoder()
+    for (text,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        ids = made.whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(made.encode(text), "<u4").tolist() == [*ids, 0]
