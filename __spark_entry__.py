@@ -385,6 +385,24 @@ def single_partition(spark, sf_dir):
     return event_rows(spark.table(name))
 
 
+def described_table(spark, sf_dir):
+    """What the catalog says about a table, each column with the number of its values."""
+    name = events_table(spark, sf_dir)
+    said = bf.describe_table(spark, name)
+    values = spark.table(name).agg(*(F.count(column).alias(column) for column, _ in said["data"] + said["keys"]))
+    rows = [
+        F.struct(
+            F.lit(column).alias("name"),
+            F.lit(kind).alias("type"),
+            F.lit(number >= len(said["data"])).alias("is_partition"),
+            F.lit(bf.table_exists(spark, name) and said["external"]).alias("is_external"),
+            F.col(column).alias("n_values"),
+        )
+        for number, (column, kind) in enumerate(said["data"] + said["keys"])
+    ]
+    return values.select(F.inline(F.array(*rows)))
+
+
 def show_partitions(spark, sf_dir):
     return bf.show_partitions(spark, events_table(spark, sf_dir))
 
@@ -576,6 +594,7 @@ QUERIES = [
     partitioned_append,
     append_twice,
     single_partition,
+    described_table,
     show_partitions,
     distinct_keys,
     pruned_read,
@@ -604,6 +623,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 EVENT_ROWS = "event_id, user_id, event_type, value, props, epoch_us(ts) AS ts_us"
 LABELLED = "(SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))"
+EVENT_TYPES = {
+    "event_id": "bigint",
+    "ts": "timestamp_ntz",
+    "user_id": "bigint",
+    "event_type": "string",
+    "value": "double",
+    "props": "string",
+}
 GONE = "sha256('File Not Found')"
 ODD = "struct<`a b`: int, `c``d`: double>"
 LINEITEM_TYPES = {
@@ -742,6 +769,13 @@ def plain_sql() -> dict[str, str]:
         "append_twice": f"""
             SELECT {EVENT_ROWS} FROM events UNION ALL SELECT {EVENT_ROWS} FROM events""",
         "single_partition": f"SELECT {EVENT_ROWS} FROM events WHERE event_type = 'click'",
+        "described_table": " UNION ALL ".join(
+            f"""
+            SELECT '{name}' AS name, '{kind}' AS type, {name == "event_type"} AS is_partition,
+                   true AS is_external, count({name}) AS n_values
+            FROM events"""
+            for name, kind in EVENT_TYPES.items()
+        ),
         "show_partitions": """
             SELECT DISTINCT 'event_type=' || event_type AS partition FROM events""",
         "distinct_keys": "SELECT DISTINCT event_type FROM events",

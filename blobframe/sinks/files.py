@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blobframe.session import materialize, store_options
+from blobframe.session import materialize, measured, store_options
 from blobframe.sources.packings import ARCHIVES, new_packing, publish
 from blobframe.sources.store import Store, inner_path, qualify
 
@@ -33,6 +33,7 @@ PACK_ARROW = pa.schema(
 PACKED = "archive string, n_members long, n_bytes long, length long, modificationTime timestamp"
 #: Content that one task packs, and rows of the table of sizes that one task sorts.
 PACK_BYTES = 256 << 20
+LANE_BYTES = 1 << 20
 RANGE_ROWS = 1 << 20
 
 
@@ -183,13 +184,19 @@ def pack_blobs(
 def in_lanes(rows: DataFrame, task_bytes: int, lanes: int | None = None) -> DataFrame:
     """``rows`` in partitions that hold successive ranges of (shard, name) of about equal bytes.
 
+    A lane has ``task_bytes``, or less where that keeps all cores busy with LANE_BYTES each at least.
     The ranges come from the table of shards, names and sizes; of it, the first name of every lane
     reaches the driver, one for ``task_bytes`` of content. Content is moved once.
     """
-    narrow = materialize(rows.select("shard", "name", "size"), "sizes")
-    count, total = narrow.agg(F.count("*"), F.sum("size")).first()
-    target = max(1, task_bytes if lanes is None else -(-(total or 0) // lanes))
-    ranges = max(1, -(-count // RANGE_ROWS))
+    narrow, seen = measured(
+        rows.select("shard", "name", "size"), "sizes", rows=F.count("*"), bytes=F.sum("size")
+    )
+    total, ranges = seen["bytes"] or 0, max(1, -(-(seen["rows"] or 0) // RANGE_ROWS))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    target = min(task_bytes, max(LANE_BYTES, -(-total // cores)))
+    if lanes is not None:
+        target = -(-total // lanes)
+    target = max(1, target)
     block = F.spark_partition_id().alias("block")
     cut = materialize(narrow.repartitionByRange(ranges, "shard", "name").select("*", block), "cut")
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
