@@ -122,7 +122,9 @@ def calibrated(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     """Fit to all rows, then scale and shift the margin.
 
     Scale and shift are those of a logistic curve through the margins that rows get from models
-    fitted without them (FOLDS parts).
+    fitted without them (FOLDS parts), by the prior-corrected risk: every row counts as unlabelled
+    text called clean, and a toxic one, by the prior's share, takes that back and counts as toxic.
+    With the prior of the sample itself that sums up to the slope ``p - toxic`` of each row.
     """
     model = fit(rows, toxic)
     if not len(model.features):
