@@ -197,14 +197,18 @@ def in_lanes(rows: DataFrame, task_bytes: int, lanes: int | None = None) -> Data
     if lanes is not None:
         target = -(-total // lanes)
     target = max(1, target)
-    block = F.spark_partition_id().alias("block")
-    cut = materialize(narrow.repartitionByRange(ranges, "shard", "name").select("*", block), "cut")
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = cut.groupBy("block").agg(F.sum("size").alias("bytes"))  # a row per RANGE_ROWS rows
-    bases = bases.select("block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
+    cut = narrow.select("*", F.lit(0).alias("block"))
+    if ranges > 1:
+        cut = narrow.repartitionByRange(ranges, "shard", "name")
+        cut = materialize(cut.select("*", F.spark_partition_id().alias("block")), "cut")
     order = Window.partitionBy("block").orderBy("shard", "name")
     start = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = cut.select("*", start.alias("start")).join(F.broadcast(bases), "block")
+    placed = cut.select("*", start.alias("start"), F.lit(0).cast("long").alias("base"))
+    if ranges > 1:
+        before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        bases = cut.groupBy("block").agg(F.sum("size").alias("bytes"))  # a row per RANGE_ROWS rows
+        base = F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")
+        placed = placed.drop("base").join(F.broadcast(bases.select("block", base)), "block")
     lane = F.floor((F.col("base") + F.col("start")) / target)
     firsts = placed.groupBy(lane.alias("lane")).agg(F.min(F.struct("shard", "name")).alias("first"))
     bounds = sorted(tuple(row.first) for row in firsts.select("first").collect())

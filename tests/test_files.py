@@ -234,7 +234,9 @@ def test_the_last_packing_of_a_folder_counts(spark, tmp_path):
     assert packed_members(spark, tmp_path) == sorted(second)
 
 
-def test_lanes_are_ranges_of_about_equal_bytes(spark):
+@pytest.mark.parametrize("range_rows", [1 << 20, 700])
+def test_lanes_are_ranges_of_about_equal_bytes(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(files, "RANGE_ROWS", range_rows)
     rows = spark.range(0, 5000, 1, 7).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("shard"),
         F.format_string("n%05d", F.pmod(F.col("id") * 7919, F.lit(5000))).alias("name"),
