@@ -61,7 +61,8 @@ def op6_quality_cnn(spark, sf_dir):
 
 
 def op7_sentence_dedup(spark, sf_dir):
-    return sentence_dedup(table(spark, sf_dir, "documents"))
+    found = sentence_dedup(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 def op8_packing(spark, sf_dir):
@@ -156,8 +157,8 @@ WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
 split AS (
   SELECT r, doc_id, source, t,
-    list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda x: x <> '') AS words,
-    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+    list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM texts),
 windows AS (
   SELECT r, i, words[i:i + 4] AS five
@@ -169,7 +170,7 @@ covered AS (
   FROM (SELECT r, unnest(range(i, i + 5)) AS place FROM repeated) GROUP BY r),
 counted AS (
   SELECT s.r, doc_id, source, len(words)::BIGINT AS n_words,
-    length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     len(lines)::BIGINT AS n_lines,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
@@ -197,7 +198,7 @@ JACCARD_JOIN_SQL = r"""
 WITH RECURSIVE texts AS (
   SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[ 	-]+'), lambda x: x <> '') AS words
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 shingles AS (
   SELECT DISTINCT r, words[i:i + 2] AS shingle
@@ -241,8 +242,50 @@ LEFT JOIN counts ON counts.u = t.r
 GROUP BY t.r, t.vec_id
 """
 
+SENTENCE_DEDUP_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+    '(?s).+?(?:[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|$)') AS s
+  FROM documents),
+sentences AS (
+  SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS sentence FROM cut),
+worded AS (
+  SELECT doc_id, i, trim(regexp_replace(sentence, '[\x20\x09-\x0D]+', ' ', 'g')) AS x
+  FROM sentences),
+counted AS (
+  SELECT doc_id, i, x, len(string_split(x, ' ')) AS n,
+    row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j,
+    count(*) OVER (PARTITION BY doc_id) AS size
+  FROM worded WHERE x <> ''),
+steps AS (
+  SELECT a.doc_id, a.i AS first_i, b.i AS last_i, b.x, b.j - a.j + 1 AS k, b.j = b.size AS at_end,
+    sum(b.n) OVER (PARTITION BY a.doc_id, a.j ORDER BY b.j) AS words
+  FROM counted a JOIN counted b
+    ON a.doc_id = b.doc_id AND b.j BETWEEN a.j AND a.j + 15 AND a.j <= greatest(a.size - 2, 1)),
+lengths AS (
+  SELECT doc_id, first_i, min(k) AS m FROM steps
+  WHERE words >= 15 AND (k >= 3 OR at_end) GROUP BY ALL),
+runs AS (
+  SELECT doc_id, first_i, max(last_i) AS last_i, list(x ORDER BY k) AS run
+  FROM steps JOIN lengths USING (doc_id, first_i) WHERE k <= m GROUP BY ALL),
+later AS (
+  SELECT doc_id, first_i, last_i FROM runs
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, first_i) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first_i, last_i + 1)) AS i FROM later),
+marked AS (
+  SELECT s.doc_id, s.i, s.sentence, g.i IS NOT NULL AS lost
+  FROM sentences s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i)
+SELECT c.doc_id, len(c.s)::BIGINT AS n_sentences, count(*) FILTER (lost)::BIGINT AS n_removed,
+  coalesce(string_agg(m.i::VARCHAR, ',' ORDER BY m.i) FILTER (lost), '') AS removed,
+  coalesce(string_agg(sentence, '' ORDER BY m.i) FILTER (NOT lost), '') AS text
+FROM cut c LEFT JOIN marked m ON c.doc_id = m.doc_id
+GROUP BY c.doc_id, c.s
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY_RULES_SQL,
+    "op7_sentence_dedup": SENTENCE_DEDUP_SQL,
     "op9_jaccard_join": JACCARD_JOIN_SQL,
     "op12_embedding_dedup": EMBEDDING_DEDUP_SQL,
     "op13_ranked_search": RANKED_SEARCH_SQL,
