@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ BREAK_CHARACTERS = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 200_000
 #: The same for rows that are two numbers alone, which take some 50 bytes in memory.
 BROADCAST_KEYS = 1_000_000
+#: Seconds in which the listeners of the session hear of a query's end.
+LISTENERS_S = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +48,13 @@ def join_measured(
 def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """:func:`materialize`, and let Spark delete the shuffle files that made the table.
 
-    Spark does so once the driver's JVM has noticed that no plan needs them any more.
+    Spark does so once the driver's JVM has noticed that no plan needs them any more, which it can
+    only after its listeners have heard of the end of the query.
     """
     stored = materialize(df, label, keep)
-    df.sparkSession._jvm.System.gc()
+    for _ in range(2):
+        df.sparkSession._jvm.System.gc()
+        time.sleep(LISTENERS_S)
     return stored
 
 

@@ -343,13 +343,16 @@ def tied_places(sets: DataFrame) -> DataFrame:
     entries = entries[0].union(entries[1])
     shared = settled(
         entries.groupBy("block")
-        .agg(F.min("place").alias("least"), F.max("place").alias("most"))
-        .where(F.col("least") != F.col("most"))
-        .select("block", "least"),
+        .agg(F.min("place").alias("least"), F.max("place").alias("most"), F.count("*").alias("n"))
+        .where(F.col("least") != F.col("most")),
         "shared_blocks",
     )
-    near = entries.join(shared, "block").where(F.col("place") != F.col("least"))
-    edges = near.select(F.col("place").alias("u"), F.col("least").alias("v"))
+    # Two entries are known already; the places of longer lists are looked up.
+    pairs = shared.where("n = 2").select(F.col("most").alias("u"), F.col("least").alias("v"))
+    longer = materialize(shared.where("n > 2").select("block", "least"), "longer_lists")
+    longer = F.broadcast(longer) if longer.count() <= BROADCAST_KEYS else longer
+    near = entries.join(longer, "block").where(F.col("place") != F.col("least"))
+    edges = pairs.union(near.select(F.col("place").alias("u"), F.col("least").alias("v")))
     return components(edges, "clusters").withColumnRenamed("node", "place")
 
 
