@@ -350,7 +350,7 @@ def tied_places(sets: DataFrame) -> DataFrame:
     # Two entries are known already; the places of longer lists are looked up.
     pairs = shared.where("n = 2").select(F.col("most").alias("u"), F.col("least").alias("v"))
     longer = materialize(shared.where("n > 2").select("block", "least"), "longer_lists")
-    longer = F.broadcast(longer) if longer.count() <= BROADCAST_KEYS else longer
+    longer = _measured(longer)
     near = entries.join(longer, "block").where(F.col("place") != F.col("least"))
     edges = pairs.union(near.select(F.col("place").alias("u"), F.col("least").alias("v")))
     return components(edges, "clusters").withColumnRenamed("node", "place")
