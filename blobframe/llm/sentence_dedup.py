@@ -57,35 +57,42 @@ def sentence_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS
     size = F.size("p")
     starts = F.slice("p", 1, F.when(size == 0, 0).otherwise(F.greatest(size - (span - 1), F.lit(1))))
 
-    def words(j: Column, m: Column) -> Column:
-        return F.aggregate(F.slice("p", j + 1, m), F.lit(0), lambda n, x: n + x["n"])
-
-    def length(j: Column) -> Column:
-        """Sentences of the run that begins at ``j``; NULL if the text has too few words left."""
-        longer = F.sequence(F.lit(span + 1), F.lit(max(span, min_words) + 1))
-        first = F.get(F.filter(longer, lambda m: words(j, m) >= min_words), F.lit(0))
-        return F.when(words(j, F.lit(span)) >= min_words, span).otherwise(first)
-
-    lengths = F.transform(starts, lambda x, j: F.struct(j.alias("j"), length(j).alias("m")))
-    runs = F.transform(
-        F.filter(lengths, lambda r: r["m"].isNotNull()),
-        lambda r: F.struct(
-            F.xxhash64(F.transform(F.slice("p", r["j"] + 1, r["m"]), lambda x: x["x"])).alias("run"),
-            F.get("p", r["j"])["i"].alias("first"),
-            F.get("p", F.least(r["j"] + r["m"], size) - 1)["i"].alias("last"),
-        ),
-    )
+    at = lambda j, k: F.get("p", j + k)
+
+    def longer(j: Column) -> Column:
+        """Sentences of a run that needs more than ``span``; NULL if the text has too few words."""
+        wide = F.sequence(F.lit(span + 1), F.lit(max(span, min_words) + 1))
+        words = lambda m: F.aggregate(
+            F.slice("p", j + 1, m), F.lit(0), lambda n, x: n + x["n"]
+        )
+        return F.get(F.filter(wide, lambda m: words(m) >= min_words), F.lit(0))
+
+    def run_at(x: Column, j: Column) -> Column:
+        words = sum((F.coalesce(at(j, k)["n"], F.lit(0)) for k in range(1, span)), x["n"])
+        m = F.when(words >= min_words, span).otherwise(longer(j))
+        return F.struct(x["x"].alias("x"), x["i"].alias("first"), j.alias("j"), m.alias("m"))
+
+    def hashed(r: Column) -> Column:
+        j, m = r["j"], r["m"]
+        more = F.xxhash64(F.transform(F.slice("p", j + 1, m), lambda x: x["x"]))
+        plain_run = F.xxhash64(r["x"], *[at(j, k)["x"] for k in range(1, span)])
+        return F.struct(
+            F.when(m == span, plain_run).otherwise(more).alias("run"),
+            r["first"].alias("first"),
+            F.get("p", F.least(j + m, size) - 1)["i"].alias("last"),
+        )
+
+    runs = F.filter(F.transform(starts, run_at), lambda r: r["m"].isNotNull())
+    runs = F.transform(runs, hashed)
     order = [F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), "t1"]
     rows = parts.select("doc_id", "t1", "t2", F.explode(runs).alias("r")).select(
         "doc_id", "t1", "t2", "r.run", "r.first", "r.last"
     )
     rows = materialize(rows, "runs")
     place = F.struct(*order, "first")
-    repeated = rows.groupBy("run").agg(F.min(place).alias("p"), F.max(place).alias("q"))
-    repeated = materialize(
-        repeated.where(F.col("p") != F.col("q")).select("run", F.col("p").alias("_place")),
-        "repeated_runs",
-    )
+    # Rows that are one document are counted twice here, and drop out where places are compared.
+    repeated = rows.groupBy("run").agg(F.min(place).alias("_place"), F.count("*").alias("n"))
+    repeated = materialize(repeated.where("n > 1").drop("n"), "repeated_runs")
     met = rows.join(repeated, "run").where(place != F.col("_place"))
     gone = met.select(
         F.col("doc_id"), "t1", "t2", F.explode(F.sequence("first", "last")).alias("i")
