@@ -23,7 +23,10 @@ from blobframe.sources.store import Store, inner_path, qualify
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 ARCHIVE_BYTES = 1 << 30
 WRITE_BUFFER = 1 << 20
-ARCHIVE_MEMBERS = 1_000_000
+# Until an archive is closed its task keeps some 400 bytes for each member.
+ARCHIVE_MEMBERS = 100_000
+# Of a batch, rows of about so many bytes at a time become Python objects.
+ROWS_BYTES = 1 << 20
 
 EXPORT_ARROW = pa.schema([("name", pa.string()), ("path", pa.string()), ("n_bytes", pa.int64())])
 PACK_ARROW = pa.schema(
@@ -234,12 +237,13 @@ def write_archives(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Store(options) as store, ArchiveWriter(store, target) as archives:
             for batch in batches if read is None else read(batches):
-                for row in batch.to_pylist():
+                for row in rows_of(batch):
                     full = archives.size >= max_archive_bytes or archives.members >= max_members
                     if archives.shard != row["shard"] or full:
                         yield from archives.close()
                         archives.begin(row["shard"], row["task"])
                     archives.add(row["name"], checked_content(row["name"], row["content"]))
+                batch = row = None  # free before the next one is read
             yield from archives.close()
 
     written = materialize(rows.mapInArrow(write, PACKED), "packed")
@@ -247,6 +251,13 @@ def write_archives(
     return written.select("archive", "n_members", "n_bytes")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch as dicts, a few at a time."""
+    step = max(1, ROWS_BYTES * batch.num_rows // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        yield from batch.slice(at, step).to_pylist()
+
+
 class ArchiveWriter:
     """Writes the archives of one task, one at a time and member by member."""
 

@@ -1,6 +1,8 @@
 import os
+import tracemalloc
 import zipfile
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -303,3 +305,24 @@ def test_the_last_row_of_a_name_needs_an_order(spark):
     rows = spark.sql("select 'a' as name, cast(null as int) as at, 'x' as content from range(2)")
     with pytest.raises(ValueError, match="no row named 'a'"):
         files.last_of_each(rows, "name", "at")
+
+
+def test_a_packing_task_holds_few_members(spark, tmp_path):
+    """By default an archive ends before the list of its members gets long; no member is lost."""
+    rows = spark.range(0, 100_001, 1, 1).selectExpr("cast(id as string) as name", "'x' as content")
+    packed = bf.pack_blobs(rows, "name", "content", str(tmp_path)).collect()
+    assert sorted(r.n_members for r in packed) == [1, 100_000]
+    index = bf.archive_index(bf.list_archives(spark, str(tmp_path)))
+    assert index.select("member").distinct().count() == 100_001
+
+
+def test_rows_of_a_batch_become_objects_a_few_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"name": [str(k) for k in range(4000)], "content": ["x" * 10_000] * 4000})
+    tracemalloc.start()
+    try:
+        names = [row["name"] for row in files.rows_of(batch)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert names == batch.column("name").to_pylist() and peak < 8 << 20
+    assert list(files.rows_of(batch.slice(0, 0))) == []

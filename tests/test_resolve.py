@@ -1,5 +1,6 @@
 import os
 import sys
+import tracemalloc
 import uuid
 from contextlib import contextmanager
 
@@ -410,3 +411,17 @@ def test_tasks_are_not_made_smaller_than_is_worth_their_start(spark, make_zip):
     assert sorted(map(tuple, have.groupBy("n").count().collect())) == sorted(
         map(tuple, want.groupBy("n").count().collect())
     )
+
+
+def test_a_reading_task_holds_a_few_megabytes(spark, make_zip):
+    """Members of 96 MB in all, in one batch."""
+    path = make_zip([(f"m{i:02d}", bytes([i]) * (1 << 20)) for i in range(96)])
+    index = bf.index_of(spark, path).orderBy("offset")
+    batch = index.select(F.struct(*fetch.PLACE_FIELDS).alias("blob")).toArrow().combine_chunks().to_batches()
+    tracemalloc.start()
+    try:
+        put_out = [part.num_rows for part in fetch.content_reader(["blob"], None, 1 << 30, {})(iter(batch))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(put_out) == 96 and peak < 32 << 20
