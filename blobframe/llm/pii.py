@@ -1,9 +1,9 @@
-"""Personal data by pattern, and information-theoretic sanitisation of what stands near it.
+"""Personal data by pattern, and information-theoretic sanitisation of the words beside it.
 
 Emails, addresses of machines, card and phone numbers are found by pattern. What is protected is the
 value itself, the group it belongs to (domain, network, issuer, area) and its kind, as most values
-occur once. Words that keep company with one of these entities all over the corpus give it away even
-where the value is masked: the pointwise mutual information of word and entity, relative to the
+occur once. Words that keep company with one of these entities all over the corpus, wherever they
+stand in its texts, give it away even where the value is masked: the pointwise mutual information of word and entity, relative to the
 information that the entity itself carries, says how much. Words above one threshold are generalised
 there, above a higher one removed.
 
@@ -35,8 +35,6 @@ PATTERNS = {
 #: What a text must contain for its kind to be looked for.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-#: Characters on either side of a value in which its words are counted.
-REACH = 80
 WORD = r"\p{L}{2,}+"
 #: Entities and words must meet in so many different texts.
 MIN_TEXTS = 2
@@ -78,40 +76,25 @@ def holds(kind: str, hit: Column) -> Column:
 
 
 def matches(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end, value, before, after) of a kind's matches that hold.
+    """Array of (kind, start, end, value) of a kind's matches that hold.
 
     Places are code points. They come from the pieces between matches, so no text is searched for
-    its matches a second time, and what stands before and after is cut from the same pieces.
+    its matches a second time.
     """
     hits = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     gaps = F.split(text, PATTERNS[kind], -1)
     number = KINDS.index(kind)
-    entry = (
-        "struct<kind:int,start:int,end:int,value:string,before:string,after:string,"
-        "cut_before:boolean,cut_after:boolean>"
-    )
-    none = F.array().cast(f"array<{entry}>")
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
     pairs = F.zip_with(
         hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g"))
     )
-    after = F.slice(gaps, 2, F.size(hits))
-    pairs = F.zip_with(
-        pairs, after, lambda p, a: F.struct(p["h"].alias("h"), p["g"].alias("g"), a.alias("a"))
-    )
     start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(state: Column, p: Column) -> Column:
         begin = state["at"] + F.length(p["g"])
         end = begin + F.length(p["h"])
         found = F.struct(
-            F.lit(number).alias("kind"),
-            begin.alias("start"),
-            end.alias("end"),
-            p["h"].alias("value"),
-            F.substring(p["g"], -REACH, REACH).alias("before"),
-            F.substring(p["a"], 1, REACH).alias("after"),
-            (F.length(p["g"]) > REACH).alias("cut_before"),
-            (F.length(p["a"]) > REACH).alias("cut_after"),
+            F.lit(number).alias("kind"), begin.alias("start"), end.alias("end"), p["h"].alias("value")
         )
         out = F.when(holds(kind, p["h"]), F.concat(state["out"], F.array(found)))
         return F.struct(end.alias("at"), out.otherwise(state["out"]).alias("out"))
@@ -135,30 +118,33 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.drop(*[f"_{kind}" for kind in KINDS[:4]])
 
 
-def context_words(side: str) -> Column:
-    """Array of (term, start, end) of the whole words in a match's ``before`` or ``after``."""
-    around = F.col(f"hit.{side}")
+def words_beside(text: Column) -> Column:
+    """The distinct words of a whole text, without those of its emails; other values hold no letters."""
+    rest = F.regexp_replace(text, PATTERNS["email"], " ")
+    rest = F.when(F.contains(text, F.lit(NEEDS["email"])), rest).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(rest), F.lit(WORD), F.lit(0)))
+
+
+def marked_words(text: Column, generalised: Column, removed: Column) -> Column:
+    """Array of (start, end, removed) of all words of a text that are in one of two arrays of terms."""
     pairs = F.zip_with(
-        F.regexp_extract_all(around, F.lit(WORD), F.lit(0)),
-        F.split(around, WORD, -1),
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+        F.split(text, WORD, -1),
         lambda w, g: F.struct(w.alias("w"), g.alias("g")),
     )
-    none = F.array().cast("array<struct<term:string,start:int,end:int>>")
-    begin = F.col("hit.start") - F.length(around) if side == "before" else F.col("hit.end")
-    start = F.struct(begin.alias("at"), none.alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(state: Column, p: Column) -> Column:
         first = state["at"] + F.length(p["g"])
         last = first + F.coalesce(F.length(p["w"]), F.lit(0))
-        word = F.struct(F.lower(p["w"]).alias("term"), first.alias("start"), last.alias("end"))
-        out = F.when(p["w"].isNotNull(), F.concat(state["out"], F.array(word)))
+        term = F.lower(p["w"])
+        gone = F.array_contains(removed, term)
+        word = F.struct(first.alias("start"), last.alias("end"), gone.alias("removed"))
+        out = F.when(gone | F.array_contains(generalised, term), F.concat(state["out"], F.array(word)))
         return F.struct(last.alias("at"), out.otherwise(state["out"]).alias("out"))
 
-    words = F.aggregate(pairs, start, step, lambda s: s["out"])
-    if side == "before":  # a window that was cut may begin within a word
-        return F.filter(words, lambda w: ~F.col("hit.cut_before") | (w["start"] > begin))
-    stop = F.col("hit.end") + F.length(around)
-    return F.filter(words, lambda w: ~F.col("hit.cut_after") | (w["end"] < stop))
+    return F.aggregate(pairs, start, step, lambda s: s["out"])
 
 
 def entities_of(kind: Column, value: Column) -> Column:
@@ -203,22 +189,37 @@ def term_counts(docs: DataFrame, wanted: DataFrame) -> tuple[int, DataFrame]:
     return n, counted
 
 
+def meetings(hits: DataFrame, held_by: DataFrame, held: DataFrame, min_texts: int) -> DataFrame:
+    """(term, entity, c): in how many of the texts both occur, where these are ``min_texts`` or more.
+
+    Entities of fewer texts cannot meet a word in as many, and go first. Pairs are counted where
+    the texts are, so none is shuffled or stored by text.
+    """
+    known = join_measured(held_by, held, ["entity"], "known", "inner")
+    known = known.groupBy("t1", "t2").agg(F.collect_list("entity").alias("entities"))
+    rows = hits.select("t1", "t2", words_beside(F.col("text")).alias("words"))
+    rows = join_measured(rows, known, ["t1", "t2"], "known_by_text", "inner")
+    pairs = rows.select(F.explode("words").alias("term"), "entities")
+    pairs = pairs.select("term", F.explode("entities").alias("entity"))
+    return pairs.groupBy("term", "entity").agg(F.count("*").alias("c")).where(F.col("c") >= min_texts)
+
+
 def disclosing_terms(
-    docs: DataFrame, contexts: DataFrame, min_texts: int, generalise: float, remove: float
+    docs: DataFrame,
+    hits: DataFrame,
+    held_by: DataFrame,
+    min_texts: int,
+    generalise: float,
+    remove: float,
 ) -> DataFrame:
     """(term, entity, removed): words that disclose an entity to more than the threshold.
 
-    n texts; an entity in b of them, a word in a, both near each other in c. The word's information
-    on the entity, log2(c n / (a b)), is measured against that of the entity itself, log2(n / b).
-    Texts are counted once, however many copies there are.
+    n texts; an entity in b of them, a word in a, both in c. The word's information on the entity,
+    log2(c n / (a b)), is measured against that of the entity itself, log2(n / b). Texts are counted
+    once, however many copies there are.
     """
-    seen = contexts.select("t1", "t2", "term", "entity").distinct()
-    met = materialize(
-        seen.groupBy("term", "entity").agg(F.count("*").alias("c")).where(F.col("c") >= min_texts),
-        "met",
-    )
-    held = contexts.select("t1", "t2", "entity").distinct()
-    held = held.groupBy("entity").agg(F.count("*").alias("b"))
+    held = held_by.groupBy("entity").agg(F.count("*").alias("b")).where(F.col("b") >= min_texts)
+    met = materialize(meetings(hits, held_by, held.select("entity"), min_texts), "met")
     n, terms = term_counts(docs.select("t1", "t2", "text"), met.select("term").distinct())
     pairs = join_measured(met, terms, ["term"], "terms", "inner")
     pairs = join_measured(pairs, held, ["entity"], "entities", "inner")
@@ -239,26 +240,32 @@ def private_spans(
     """Base matches of every document, and the term spans of the texts that have some.
 
     The first table has the other columns of ``docs``, two hashes of the text (t1, t2) and ``base``;
-    the second one t1, t2 and ``terms``, an array of (start, end, removed). Both are stored tables.
+    the second one t1, t2 and ``terms``, an array of (start, end, removed), a row for a text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashes = [F.xxhash64(F.lit(k), text).alias(f"t{k}") for k in (1, 2)]
     keep = [f"`{c}`" for c in docs.columns if c not in (text_col, "t1", "t2", "base")]
     plain = docs.select(*keep, *hashes, text.alias("text"))
-    found = materialize(base_spans(plain).drop("text"), "base")
-    hits = found.select("t1", "t2", F.explode("base").alias("hit"))
-    near = F.concat(context_words("before"), context_words("after"))
-    entities = entities_of(F.col("hit.kind"), F.col("hit.value"))
-    contexts = hits.select("t1", "t2", entities.alias("entities"), F.explode(near).alias("w"))
-    contexts = contexts.select("t1", "t2", F.explode("entities").alias("entity"), "w.*").distinct()
-    contexts = materialize(contexts, "contexts")
-    pairs = disclosing_terms(plain, contexts, min_texts, generalise, remove)
-    marked = join_measured(contexts, pairs, ["term", "entity"], "disclosing", "inner")
-    spans = marked.groupBy("t1", "t2", "start", "end").agg(F.max("removed").alias("removed"))
-    terms = spans.groupBy("t1", "t2").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")
+    held = F.when(F.size("base") > 0, F.col("text"))
+    found = materialize(base_spans(plain).withColumn("text", held), "base")
+    hits = found.where("text is not null").select("t1", "t2", "text", "base")
+    entities = F.flatten(F.transform("base", lambda m: entities_of(m["kind"], m["value"])))
+    hits = hits.dropDuplicates(["t1", "t2"]).select("t1", "t2", "text", entities.alias("entities"))
+    hits = materialize(hits, "hits")
+    held_by = hits.select("t1", "t2", F.explode(F.array_distinct("entities")).alias("entity"))
+    held_by = materialize(held_by, "held_by")
+    pairs = disclosing_terms(plain, hits, held_by, min_texts, generalise, remove)
+    told = hits.select("t1", "t2", F.explode(words_beside(F.col("text"))).alias("term"))
+    told = join_measured(told, pairs, ["term"], "disclosing", "inner")
+    told = told.join(held_by, ["t1", "t2", "entity"])
+    told = told.groupBy("t1", "t2", "term").agg(F.max("removed").alias("removed"))
+    marks = told.groupBy("t1", "t2").agg(
+        F.collect_list(F.when(~F.col("removed"), F.col("term"))).alias("generalised"),
+        F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("removed"),
     )
-    return found, terms
+    marked = join_measured(hits.select("t1", "t2", "text"), marks, ["t1", "t2"], "marks", "inner")
+    terms = marked_words(F.col("text"), F.col("generalised"), F.col("removed"))
+    return found.drop("text"), marked.select("t1", "t2", terms.alias("terms"))
 
 
 def spelled(spans: Column) -> Column:

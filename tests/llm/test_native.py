@@ -410,3 +410,17 @@ def test_clashing_columns_of_the_mix(spark):
     mixed = mix_sources(docs)
     assert mixed.columns == [*docs.columns, "shard"]
     assert all(tuple(r)[3:12] == (1, 2, 3, 4, 5, 6, 7, 8, 9) for r in mixed.collect())
+
+
+def test_words_anywhere_in_a_text_disclose_its_values(spark):
+    """Far from the value, beyond another value, and in a text of its own copies."""
+    far = "lorem ipsum " * 30
+    rows = [(i, f"Zorblatt {far}{i} ann@corp.org x bob@corp.org {far}{i} Quuxly", "s") for i in range(6)]
+    rows += [(10, rows[0][1], "s")]
+    rows += [(100 + i, f"{far} {i}", "s") for i in range(60)]
+    got = {r.doc_id: r for r in find_private(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, text, _ in rows[:7]:
+        end = text.index("Quuxly")
+        assert got[i].n_terms == 2 and got[i].n_email == 2
+        assert got[i].spans.startswith("term:0:8,email:") and got[i].spans.endswith(f",term:{end}:{end + 6}")
+    assert {got[100 + i].spans for i in range(60)} == {""}
