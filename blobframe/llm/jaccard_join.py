@@ -5,7 +5,8 @@
    have differences, and some to spare for blocks that are empty, so a linked pair shares a whole
    block that is filled. The lists of equal blocks tie sets into clusters that no link leaves, for
    every class of sizes apart. Only hashes of filled blocks are shuffled, and what does not share a
-   whole block with anything is skipped.
+   whole block with anything is skipped. Shingles that a sample shows to be common all go to one
+   block: a stock phrase that has a block to itself would tie every two sets that hold it.
 3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks. The
    sets of a chunk are in an index of lists ordered by size, and the part of a list that cannot
    reach the threshold is skipped. A set that is close to one whose overlaps are known gets its own
@@ -34,6 +35,11 @@ PERCENT = 90
 #: Blocks more than the differences of a linked pair, as a share of these; makes up for blocks that
 #: are empty.
 SPARE = 0.05
+#: One text in so many tells which shingles are common: those of COMMON_TEXTS of them. If these are
+#: more than COMMON_SHINGLES, only the most frequent are. Which ones are changes no result.
+COMMON_SAMPLE = 8
+COMMON_TEXTS = 2
+COMMON_SHINGLES = 1 << 20
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
 CHUNK_SHINGLES = 1 << 18
 
@@ -80,18 +86,22 @@ def most_differences(largest: int, percent: int) -> int:
 
 
 def block_hashes(
-    shingles: np.ndarray, starts: np.ndarray, percent: int
+    shingles: np.ndarray, starts: np.ndarray, percent: int, common: np.ndarray | None = None
 ) -> list[tuple[int, np.ndarray]]:
     """(class, hashes of the set's filled blocks) where it may be the smaller or the larger one.
 
     A linked pair has more equal blocks than there are spare ones. So if no more of a set's blocks
     are empty than are spare, one of the equal blocks is filled, whatever the other set is like. If
     more are empty, the set is also cut by a second rule, a third one and so on, until that holds;
-    the two sets of a pair share every rule up to the first that suits one of them.
+    the two sets of a pair share every rule up to the first that suits one of them. The first rule
+    puts all of the ``common`` shingles (sorted) into one block, whatever they are.
 
     Where a class can have sets too small for that, every shingle is a block.
     """
     found = []
+    frequent = np.zeros(len(shingles), bool)
+    if common is not None and len(common):
+        frequent = common[np.searchsorted(common[:-1], shingles)] == shingles
     own = int(np.searchsorted(starts, len(shingles), "right")) - 1
     for at in {own, max(own - 1, 0)}:
         differences = most_differences(int(starts[at + 1]) - 1, percent)
@@ -105,6 +115,8 @@ def block_hashes(
         keys = []
         for rule in itertools.count():
             place = (mixed(shingles + np.uint64(rule)) if rule else shingles) % np.uint64(blocks)
+            if rule == 0:
+                place[frequent] = 0
             sums = np.zeros(blocks, np.uint64)
             np.add.at(sums, place, mixed(shingles + ODD[0]))
             filled = np.flatnonzero(np.bincount(place.astype(np.int64), minlength=blocks))
@@ -120,7 +132,33 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def set_of_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes of shingles that several of a sample of the different texts hold."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), width) for t in batch.column("text")]
+            found = np.concatenate([np.empty(0, np.uint64), *sets])
+            yield pa.record_batch([pa.array(signed(found))], names=["shingle"])
+
+    sample = docs.where(F.pmod("t1", F.lit(COMMON_SAMPLE)) == 0).dropDuplicates(["t1", "t2"])
+    counted = sample.select("text").mapInArrow(run, "shingle long").groupBy("shingle")
+    counted = counted.agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_TEXTS)
+    counted = settled(counted.withColumn("power", F.floor(F.log2("n"))), "common")
+    least, room = None, COMMON_SHINGLES
+    for power, n in counted.groupBy("power").count().orderBy(F.desc("power")).collect():
+        if n > room:
+            break
+        least, room = power, room - n
+    if least is None:
+        return np.empty(0, np.uint64)
+    found = counted.where(F.col("power") >= least).select("shingle").toPandas()["shingle"]
+    return np.sort(found.to_numpy(np.int64).view(np.uint64))
+
+
+def set_of_documents(
+    docs: DataFrame, width: int, percent: int, common: np.ndarray | None = None
+) -> DataFrame:
     """Per document: its text's hashes, the set's size and hashes, and its places in the index.
 
     A place is the set in one size class: v0 and v1 name it, b0 and b1 are the hashes of its blocks.
@@ -137,7 +175,7 @@ def set_of_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if len(shingles):
                     node = int(signed(mixed(shingles).sum(keepdims=True))[0])
                     check = int(signed(mixed(shingles ^ ODD[2]).sum(keepdims=True))[0])
-                    for at, hashes in block_hashes(shingles, starts, percent):
+                    for at, hashes in block_hashes(shingles, starts, percent, common):
                         name = mixed(np.array([node % (1 << 64)], np.uint64) ^ np.uint64(at << 40))
                         places.append((int(signed(name)[0]), signed(hashes)))
                 (v0, b0), (v1, b1) = (places + [(None, [])] * 2)[:2]
@@ -386,7 +424,8 @@ def grouped_rows(
     """
     docs = with_text_hashes(docs)
     with release_scratch(docs.sparkSession):  # the blocks, once they have told the clusters
-        sets = materialize(set_of_documents(docs, width, percent), "sets_with_blocks")
+        common = common_shingles(docs, width)
+        sets = materialize(set_of_documents(docs, width, percent, common), "sets_with_blocks")
         clusters = settled(tied_places(sets), "clusters", keep=True)
         sets = settled(sets.drop("b0", "b1"), "sets", keep=True)
 
