@@ -1,8 +1,10 @@
 """What the operators move and hold, on rows that made them grow faster than their input."""
 
+import os
 import random
 from collections import Counter
 
+from blobframe.llm import sentence_dedup
 from blobframe.llm import jaccard_join as jaccard
 
 PHRASE = "all rights reserved under the terms of this licence as it stands today"
@@ -57,3 +59,25 @@ def test_common_shingles_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "COMMON_SHINGLES", 3)
     assert len(jaccard.common_shingles(jaccard.with_text_hashes(docs), 5)) <= 3
     assert Counter(map(tuple, jaccard.jaccard_groups(docs, 80, 5).collect())) == want
+
+
+def test_places_of_repeated_runs_alone_are_compared(spark, monkeypatch):
+    stored = {}
+    for name in ("settled", "materialize"):
+        real = getattr(sentence_dedup, name)
+
+        def seen(df, label, *args, real=real, **options):
+            out = stored[label] = real(df, label, *args, **options)
+            return out
+
+        monkeypatch.setattr(sentence_dedup, name, seen)
+    word = lambda k: " ".join(f"s{k}w{i}" for i in range(6)) + ". "
+    texts = ["".join(word(100 * d + k) for k in range(20)) for d in range(6)]
+    texts[3] = texts[3] + "".join(word(5 + k) for k in range(4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in sentence_dedup.sentence_dedup(docs).collect()}
+    assert got == {d: [20, 21, 22, 23] if d == 3 else [] for d in range(6)}
+    assert stored["met"].count() == 4  # two runs of three sentences, at two places each
+    assert stored["removed_sentences"].count() == 1
+    folder = stored["runs"].inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert not os.path.exists(folder)
