@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from blobframe.session import materialize, measured
 
-from .common import BROADCAST_ROWS, join_measured
+from .common import BROADCAST_KEYS, BROADCAST_ROWS, join_measured, join_stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -173,7 +173,8 @@ def term_counts(docs: DataFrame, wanted: DataFrame) -> tuple[int, DataFrame]:
     """How many different texts there are, and (term, a): in how many of them a wanted term occurs.
 
     A row counts as one over the number of rows with its text, so that terms are summed where the
-    texts are and no row per text and word is shuffled.
+    texts are and no row per text and word is shuffled: few wanted terms are broadcast and pick the
+    words before, many are joined with the sums.
     """
     copies = docs.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
     seen, held = measured(copies.where("copies > 1"), "copies", texts=F.count("*"), rows=F.sum("copies"))
@@ -184,24 +185,50 @@ def term_counts(docs: DataFrame, wanted: DataFrame) -> tuple[int, DataFrame]:
     few = F.broadcast(seen) if repeated <= BROADCAST_ROWS else seen
     spread = spread.join(few, ["t1", "t2"], "left")
     spread = spread.select(F.explode("words").alias("term"), F.coalesce("copies", F.lit(1)).alias("copies"))
-    spread = join_measured(spread, wanted, ["term"], "wanted", "inner")
+    wanted, held = measured(wanted, "wanted", terms=F.count("*"))
+    first = (held["terms"] or 0) <= BROADCAST_ROWS
+    if first:
+        spread = spread.join(F.broadcast(wanted), "term")
     counted = spread.groupBy("term").agg(F.round(F.sum(1 / F.col("copies"))).cast("long").alias("a"))
-    return n, counted
+    return n, counted if first else counted.join(wanted, "term")
 
 
 def meetings(hits: DataFrame, held_by: DataFrame, held: DataFrame, min_texts: int) -> DataFrame:
     """(term, entity, c): in how many of the texts both occur, where these are ``min_texts`` or more.
 
     Entities of fewer texts cannot meet a word in as many, and go first. Pairs are counted where
-    the texts are, so none is shuffled or stored by text.
+    the texts are, so none is shuffled or stored by text; entities have numbers on the way.
     """
-    known = join_measured(held_by, held, ["entity"], "known", "inner")
-    known = known.groupBy("t1", "t2").agg(F.collect_list("entity").alias("entities"))
+    numbered = materialize(held.withColumn("number", F.monotonically_increasing_id()), "known")
+    known = join_stored(held_by, numbered, ["entity"], "inner")
+    known = known.groupBy("t1", "t2").agg(F.collect_list("number").alias("numbers"))
     rows = hits.select("t1", "t2", words_beside(F.col("text")).alias("words"))
     rows = join_measured(rows, known, ["t1", "t2"], "known_by_text", "inner")
-    pairs = rows.select(F.explode("words").alias("term"), "entities")
-    pairs = pairs.select("term", F.explode("entities").alias("entity"))
-    return pairs.groupBy("term", "entity").agg(F.count("*").alias("c")).where(F.col("c") >= min_texts)
+    pairs = rows.select(F.explode("words").alias("term"), "numbers")
+    pairs = pairs.select("term", F.explode("numbers").alias("number"))
+    pairs = pairs.groupBy("term", "number").agg(F.count("*").alias("c")).where(F.col("c") >= min_texts)
+    return join_stored(pairs, numbered, ["number"], "inner").select("term", "entity", "c")
+
+
+def told_words(hits: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(t1, t2, term, removed): words of a text that disclose one of its own entities.
+
+    A word meets the text's own entities before it moves, not all that it discloses anywhere. Up to
+    BROADCAST_KEYS pairs are broadcast as hashes, so that what discloses nothing is not shuffled.
+    """
+    told = hits.select(
+        "t1",
+        "t2",
+        F.explode(words_beside(F.col("text"))).alias("term"),
+        F.array_distinct("entities").alias("entities"),
+    ).select("t1", "t2", "term", F.explode("entities").alias("entity"))
+    pairs, held = measured(pairs, "disclosing", pairs=F.count("*"))
+    key = F.xxhash64("term", "entity").alias("key")
+    if BROADCAST_ROWS < (held["pairs"] or 0) <= BROADCAST_KEYS:
+        told = told.withColumn("key", key)
+        told = told.join(F.broadcast(pairs.select(key)), "key", "left_semi").drop("key")
+    told = join_stored(told, pairs, ["term", "entity"], "inner")
+    return told.select("t1", "t2", "term", "removed")
 
 
 def disclosing_terms(
@@ -255,13 +282,10 @@ def private_spans(
     held_by = hits.select("t1", "t2", F.explode(F.array_distinct("entities")).alias("entity"))
     held_by = materialize(held_by, "held_by")
     pairs = disclosing_terms(plain, hits, held_by, min_texts, generalise, remove)
-    told = hits.select("t1", "t2", F.explode(words_beside(F.col("text"))).alias("term"))
-    told = join_measured(told, pairs, ["term"], "disclosing", "inner")
-    told = told.join(held_by, ["t1", "t2", "entity"])
-    told = told.groupBy("t1", "t2", "term").agg(F.max("removed").alias("removed"))
-    marks = told.groupBy("t1", "t2").agg(
-        F.collect_list(F.when(~F.col("removed"), F.col("term"))).alias("generalised"),
-        F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("removed"),
+    # A word that one entity has removed and another generalised is removed.
+    marks = told_words(hits, pairs).groupBy("t1", "t2").agg(
+        F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("generalised"),
+        F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("removed"),
     )
     marked = join_measured(hits.select("t1", "t2", "text"), marks, ["t1", "t2"], "marks", "inner")
     terms = marked_words(F.col("text"), F.col("generalised"), F.col("removed"))

@@ -4,7 +4,7 @@ import os
 import random
 from collections import Counter
 
-from blobframe.llm import sentence_dedup
+from blobframe.llm import common, pii, sentence_dedup
 from blobframe.llm import jaccard_join as jaccard
 
 PHRASE = "all rights reserved under the terms of this licence as it stands today"
@@ -61,6 +61,48 @@ def test_common_shingles_lose_no_link(spark, monkeypatch):
     assert Counter(map(tuple, jaccard.jaccard_groups(docs, 80, 5).collect())) == want
 
 
+def private_texts(n=60, seed=4):
+    made = random.Random(seed)
+    texts = []
+    for i in range(n):
+        words = [f"w{chr(97 + made.randrange(20))}x{chr(97 + made.randrange(20))}" for _ in range(30)]
+        owner = i % 5
+        words += [f"who{chr(97 + owner)}", f"p{chr(97 + owner)}@site{owner % 2}.org"]
+        made.shuffle(words)
+        texts.append(" ".join(words))
+    return [*texts, texts[0], texts[1], "", None, "no data"]
+
+
+def test_words_meet_entities_of_their_own_text_alone(spark):
+    rows = [(1, 0, "alpha beta", ["e1"]), (2, 0, "alpha", ["e2"]), (3, 0, "alpha gamma", ["e1", "e1"])]
+    hits = spark.createDataFrame(rows, "t1 long, t2 long, text string, entities array<string>")
+    known = [("alpha", f"e{k}", False) for k in range(1, 40)] + [("beta", "e2", True)]
+    pairs = spark.createDataFrame(known, "term string, entity string, removed boolean")
+    got = pii.told_words(hits, pairs)
+    assert sorted(map(tuple, got.collect())) == [(k, 0, "alpha", False) for k in (1, 2, 3)]
+
+
+def test_private_data_is_the_same_however_tables_are_joined(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(private_texts())), "doc_id long, text string")
+    few = Counter(map(str, pii.find_private(docs).collect()))
+    assert sum("term" in row for row in few) > 5
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    assert Counter(map(str, pii.find_private(docs).collect())) == few
+    monkeypatch.setattr(pii, "BROADCAST_KEYS", 0)
+    assert Counter(map(str, pii.find_private(docs).collect())) == few
+
+
+def test_many_wanted_terms_are_joined_with_sums(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    docs = spark.createDataFrame([(k % 3, 0, f"same words {k % 3}") for k in range(9)], "t1 long, t2 long, text string")
+    wanted = spark.createDataFrame([("same",), ("other",)], "term string")
+    n, counted = pii.term_counts(docs, wanted)
+    assert (n, [tuple(r) for r in counted.collect()]) == (3, [("same", 3)])
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Aggregate [term")
+
+
 def test_places_of_repeated_runs_alone_are_compared(spark, monkeypatch):
     stored = {}
     for name in ("settled", "materialize"):
