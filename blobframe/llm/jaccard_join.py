@@ -6,7 +6,8 @@
    block that is filled. The lists of equal blocks tie sets into clusters that no link leaves, for
    every class of sizes apart. Only hashes of filled blocks are shuffled, and what does not share a
    whole block with anything is skipped. Shingles that a sample shows to be common all go to one
-   block: a stock phrase that has a block to itself would tie every two sets that hold it.
+   block: a stock phrase that has a block to itself would tie every two sets that hold it. The
+   hashes are shuffled once: each list, in the order of its places, ties all of them to its first.
 3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks. The
    sets of a chunk are in an index of lists ordered by size, and the part of a list that cannot
    reach the threshold is skipped. A set that is close to one whose overlaps are known gets its own
@@ -23,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize, release_scratch
@@ -152,8 +153,9 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
         least, room = power, room - n
     if least is None:
         return np.empty(0, np.uint64)
-    found = counted.where(F.col("power") >= least).select("shingle").toPandas()["shingle"]
-    return np.sort(found.to_numpy(np.int64).view(np.uint64))
+    # As Arrow: rows of Python objects would take the driver some 500 bytes a shingle.
+    found = counted.where(F.col("power") >= least).select("shingle").toArrow()["shingle"]
+    return np.sort(found.to_numpy().view(np.uint64))
 
 
 def set_of_documents(
@@ -162,12 +164,13 @@ def set_of_documents(
     """Per document: its text's hashes, the set's size and hashes, and its places in the index.
 
     A place is the set in one size class: v0 and v1 name it, b0 and b1 are the hashes of its blocks.
+    These are left empty where an earlier row of the same batch has the same set.
     """
     starts = size_classes(percent)
 
     def run(batches):
         for batch in batches:
-            rows = []
+            rows, seen = [], {}
             for doc_id, t1, t2, text in zip(*batch.columns, strict=True):
                 shingles = shingle_set(text.as_py(), width)
                 node = check = None
@@ -175,9 +178,13 @@ def set_of_documents(
                 if len(shingles):
                     node = int(signed(mixed(shingles).sum(keepdims=True))[0])
                     check = int(signed(mixed(shingles ^ ODD[2]).sum(keepdims=True))[0])
-                    for at, hashes in block_hashes(shingles, starts, percent, common):
+                    known = seen.get((node, check, len(shingles)))
+                    new = block_hashes(shingles, starts, percent, common) if known is None else []
+                    for at, hashes in new:
                         name = mixed(np.array([node % (1 << 64)], np.uint64) ^ np.uint64(at << 40))
                         places.append((int(signed(name)[0]), signed(hashes)))
+                    places = places if known is None else known
+                    seen[node, check, len(shingles)] = [(name, []) for name, _ in places]
                 (v0, b0), (v1, b1) = (places + [(None, [])] * 2)[:2]
                 row = (doc_id.as_py(), t1.as_py(), t2.as_py(), len(shingles), node, check)
                 rows.append((*row, v0, v1, b0, b1))
@@ -379,18 +386,9 @@ def tied_places(sets: DataFrame) -> DataFrame:
         sets.select(F.col(f"v{k}").alias("place"), F.explode(f"b{k}").alias("block")) for k in (0, 1)
     ]
     entries = entries[0].union(entries[1])
-    shared = settled(
-        entries.groupBy("block")
-        .agg(F.min("place").alias("least"), F.max("place").alias("most"), F.count("*").alias("n"))
-        .where(F.col("least") != F.col("most")),
-        "shared_blocks",
-    )
-    # Two entries are known already; the places of longer lists are looked up.
-    pairs = shared.where("n = 2").select(F.col("most").alias("u"), F.col("least").alias("v"))
-    longer = materialize(shared.where("n > 2").select("block", "least"), "longer_lists")
-    longer = _measured(longer)
-    near = entries.join(longer, "block").where(F.col("place") != F.col("least"))
-    edges = pairs.union(near.select(F.col("place").alias("u"), F.col("least").alias("v")))
+    # One shuffle, in which a list of any length is sorted and can spill.
+    upto = Window.partitionBy("block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    edges = entries.select(F.col("place").alias("u"), F.min("place").over(upto).alias("v"))
     return components(edges, "clusters").withColumnRenamed("node", "place")
 
 
