@@ -61,6 +61,44 @@ def test_common_shingles_lose_no_link(spark, monkeypatch):
     assert Counter(map(tuple, jaccard.jaccard_groups(docs, 80, 5).collect())) == want
 
 
+def test_blocks_are_shuffled_once(spark, monkeypatch):
+    """Also where many blocks are shared by three places or more, which had them joined with all."""
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    passed = []
+    real = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda e, label: passed.append(e) or real(e, label))
+    lists = {1: [10, 11], 2: [11, 13, 12], 3: [20], 4: [20, 21, 21, 22], 5: [30], 6: [-5, 12]}
+    entries = [(p, b) for b, places in lists.items() for p in places]
+    rows = [(p, [b], None, []) if b % 2 else (None, [], p, [b]) for p, b in entries]
+    sets = spark.createDataFrame(rows, "v0 long, b0 array<long>, v1 long, b1 array<long>")
+    got = Counter(tuple(r) for r in jaccard.tied_places(sets).select("place", "root").collect())
+    assert got == Counter([(p, -5) for p in (-5, 10, 11, 12, 13)] + [(p, 20) for p in (20, 21, 22)])
+    plan = passed[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_equal_sets_of_a_batch_carry_their_blocks_once(spark):
+    text = " ".join(f"w{k}" for k in range(150))
+    rows = [(k, text if k % 2 else text.upper()) for k in range(20)] + [(20, text + " more")]
+    docs = jaccard.with_text_hashes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    sets = sorted(jaccard.set_of_documents(docs, 5, 80).collect())
+    assert len({(r.node, r.check, r.v0, r.v1) for r in sets[:20]}) == 1 and sets[0].v0 is not None
+    assert [bool(r.b0) for r in sets] == [True] + [False] * 19 + [True]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in jaccard.jaccard_groups(docs, 80, 5).collect()} == {0}
+
+
+def test_common_shingles_are_no_python_rows_in_the_driver(spark, monkeypatch):
+    def refused(self):
+        raise AssertionError("rows of Python objects")
+
+    monkeypatch.setattr(jaccard, "COMMON_SAMPLE", 1)
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refused)
+    docs = spark.createDataFrame([(0, "a b c d e"), (1, "a b c d e f"), (2, "x")], "doc_id long, text string")
+    found = jaccard.common_shingles(jaccard.with_text_hashes(docs), 5)
+    assert found.dtype == "uint64" and found.tolist() == jaccard.shingle_set("a b c d e", 5).tolist()
+
+
 def private_texts(n=60, seed=4):
     made = random.Random(seed)
     texts = []
