@@ -7,8 +7,10 @@
    every class of sizes apart. Only hashes of filled blocks are shuffled, and what does not share a
    whole block with anything is skipped. Shingles that a sample shows to be common all go to one
    block: a stock phrase that has a block to itself would tie every two sets that hold it. The
-   hashes are shuffled once: each list, in the order of its places, ties all of them to its first.
-3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks. The
+   hashes are shuffled once, in a few bytes, and stored nowhere: each list ties all its places to
+   the least. Where a task has many texts with a block, only the least of their places goes on.
+3. Clusters are joined exactly, cut into chunks of bounded size, one task for a pair of chunks, in
+   rounds that deal out about as many shingles as the clusters have, however many pairs there are. The
    sets of a chunk are in an index of lists ordered by size, and the part of a list that cannot
    reach the threshold is skipped. A set that is close to one whose overlaps are known gets its own
    by adding and taking off the lists of the differing shingles alone. A task returns a forest of
@@ -18,13 +20,14 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blobframe.session import materialize, release_scratch
@@ -41,6 +44,14 @@ SPARE = 0.05
 COMMON_SAMPLE = 8
 COMMON_TEXTS = 2
 COMMON_SHINGLES = 1 << 20
+#: Bits of a place's name, and bits of a block's hash that are shuffled besides those of its bucket.
+PLACE_BITS, BLOCK_BITS = 48, 40
+#: Blocks that are sorted before they are shuffled, blocks that a bucket has, about, and most bits of
+#: a bucket's number.
+PACKED, BUCKET, BUCKET_BITS = 1 << 20, 1 << 18, 16
+#: Shingles dealt out at a time, as a multiple of those of all clusters; at least so many.
+ROUND, ROUND_SHINGLES = 1.25, 1 << 24
+SET_COLUMNS = ["doc_id", "t1", "t2", "n_shingles", "node", "check", "v0", "v1", "b0", "b1"]
 #: Shingles of the sets that one chunk holds at most (a single larger set is a chunk of its own).
 CHUNK_SHINGLES = 1 << 18
 
@@ -158,14 +169,8 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(found.to_numpy().view(np.uint64))
 
 
-def set_of_documents(
-    docs: DataFrame, width: int, percent: int, common: np.ndarray | None = None
-) -> DataFrame:
-    """Per document: its text's hashes, the set's size and hashes, and its places in the index.
-
-    A place is the set in one size class: v0 and v1 name it, b0 and b1 are the hashes of its blocks.
-    These are left empty where an earlier row of the same batch has the same set.
-    """
+def sets_of_batches(width: int, percent: int, common: np.ndarray | None):
+    """What makes batches of :func:`set_of_documents` of batches of texts."""
     starts = size_classes(percent)
 
     def run(batches):
@@ -182,7 +187,7 @@ def set_of_documents(
                     new = block_hashes(shingles, starts, percent, common) if known is None else []
                     for at, hashes in new:
                         name = mixed(np.array([node % (1 << 64)], np.uint64) ^ np.uint64(at << 40))
-                        places.append((int(signed(name)[0]), signed(hashes)))
+                        places.append((int(name[0] >> np.uint64(64 - PLACE_BITS)), signed(hashes)))
                     places = places if known is None else known
                     seen[node, check, len(shingles)] = [(name, []) for name, _ in places]
                 (v0, b0), (v1, b1) = (places + [(None, [])] * 2)[:2]
@@ -190,16 +195,31 @@ def set_of_documents(
                 rows.append((*row, v0, v1, b0, b1))
             columns = list(zip(*rows, strict=True)) or [[]] * 10
             types = [pa.int64()] * 8 + [pa.list_(pa.int64())] * 2
-            names = ["doc_id", "t1", "t2", "n_shingles", "node", "check", "v0", "v1", "b0", "b1"]
             yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=SET_COLUMNS
             )
 
-    schema = (
-        "doc_id long, t1 long, t2 long, n_shingles long, node long, check long, "
-        "v0 long, v1 long, b0 array<long>, b1 array<long>"
+    return run
+
+
+def set_of_documents(
+    docs: DataFrame, width: int, percent: int, common: np.ndarray | None = None
+) -> DataFrame:
+    """Per document: its text's hashes, the set's size and hashes, and its places in the index.
+
+    A place is the set in one size class: v0 and v1 name it, b0 and b1 are the hashes of its blocks.
+    These are left empty where an earlier row of the same batch has the same set. A name is a hash of
+    PLACE_BITS bits. Sets that share one by chance are compared in vain; only two that also link would
+    be missed, if no other set or class ties them.
+    """
+    lists = "b0 array<long>, b1 array<long>"
+    return docs.select("doc_id", "t1", "t2", "text").mapInArrow(
+        sets_of_batches(width, percent, common), f"{longs(SET_COLUMNS[:-2])}, {lists}"
     )
-    return docs.select("doc_id", "t1", "t2", "text").mapInArrow(run, schema)
+
+
+def longs(names: list[str]) -> str:
+    return ", ".join(f"{name} long" for name in names)
 
 
 def with_text_hashes(docs: DataFrame) -> DataFrame:
@@ -346,8 +366,8 @@ def link_chunks(
     return links
 
 
-def linked_sets(members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Edges (u, v) of a forest of the links; members: cluster, node, chunk, chunks, text."""
+def member_sets(members: DataFrame, width: int) -> DataFrame:
+    """The set of every member; members: cluster, node, chunk, chunks, text."""
 
     def shingled(batches):
         for batch in batches:
@@ -358,12 +378,47 @@ def linked_sets(members: DataFrame, percent: int, width: int) -> DataFrame:
                 names=["root", "node", "chunk", "chunks", "shingles"],
             )
 
-    sets = members.select("root", "node", "chunk", "chunks", "text").mapInArrow(
+    return members.select("root", "node", "chunk", "chunks", "text").mapInArrow(
         shingled, "root long, node long, chunk long, chunks long, shingles array<long>"
     )
-    others = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
-        lambda c: F.struct(F.least("chunk", c).alias("a"), F.greatest("chunk", c).alias("b")),
+
+
+def rounds_of(weights: list[tuple[int, int]], room: float) -> list[tuple[int, int]]:
+    """First and last steps of rounds that deal out about ``room`` shingles each, at most.
+
+    ``weights`` are numbers of chunks, and the shingles of the clusters that have so many. At step k
+    each chunk of a cluster meets the one k further on, as in a ring: twice dealt, but at the step 0
+    and at half of the ring once. A step that is too large alone has a round to itself.
+    """
+    chunks, shingles = (np.array(x, np.float64) for x in zip(*weights, strict=True))
+    rounds, left = [], 0.0
+    for k in range(int(chunks.max()) // 2 + 1):
+        times = np.where(2 * k < chunks, 2 if k else 1, np.where(2 * k == chunks, 1, 0))
+        dealt = float((times * shingles).sum())
+        if not rounds or dealt > left:
+            rounds.append((k, k))
+            left = room - dealt
+        else:
+            rounds[-1] = (rounds[-1][0], k)
+            left -= dealt
+    return rounds
+
+
+def linked_sets(sets: DataFrame, percent: int, first: int, last: int) -> DataFrame:
+    """Edges (u, v) of forests of the links between chunks that meet from step first to last."""
+    sets = sets.where(F.floor(F.col("chunks") / 2) >= first)
+    steps = F.sequence(
+        F.lit(first).cast("long"), F.least(F.lit(last), F.floor(F.col("chunks") / 2)).cast("long")
+    )
+
+    def met(other):
+        return F.struct(F.least("chunk", other).alias("a"), F.greatest("chunk", other).alias("b"))
+
+    others = F.array_distinct(
+        F.concat(
+            F.transform(steps, lambda k: met(F.pmod(F.col("chunk") + k, F.col("chunks")))),
+            F.transform(steps, lambda k: met(F.pmod(F.col("chunk") - k, F.col("chunks")))),
+        )
     )
     dealt = sets.select("root", "node", "chunk", "shingles", F.explode(others).alias("_pair"))
     dealt = dealt.select("root", "node", "chunk", "shingles", "_pair.a", "_pair.b")
@@ -380,18 +435,146 @@ def linked_sets(members: DataFrame, percent: int, width: int) -> DataFrame:
     return dealt.groupBy("root", "a", "b").applyInPandas(links, "u long, v long")
 
 
-def tied_places(sets: DataFrame) -> DataFrame:
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of 64-bit numbers, all first bytes before all second ones.
+
+    Bytes that are zero in all numbers then take nothing once they are compressed.
+    """
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unplaned(parts: list[bytes], width: int) -> np.ndarray:
+    found = []
+    for part in parts:
+        x = np.zeros((len(part) // width, 8), np.uint8)
+        x[:, :width] = np.frombuffer(part, np.uint8).reshape(width, -1).T
+        found.append(x.reshape(-1).view("<u8"))
+    return np.concatenate(found)
+
+
+def tied(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different keys, in order, the least place of each, and (u, v) of places tied to it."""
+    order = np.argsort(keys)
+    keys, places = keys[order], places[order]
+    heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    least = np.minimum.reduceat(places, heads)
+    first = np.repeat(least, np.diff(np.r_[heads, len(keys)]))
+    apart = places != first
+    edges = np.unique(np.stack([places[apart], first[apart]], axis=1), axis=0)
+    return keys[heads], least, edges[:, 0], edges[:, 1]
+
+
+def packed_blocks(kept: list[str], bits: int):
+    """What makes rows for :func:`ties` of batches of sets.
+
+    The rows of sets go on without their blocks. Those of PACKED blocks or more are sorted into
+    1 << ``bits`` buckets; of equal ones the least place goes there, and the others are tied to it.
+    """
+    types = [("bucket", pa.int32()), *((c, pa.int64()) for c in [*kept, "u", "v"])]
+    types = pa.schema([*types, ("blocks", pa.binary()), ("places", pa.binary())])
+
+    def rows(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.record_batch(
+            [pa.array(columns[t.name], t.type) if t.name in columns else pa.nulls(n, t.type) for t in types],
+            schema=types,
+        )
+
+    def sorted_in(blocks: list[np.ndarray], places: list[np.ndarray]):
+        keys, places, u, v = tied(mixed(np.concatenate(blocks)), np.concatenate(places))
+        yield rows(bucket=np.arange(len(u)) % (1 << bits), u=u, v=v)
+        ends = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits), "right") if bits else [len(keys)]
+        keys = (keys << np.uint64(bits)) >> np.uint64(64 - BLOCK_BITS)
+        found, low = [], 0
+        for bucket, high in enumerate(ends):
+            if high > low:
+                block, place = planes(keys[low:high], BLOCK_BITS // 8), planes(places[low:high], 8)
+                found.append((bucket, block, place))
+            low = high
+        bucket, blocks, places = zip(*found, strict=True)
+        yield rows(bucket=bucket, blocks=blocks, places=places)
+
+    def run(batches):
+        blocks, places, n = [], [], 0
+        for batch in batches:
+            columns = {c: batch.column(c) for c in kept}
+            yield rows(bucket=np.arange(batch.num_rows) % (1 << bits), **columns)
+            for k in (0, 1):
+                filled = batch.column(f"b{k}")
+                values = filled.flatten().to_numpy().view(np.uint64)
+                sizes = filled.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                names = batch.column(f"v{k}").fill_null(0).to_numpy(zero_copy_only=False)
+                blocks.append(values)
+                places.append(np.repeat(names, sizes))
+                n += len(values)
+            if n >= PACKED:
+                yield from sorted_in(blocks, places)
+                blocks, places, n = [], [], 0
+        if n:
+            yield from sorted_in(blocks, places)
+
+    schema = f"bucket int, {longs([*kept, 'u', 'v'])}, blocks binary, places binary"
+    return run, schema
+
+
+def ties(packed: DataFrame, kept: list[str]) -> DataFrame:
+    """The sets' rows without blocks, and rows with ``u`` and ``v``: places that share a block.
+
+    One shuffle, of a few bytes for a block that several texts can share. A task holds a bucket.
+    """
+    out = [*kept, "u", "v"]
+
+    def run(batches):
+        last, blocks, places = None, [], []
+
+        def edges():
+            _, _, u, v = tied(unplaned(blocks, BLOCK_BITS // 8), unplaned(places, 8).view(np.int64))
+            none = [pa.nulls(len(u), pa.int64())] * len(kept)
+            return pa.record_batch([*none, pa.array(u), pa.array(v)], names=out)
+
+        for batch in batches:
+            full = batch.filter(batch.column("blocks").is_valid())
+            yield batch.filter(batch.column("blocks").is_null()).select(out)
+            for bucket, block, place in zip(*full.select(["bucket", "blocks", "places"]).columns, strict=True):
+                if bucket.as_py() != last and blocks:
+                    yield edges()
+                    blocks, places = [], []
+                last = bucket.as_py()
+                blocks.append(block.as_py())
+                places.append(place.as_py())
+        if blocks:
+            yield edges()
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, longs(out))
+
+
+def tied_places(sets: DataFrame, bits: int = 4) -> DataFrame:
     """``place, root``: the clusters of places that share blocks, but for single ones."""
-    entries = [
-        sets.select(F.col(f"v{k}").alias("place"), F.explode(f"b{k}").alias("block")) for k in (0, 1)
-    ]
-    entries = entries[0].union(entries[1])
-    # One shuffle, in which a list of any length is sorted and can spill.
-    upto = Window.partitionBy("block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    edges = entries.select(F.col("place").alias("u"), F.min("place").over(upto).alias("v"))
+    run, schema = packed_blocks(["v0", "v1"], bits)
+    return clusters_of(ties(sets.select("v0", "v1", "b0", "b1").mapInArrow(run, schema), ["v0", "v1"]))
+
+
+def clusters_of(tied: DataFrame) -> DataFrame:
+    edges = tied.where(F.col("u").isNotNull()).select("u", "v")
     return components(edges, "clusters").withColumnRenamed("node", "place")
 
 
+def sets_and_ties(
+    docs: DataFrame, width: int, percent: int, common: np.ndarray | None, bits: int
+) -> DataFrame:
+    """:func:`ties` of :func:`set_of_documents`, whose blocks are nowhere stored."""
+    kept = SET_COLUMNS[:-2]
+    sets, (packed, schema) = sets_of_batches(width, percent, common), packed_blocks(kept, bits)
+    docs = docs.select("doc_id", "t1", "t2", "text")
+    return ties(docs.mapInArrow(lambda batches: packed(sets(batches)), schema), kept)
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    """Bits of a bucket's number. A block for every twelve characters or so: six are a word."""
+    characters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return min(BUCKET_BITS, int(np.ceil(np.log2(max(1, characters / 12 / BUCKET)))))
+
+
 def jaccard_groups(
     docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, chunk: int = CHUNK_SHINGLES
 ) -> DataFrame:
@@ -418,14 +601,15 @@ def grouped_rows(
     if it has one. Other columns are not looked at. An empty table gives an empty result.
 
     Clusters of near copies are compared in chunks of a bounded number of shingles, so no task
-    holds a whole cluster, however large; exact copies are one node from the start.
+    holds a whole cluster, however large, and a bounded share of all pairs is on disk at once; exact copies are one node from the start.
     """
     docs = with_text_hashes(docs)
-    with release_scratch(docs.sparkSession):  # the blocks, once they have told the clusters
+    with release_scratch(docs.sparkSession):  # the ties, once they have told the clusters
         common = common_shingles(docs, width)
-        sets = materialize(set_of_documents(docs, width, percent, common), "sets_with_blocks")
-        clusters = settled(tied_places(sets), "clusters", keep=True)
-        sets = settled(sets.drop("b0", "b1"), "sets", keep=True)
+        tied = settled(sets_and_ties(docs, width, percent, common, bucket_bits(docs)), "ties")
+        clusters = settled(clusters_of(tied), "clusters", keep=True)
+        sets = tied.where(F.col("u").isNull()).drop("u", "v")
+        sets = settled(sets, "sets", keep=True)
 
     full = sets.where(F.col("node").isNotNull())
     placed = full.withColumn("place", F.explode(F.array_compact(F.array("v0", "v1"))))
@@ -439,16 +623,28 @@ def grouped_rows(
     chunks = F.greatest(
         F.lit(1), F.ceil(F.sum("n_shingles") / F.lit(float(chunk)))
     ).cast("long")
-    weights = materialize(members.groupBy("root").agg(chunks.alias("chunks")), "weights")
-    members = members.join(_measured(weights), "root")
+    weights = materialize(
+        members.groupBy("root").agg(chunks.alias("chunks"), F.sum("n_shingles").alias("shingles")),
+        "weights",
+    )
+    heavy = weights.groupBy("chunks").agg(F.sum("shingles")).collect() or [(1, 0)]
+    room = max(ROUND * sum(shingles for _, shingles in heavy), ROUND_SHINGLES)
+    rounds = rounds_of(heavy, room)
+    members = members.join(_measured(weights.drop("shingles")), "root")
     members = members.withColumn("chunk", F.pmod("uid", "chunks")).withColumnRenamed("uid", "node")
     members = materialize(members, "members")
     wanted = materialize(members.select("t1", "t2").distinct(), "wanted_texts")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    few = wanted.count() <= BROADCAST_KEYS
+    wanted = F.broadcast(wanted) if few else wanted
     texts = docs.join(wanted, ["t1", "t2"], "left_semi")
     texts = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     members = members.join(texts, ["t1", "t2"])
-    links = settled(linked_sets(members, percent, width), "links")
+    filled = member_sets(members, width)
+    with release_scratch(docs.sparkSession):
+        if len(rounds) > 1 or not few:  # the shuffled texts go before sets are dealt out
+            filled = settled(filled, "member_sets")
+        links = [settled(linked_sets(filled, percent, *steps), "links", keep=True) for steps in rounds]
+    links = functools.reduce(DataFrame.union, links)
     groups = materialize(components(links, "groups"), "groups")
 
     named = nodes.select(
