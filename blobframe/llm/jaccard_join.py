@@ -48,7 +48,7 @@ COMMON_SHINGLES = 1 << 20
 PLACE_BITS, BLOCK_BITS = 48, 40
 #: Blocks that are sorted before they are shuffled, blocks that a bucket has, about, and most bits of
 #: a bucket's number.
-PACKED, BUCKET, BUCKET_BITS = 1 << 20, 1 << 18, 16
+PACKED, BUCKET, BUCKET_BITS = 1 << 19, 1 << 18, 16
 #: Shingles dealt out at a time, as a multiple of those of all clusters; at least so many.
 ROUND, ROUND_SHINGLES = 1.25, 1 << 24
 SET_COLUMNS = ["doc_id", "t1", "t2", "n_shingles", "node", "check", "v0", "v1", "b0", "b1"]
@@ -170,12 +170,18 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def sets_of_batches(width: int, percent: int, common: np.ndarray | None):
-    """What makes batches of :func:`set_of_documents` of batches of texts."""
+    """What makes batches of :func:`set_of_documents`, of some PACKED blocks, of batches of texts."""
     starts = size_classes(percent)
+    types = [pa.int64()] * 8 + [pa.list_(pa.int64())] * 2
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * 10
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.record_batch(arrays, names=SET_COLUMNS)
 
     def run(batches):
         for batch in batches:
-            rows, seen = [], {}
+            rows, seen, held = [], {}, 0
             for doc_id, t1, t2, text in zip(*batch.columns, strict=True):
                 shingles = shingle_set(text.as_py(), width)
                 node = check = None
@@ -188,16 +194,16 @@ def sets_of_batches(width: int, percent: int, common: np.ndarray | None):
                     for at, hashes in new:
                         name = mixed(np.array([node % (1 << 64)], np.uint64) ^ np.uint64(at << 40))
                         places.append((int(name[0] >> np.uint64(64 - PLACE_BITS)), signed(hashes)))
+                        held += len(hashes)
                     places = places if known is None else known
                     seen[node, check, len(shingles)] = [(name, []) for name, _ in places]
                 (v0, b0), (v1, b1) = (places + [(None, [])] * 2)[:2]
                 row = (doc_id.as_py(), t1.as_py(), t2.as_py(), len(shingles), node, check)
                 rows.append((*row, v0, v1, b0, b1))
-            columns = list(zip(*rows, strict=True)) or [[]] * 10
-            types = [pa.int64()] * 8 + [pa.list_(pa.int64())] * 2
-            yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=SET_COLUMNS
-            )
+                if held >= PACKED:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            yield batch_of(rows)
 
     return run
 
@@ -458,9 +464,10 @@ def tied(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
     keys, places = keys[order], places[order]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     least = np.minimum.reduceat(places, heads)
-    first = np.repeat(least, np.diff(np.r_[heads, len(keys)]))
-    apart = places != first
-    edges = np.unique(np.stack([places[apart], first[apart]], axis=1), axis=0)
+    sizes = np.diff(np.r_[heads, len(keys)])
+    shared = np.repeat(sizes > 1, sizes)  # few are
+    u, v = places[shared], np.repeat(least[sizes > 1], sizes[sizes > 1])
+    edges = np.unique(np.stack([u[u != v], v[u != v]], axis=1), axis=0)
     return keys[heads], least, edges[:, 0], edges[:, 1]
 
 
@@ -474,16 +481,15 @@ def packed_blocks(kept: list[str], bits: int):
     types = pa.schema([*types, ("blocks", pa.binary()), ("places", pa.binary())])
 
     def rows(**columns) -> pa.RecordBatch:
-        n = len(next(iter(columns.values())))
-        return pa.record_batch(
-            [pa.array(columns[t.name], t.type) if t.name in columns else pa.nulls(n, t.type) for t in types],
-            schema=types,
-        )
+        none = [None] * len(columns["bucket"])
+        return pa.record_batch([pa.array(columns.get(t.name, none), t.type) for t in types], schema=types)
 
     def sorted_in(blocks: list[np.ndarray], places: list[np.ndarray]):
         keys, places, u, v = tied(mixed(np.concatenate(blocks)), np.concatenate(places))
         yield rows(bucket=np.arange(len(u)) % (1 << bits), u=u, v=v)
-        ends = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits), "right") if bits else [len(keys)]
+        ends = [len(keys)]
+        if bits:
+            ends = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits), "right")
         keys = (keys << np.uint64(bits)) >> np.uint64(64 - BLOCK_BITS)
         found, low = [], 0
         for bucket, high in enumerate(ends):
